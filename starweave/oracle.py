@@ -438,3 +438,84 @@ FAN_OUT_LOOKUPS = [
     ("raw_pro_profiles.sp_id", "raw_pro_profiles", ["sp_id"]),
 ]
 QUALITY_SQL["fan_out_report"] = q("\nUNION ALL\n".join(_fan(*x) for x in FAN_OUT_LOOKUPS))
+
+
+# ------------------------------------------------------------------ replays
+# A converged incremental run equals the full build; the two type-2 replays
+# also keep the superseded versions, spelled out below.
+
+def _pro_rows(src: str) -> str:
+    return f"""SELECT sha256(coalesce(sp_id, 'null') || '|' || coalesce(category, 'null') || '|' ||
+                coalesce(strftime(updated_at, {TS_KEY}), 'null')) AS pro_key,
+         sp_id, sha256(category) AS category_key, market, is_active, first_active_at, last_active_at,
+         CAST(NULL AS VARCHAR) AS tier, CAST(NULL AS DECIMAL(3,2)) AS rating,
+         CAST(NULL AS INTEGER) AS review_count, updated_at AS valid_from
+  FROM (SELECT *, row_number() OVER (PARTITION BY sp_id, category
+                    ORDER BY updated_at DESC NULLS LAST, market DESC NULLS LAST, is_active DESC NULLS LAST) AS rn,
+               min(updated_at) OVER (PARTITION BY sp_id) AS first_active_at,
+               max(updated_at) OVER (PARTITION BY sp_id) AS last_active_at
+        FROM {src}) WHERE rn = 1"""
+
+
+def _scd2_sr(cutoff: str, bound: str) -> str:
+    return q(
+             f"""SELECT * FROM (WITH prev AS (
+  SELECT sr_id, created_at,
+         CASE WHEN updated_at < TIMESTAMP '{cutoff}' THEN status ELSE 'submitted' END AS status,
+         category, geography, sp_id,
+         CASE WHEN updated_at < TIMESTAMP '{cutoff}' THEN updated_at ELSE created_at END AS updated_at
+  FROM service_requests WHERE created_at < TIMESTAMP '{cutoff}'),
+batch AS (SELECT sr_id, created_at, status, category, geography, sp_id, updated_at
+          FROM service_requests WHERE updated_at >= TIMESTAMP '{bound}'),
+opened AS (SELECT b.* FROM batch b LEFT JOIN prev p ON b.sr_id = p.sr_id
+           WHERE p.sr_id IS NULL OR p.status IS DISTINCT FROM b.status),
+versions AS (
+  SELECT * FROM prev WHERE NOT EXISTS (SELECT 1 FROM opened o WHERE o.sr_id = prev.sr_id
+                                                              AND o.updated_at = prev.updated_at)
+  UNION ALL SELECT * FROM opened)
+SELECT sha256(coalesce(v.sr_id, 'null') || '|' || coalesce(strftime(v.updated_at, {TS_KEY}), 'null'))
+         AS service_request_key,
+       v.sr_id, v.created_at, v.status, v.sp_id, dc.category_key, dg.geography_key,
+       coalesce(v.status = 'completed', false) AS is_completed,
+       coalesce(v.status = 'cancelled', false) AS is_cancelled,
+       CAST(NULL AS VARCHAR) AS homeowner_key, v.updated_at AS valid_from,
+       lead(v.updated_at) OVER (PARTITION BY v.sr_id ORDER BY v.updated_at) AS valid_to,
+       lead(v.updated_at) OVER (PARTITION BY v.sr_id ORDER BY v.updated_at) IS NULL AS is_current
+FROM versions v LEFT JOIN dim_category dc ON v.category = dc.category
+LEFT JOIN dim_geography dg ON v.geography = dg.geography)""")
+
+
+def _scd2_pro(cutoff: str, bound: str) -> str:
+    return q(f"""SELECT * FROM (WITH
+prev AS ({_pro_rows(f"(SELECT * FROM raw_pro_profiles WHERE updated_at < TIMESTAMP '{cutoff}')")}),
+hist AS (SELECT * FROM raw_pro_profiles WHERE sp_id IN
+           (SELECT sp_id FROM raw_pro_profiles WHERE updated_at >= TIMESTAMP '{bound}')),
+cand AS ({_pro_rows("hist")}),
+opened AS (SELECT c.* FROM cand c LEFT JOIN prev p
+             ON c.sp_id = p.sp_id AND c.category_key = p.category_key
+           WHERE p.sp_id IS NULL OR p.valid_from IS DISTINCT FROM c.valid_from
+              OR p.market IS DISTINCT FROM c.market OR p.is_active IS DISTINCT FROM c.is_active),
+versions AS (
+  SELECT * FROM prev WHERE NOT EXISTS (SELECT 1 FROM opened o WHERE o.sp_id = prev.sp_id
+       AND o.category_key = prev.category_key AND o.valid_from = prev.valid_from)
+  UNION ALL SELECT * FROM opened),
+closed AS (SELECT *, lead(valid_from) OVER (PARTITION BY sp_id, category_key ORDER BY valid_from)
+                     AS valid_to FROM versions),
+act AS (SELECT sp_id, min(updated_at) AS f, max(updated_at) AS l FROM hist GROUP BY sp_id)
+SELECT c.pro_key, c.sp_id, c.category_key, c.market, c.is_active,
+       CASE WHEN c.valid_to IS NULL AND a.f IS NOT NULL THEN a.f ELSE c.first_active_at END AS first_active_at,
+       CASE WHEN c.valid_to IS NULL AND a.l IS NOT NULL THEN a.l ELSE c.last_active_at END AS last_active_at,
+       c.tier, c.rating, c.review_count, c.valid_from, c.valid_to, c.valid_to IS NULL AS is_current
+FROM closed c LEFT JOIN act a ON c.sp_id = a.sp_id)""")
+
+
+INCREMENTAL_SQL = {
+    "upsert_sessions": MODEL_SQL["dim_session"],
+    "insert_new_categories": MODEL_SQL["dim_category"],
+    "lookback_bookings": MODEL_SQL["fct_booking_events"],
+    "incremental_session_events": MODEL_SQL["fct_session_events"],
+    "incremental_funnel": MODEL_SQL["fct_booking_funnel"],
+    "incremental_revenue": MODEL_SQL["fct_revenue"],
+    "scd2_service_request": _scd2_sr("2020-06-16", "2020-06-15"),
+    "scd2_pro": _scd2_pro("2020-07-01", "2020-06-30"),
+}

@@ -108,6 +108,27 @@ def _fan_out(spark, d):
     })
 
 
+REPLAYS = {
+    "upsert_sessions": "dim_session",
+    "insert_new_categories": "dim_category",
+    "scd2_service_request": "dim_service_request",
+    "scd2_pro": "dim_pro",
+    "lookback_bookings": "fct_booking_events",
+    "incremental_session_events": "fct_session_events",
+    "incremental_funnel": "fct_booking_funnel",
+    "incremental_revenue": "fct_revenue",
+}
+
+
+def _replay(model: str) -> Query:
+    from . import incremental
+
+    def run(spark, d):
+        out = incremental.replay(spark, testdata_sources(spark, d), model, run_ts=FIXED_RUN_TS)
+        return _audit_free(out)
+    return run
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {}
     for n in SOURCE_KEYS:
@@ -143,4 +164,6 @@ def registry() -> dict[str, Query]:
     q["dq_freshness"] = _freshness
     q["guardrail_report"] = _guardrails
     q["fan_out_report"] = _fan_out
+    for key, model in REPLAYS.items():
+        q[key] = _replay(model)
     return q
