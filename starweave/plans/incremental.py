@@ -11,6 +11,7 @@ change detection is null-safe (D9); versions close by ``lead`` (D4).
 from __future__ import annotations
 
 import datetime as _dt
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +25,22 @@ BOOKING_LOOKBACK_DAYS = 14
 DEFAULT_LOOKBACK_DAYS = 1
 
 
+@dataclass
+class Change:
+    """Rows to write and the column whose values they replace: every existing
+    row whose ``on`` value appears in ``fresh`` is superseded."""
+
+    fresh: DataFrame
+    on: str
+    unique: bool = False  # ``on`` is the table key: a keyed upsert (checked)
+
+    def apply(self, prev: DataFrame) -> DataFrame:
+        if self.unique:
+            return upsert(prev, self.fresh, self.on)
+        gone = self.fresh.select(self.on).distinct()
+        return prev.join(gone, self.on, "left_anti").unionByName(self.fresh.select(*prev.columns))
+
+
 # --------------------------------------------------------------------------- steps
 
 def step_dim_category(prev: DataFrame, service_requests: DataFrame, run_ts) -> DataFrame:
@@ -69,7 +86,7 @@ def step_dim_pro(prev: DataFrame, profiles: DataFrame, as_of, run_ts) -> DataFra
                       if c == "last_active_at" else F.col(c) for c in prev.columns])
 
 
-def step_fct_booking_events(prev: DataFrame, raw_events: DataFrame, as_of, run_ts) -> DataFrame:
+def step_fct_booking_events(raw_events: DataFrame, as_of, run_ts) -> Change:
     """14-day lookback; sessions with a booking in the window are recomputed
     from all their submissions and replace their old row (by session)."""
     subs = facts.booking_submissions(raw_events)
@@ -78,11 +95,11 @@ def step_fct_booking_events(prev: DataFrame, raw_events: DataFrame, as_of, run_t
     whole = subs.join(touched, "session_id", "left_semi")
     fresh = facts.booking_event_rows(first_per_group(whole, ["session_id"],
                                                      ["event_ts", "event_id"]), run_ts)
-    return prev.join(touched, "session_id", "left_anti").unionByName(fresh)
+    return Change(fresh, "session_id")
 
 
-def step_fct_session_events(prev: DataFrame, raw_events: DataFrame, raw_sessions: DataFrame,
-                            dim_session: DataFrame, as_of, run_ts) -> DataFrame:
+def step_fct_session_events(raw_events: DataFrame, raw_sessions: DataFrame,
+                            dim_session: DataFrame, as_of, run_ts) -> Change:
     """Sessions with events in the window, or whose session row changed, are
     recomputed whole against the unfiltered session dimension."""
     by_event = raw_events.filter(lookback("event_ts", as_of, 1)).select("session_id")
@@ -90,9 +107,7 @@ def step_fct_session_events(prev: DataFrame, raw_events: DataFrame, raw_sessions
     touched = by_event.union(by_row).distinct()
     whole = raw_events.join(touched, "session_id", "left_semi")
     fresh = facts.fct_session_events(whole, dim_session, run_ts)
-    kept = prev.join(touched.withColumnRenamed("session_id", "session_key"), "session_key",
-                     "left_anti")
-    return kept.unionByName(fresh)
+    return Change(fresh, "session_key")
 
 
 def funnel_scope(service_requests: DataFrame, booking_events: DataFrame,
@@ -113,8 +128,7 @@ def funnel_scope(service_requests: DataFrame, booking_events: DataFrame,
     return a.union(b).union(c).union(d).union(e).distinct()
 
 
-def step_fct_booking_funnel(prev: DataFrame, service_requests: DataFrame, models, as_of,
-                            run_ts) -> DataFrame:
+def step_fct_booking_funnel(service_requests: DataFrame, models, as_of, run_ts) -> Change:
     m = models
     scope = funnel_scope(service_requests, m["fct_booking_events"], m["dim_service_request"],
                          m["dim_session"], m["dim_pro"], m["dim_category"], as_of)
@@ -122,11 +136,11 @@ def step_fct_booking_funnel(prev: DataFrame, service_requests: DataFrame, models
                                      m["dim_category"], m["dim_geography"],
                                      m["dim_service_request"], m["fct_booking_events"],
                                      m["dim_session"], m["dim_pro"], run_ts)
-    return upsert(prev, fresh, "booking_key")
+    return Change(fresh, "booking_key", unique=True)
 
 
-def step_fct_revenue(prev: DataFrame, raw_payments: DataFrame, service_requests: DataFrame,
-                     models, as_of, run_ts) -> DataFrame:
+def step_fct_revenue(raw_payments: DataFrame, service_requests: DataFrame, models, as_of,
+                     run_ts) -> Change:
     """Payments updated in the window, plus payments of SRs whose current
     version or current pro version changed (their sr_status / pro columns
     move although the payment row did not)."""
@@ -146,7 +160,7 @@ def step_fct_revenue(prev: DataFrame, raw_payments: DataFrame, service_requests:
     pays = raw_payments.join(scope, "payment_id", "left_semi")
     fresh = facts.fct_revenue(pays, service_requests, m["dim_category"], m["dim_geography"],
                               m["dim_service_request"], m["dim_pro"], run_ts)
-    return upsert(prev, fresh, "revenue_key")
+    return Change(fresh, "revenue_key", unique=True)
 
 
 # ------------------------------------------------------------ point-in-time views
@@ -224,12 +238,13 @@ def replay(spark, raw: RawSources, model: str, cutoff=None, run_ts=None) -> Data
     if model == "dim_pro":
         return step_dim_pro(prev, raw.raw_pro_profiles, cutoff, ts)
     if model == "fct_booking_events":
-        return step_fct_booking_events(prev, raw.raw_events, cutoff, ts)
+        return step_fct_booking_events(raw.raw_events, cutoff, ts).apply(prev)
     if model == "fct_session_events":
-        return step_fct_session_events(prev, raw.raw_events, raw.raw_sessions,
-                                       now["dim_session"], cutoff, ts)
+        return step_fct_session_events(raw.raw_events, raw.raw_sessions, now["dim_session"],
+                                       cutoff, ts).apply(prev)
     if model == "fct_booking_funnel":
-        return step_fct_booking_funnel(prev, raw.service_requests, now, cutoff, ts)
+        return step_fct_booking_funnel(raw.service_requests, now, cutoff, ts).apply(prev)
     if model == "fct_revenue":
-        return step_fct_revenue(prev, raw.raw_payments, raw.service_requests, now, cutoff, ts)
+        return step_fct_revenue(raw.raw_payments, raw.service_requests, now, cutoff,
+                                ts).apply(prev)
     raise KeyError(model)
