@@ -516,6 +516,7 @@ INCREMENTAL_SQL = {
     "incremental_session_events": MODEL_SQL["fct_session_events"],
     "incremental_funnel": MODEL_SQL["fct_booking_funnel"],
     "incremental_revenue": MODEL_SQL["fct_revenue"],
+    "stream_session_events": MODEL_SQL["fct_session_events"],
     "scd2_service_request": _scd2_sr("2020-06-16", "2020-06-15"),
     "scd2_pro": _scd2_pro("2020-07-01", "2020-06-30"),
 }

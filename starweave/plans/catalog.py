@@ -129,6 +129,12 @@ def _replay(model: str) -> Query:
     return run
 
 
+def _stream_session_events(spark, d):
+    from ..streaming.events import run_to_completion
+    m = models(spark, d)
+    return _audit_free(run_to_completion(spark, d, m["dim_session"], FIXED_RUN_TS))
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {}
     for n in SOURCE_KEYS:
@@ -166,4 +172,5 @@ def registry() -> dict[str, Query]:
     q["fan_out_report"] = _fan_out
     for key, model in REPLAYS.items():
         q[key] = _replay(model)
+    q["stream_session_events"] = _stream_session_events
     return q
