@@ -14,7 +14,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import duplicate_keys, sized_broadcast
+from .joins import duplicate_keys
 
 
 def _keys(key) -> list[str]:
@@ -23,27 +23,32 @@ def _keys(key) -> list[str]:
 
 def check_merge_batch(updates: DataFrame, key) -> None:
     """A merge batch must have non-null, unique keys (a second match for one
-    target row is an error in warehouse MERGE semantics)."""
+    target row is an error in warehouse MERGE semantics). One aggregation job:
+    per-key counts reduced map-side, then their maximum and the null-key rows."""
     keys = _keys(key)
     null_any = F.lit(False)
     for k in keys:
         null_any = null_any | F.col(k).isNull()
-    if updates.filter(null_any).limit(1).count():
+    r = (updates.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first(null_any).alias("_null"))
+         .agg(F.max("_n").alias("max_n"), F.count_if("_null").alias("null_keys")).first())
+    if r["null_keys"]:
         raise ValueError(f"merge batch has a null key in {keys}")
-    dup = duplicate_keys(updates, keys).limit(1).collect()
-    if dup:
-        raise ValueError(f"merge batch has duplicate key {dup[0].asDict()}")
+    if r["max_n"] and r["max_n"] > 1:
+        dup = duplicate_keys(updates, keys).limit(1).collect()
+        raise ValueError(f"merge batch has duplicate key {dup[0].asDict() if dup else keys}")
 
 
-def upsert(target: DataFrame, updates: DataFrame, key, check: bool = True,
-           max_broadcast_keys: int = 2_000_000) -> DataFrame:
+def upsert(target: DataFrame, updates: DataFrame, key, check: bool = True) -> DataFrame:
     """Matched rows are replaced by the batch row, unmatched batch rows are
-    inserted, nothing is deleted."""
+    inserted, nothing is deleted.
+
+    No broadcast hint on the batch keys: AQE measures the materialised key
+    shuffle and broadcasts it only when it is small, else keeps a shuffled
+    anti join (split if skewed)."""
     keys = _keys(key)
     if check:
         check_merge_batch(updates, keys)
-    batch_keys = sized_broadcast(updates.select(*keys), max_broadcast_keys)
-    kept = target.join(batch_keys, on=keys, how="left_anti")
+    kept = target.join(updates.select(*keys), on=keys, how="left_anti")
     return kept.unionByName(updates.select(*target.columns))
 
 

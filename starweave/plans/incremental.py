@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lookback
 from ..operators import first_per_group, insert_new_members, lookup_join, scd2_apply, upsert
+from ..operators.joins import materialized_keys
 from ..sources.raw import RawSources
 from . import dims, facts
 
@@ -71,7 +72,7 @@ def step_dim_pro(prev: DataFrame, profiles: DataFrame, as_of, run_ts) -> DataFra
     """New version per (sp_id, category) when its latest profile changed;
     first/last activity of touched pros recomputed over all their rows and
     written onto their current versions (type-1 attributes)."""
-    touched = (profiles.filter(lookback("updated_at", as_of, 1)).select("sp_id").distinct())
+    touched = materialized_keys(profiles.filter(lookback("updated_at", as_of, 1)).select("sp_id"))
     history = profiles.join(touched, "sp_id", "left_semi")
     cand = dims.pro_rows(dims.pro_versions(history), run_ts)
     out = scd2_apply(prev, cand, nk=["sp_id", "category_key"],
@@ -90,8 +91,8 @@ def step_fct_booking_events(raw_events: DataFrame, as_of, run_ts) -> Change:
     """14-day lookback; sessions with a booking in the window are recomputed
     from all their submissions and replace their old row (by session)."""
     subs = facts.booking_submissions(raw_events)
-    touched = (subs.filter(lookback("event_ts", as_of, BOOKING_LOOKBACK_DAYS))
-               .select("session_id").distinct())
+    touched = materialized_keys(subs.filter(lookback("event_ts", as_of, BOOKING_LOOKBACK_DAYS))
+                                .select("session_id"))
     whole = subs.join(touched, "session_id", "left_semi")
     fresh = facts.booking_event_rows(first_per_group(whole, ["session_id"],
                                                      ["event_ts", "event_id"]), run_ts)
@@ -104,7 +105,7 @@ def step_fct_session_events(raw_events: DataFrame, raw_sessions: DataFrame,
     recomputed whole against the unfiltered session dimension."""
     by_event = raw_events.filter(lookback("event_ts", as_of, 1)).select("session_id")
     by_row = raw_sessions.filter(lookback("updated_at", as_of, 1)).select("session_id")
-    touched = by_event.union(by_row).distinct()
+    touched = materialized_keys(by_event.union(by_row))
     whole = raw_events.join(touched, "session_id", "left_semi")
     fresh = facts.fct_session_events(whole, dim_session, run_ts)
     return Change(fresh, "session_key")
@@ -125,7 +126,7 @@ def funnel_scope(service_requests: DataFrame, booking_events: DataFrame,
     sr_keys = lookup_join(service_requests.select("sr_id", "sp_id", "category"),
                           dim_category.select("category", "category_key"), "category")
     d = sr_keys.join(pros, ["sp_id", "category_key"], "left_semi").select("sr_id")
-    return a.union(b).union(c).union(d).union(e).distinct()
+    return materialized_keys(a.union(b).union(c).union(d).union(e))
 
 
 def step_fct_booking_funnel(service_requests: DataFrame, models, as_of, run_ts) -> Change:
@@ -153,11 +154,10 @@ def step_fct_revenue(raw_payments: DataFrame, service_requests: DataFrame, model
     sr_keys = lookup_join(service_requests.select("sr_id", "sp_id", "category"),
                           m["dim_category"].select("category", "category_key"), "category")
     pro_srs = sr_keys.join(pros, ["sp_id", "category_key"], "left_semi").select("sr_id")
-    srs = changed_sr.union(pro_srs).distinct()
-    scope = (raw_payments.filter(lookback("updated_at", as_of, 1)).select("payment_id")
-             .union(raw_payments.join(srs, "sr_id", "left_semi").select("payment_id"))
-             .distinct())
-    pays = raw_payments.join(scope, "payment_id", "left_semi")
+    srs = materialized_keys(changed_sr.union(pro_srs))
+    pays = (raw_payments.filter(lookback("updated_at", as_of, 1))
+            .unionByName(raw_payments.join(srs, "sr_id", "left_semi"))
+            .dropDuplicates(["payment_id"]))  # a payment can be in both parts
     fresh = facts.fct_revenue(pays, service_requests, m["dim_category"], m["dim_geography"],
                               m["dim_service_request"], m["dim_pro"], run_ts)
     return Change(fresh, "revenue_key", unique=True)

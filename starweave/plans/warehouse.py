@@ -106,17 +106,21 @@ class Warehouse:
         """Replace rows whose ``on`` value occurs in ``fresh`` and insert the
         rest, rewriting only the month partitions involved."""
         from ..operators.merge import check_merge_batch
+        fresh = cut_lineage(fresh.withColumn(MONTH, month_expr(table)))
+        if fresh.isEmpty():
+            return
         if check_unique:
             check_merge_batch(fresh, on)
-        fresh = cut_lineage(fresh.withColumn(MONTH, month_expr(table)))
+        from ..operators.joins import sized_broadcast
         cur = self.read(table, keep_month=True)
-        moved = cur.select(on, MONTH).join(fresh.select(on).distinct(), on, "left_semi")
+        batch_keys = sized_broadcast(fresh.select(on).distinct())
+        moved = cur.select(on, MONTH).join(batch_keys, on, "left_semi")
         months = [r[0] for r in fresh.select(MONTH).union(moved.select(MONTH)).distinct()
                   .collect()]  # bounded: calendar months touched by one batch
         if not months:
             return
         old = cur.filter(F.col(MONTH).isin(months))
-        kept = old.join(fresh.select(on).distinct(), on, "left_anti")
+        kept = old.join(batch_keys, on, "left_anti")
         parts = cut_lineage(kept.unionByName(fresh.select(*kept.columns)))
         conf = self.spark.conf
         prev = conf.get("spark.sql.sources.partitionOverwriteMode")

@@ -53,13 +53,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut_lineage(df, eager: bool = True):
+def cut_lineage(df):
     """Truncate lineage by a reliable checkpoint into the shared folder.
 
     Never a local checkpoint: a lost executor would take those blocks with it.
+    A reliable checkpoint writes in a second job after the materialising one,
+    so the input is persisted (memory, spilling to disk) for that one write
+    and released right after; the returned DataFrame reads the checkpoint
+    files only.
     """
+    from pyspark import StorageLevel
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return held.checkpoint(eager=True)
+    finally:
+        held.unpersist()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
