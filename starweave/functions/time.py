@@ -45,5 +45,12 @@ def lookback(c, as_of: _dt.date | str, days: int) -> Column:
     predicate reaches the Parquet scan."""
     if isinstance(as_of, str):
         as_of = _dt.date.fromisoformat(as_of)
-    bound = _dt.datetime.combine(as_of - _dt.timedelta(days=days), _dt.time())
-    return _col(c) >= F.lit(bound).cast("timestamp_ntz")
+    return _col(c) >= ntz_literal(as_of - _dt.timedelta(days=days))
+
+
+def ntz_literal(d: _dt.date | _dt.datetime) -> Column:
+    """TIMESTAMP_NTZ literal built from text, so no time zone (of the Python
+    process or the session) can shift it."""
+    if not isinstance(d, _dt.datetime):
+        d = _dt.datetime.combine(d, _dt.time())
+    return F.lit(d.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")

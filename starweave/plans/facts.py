@@ -172,10 +172,21 @@ def _signed(amount: str):
             .otherwise(F.lit(0))).cast("decimal(14,2)")
 
 
-def revenue_rows(pay: DataFrame, dsr_current: DataFrame, pros: DataFrame, run_ts) -> DataFrame:
+def sr_context(service_requests: DataFrame, dim_category: DataFrame, dim_geography: DataFrame,
+               dsr_current: DataFrame, pros: DataFrame) -> DataFrame:
+    """SR-grain attributes a payment needs: dimension keys, current SR version
+    and current pro. Resolved once per SR, so the large payment table is
+    shuffled only once (by sr_id) instead of again by (sp_id, category_key)."""
+    sr = sr_flags(service_requests.select("sr_id", "sp_id", "category", "geography"),
+                  dim_category, dim_geography)
     srd = dsr_current.select("sr_id", "service_request_key", F.col("status").alias("sr_status"),
                              F.col("is_completed").alias("_sr_completed"))
-    j = pay.join(srd, "sr_id", "left").join(pros, ["sp_id", "category_key"], "left")
+    return (sr.join(srd, "sr_id", "left").join(pros, ["sp_id", "category_key"], "left")
+            .drop("category", "geography"))
+
+
+def revenue_rows(pay: DataFrame, ctx: DataFrame, run_ts) -> DataFrame:
+    j = pay.join(ctx, "sr_id", "inner")
     st = F.col("payment_status")
     out = j.select(
         hash_key("payment_id").alias("revenue_key"),
@@ -199,22 +210,16 @@ def revenue_rows(pay: DataFrame, dsr_current: DataFrame, pros: DataFrame, run_ts
     return assert_columns(out, "fct_revenue")
 
 
-def payments_with_sr(raw_payments: DataFrame, service_requests: DataFrame,
-                     dim_category: DataFrame, dim_geography: DataFrame) -> DataFrame:
-    sr = sr_flags(service_requests.select("sr_id", "sp_id", "category", "geography"),
-                  dim_category, dim_geography)
-    pay = raw_payments.select("payment_id", "sr_id", "payment_ts", "payment_method",
-                              "payment_status", "gross_amount", "commission_rate",
-                              "commission_amount", "pro_payout_amount", "updated_at")
-    return pay.join(sr, "sr_id", "inner")
-
-
 def fct_revenue(raw_payments: DataFrame, service_requests: DataFrame, dim_category: DataFrame,
                 dim_geography: DataFrame, dim_service_request: DataFrame, dim_pro: DataFrame,
                 run_ts) -> DataFrame:
-    pay = payments_with_sr(raw_payments, service_requests, dim_category, dim_geography)
-    return revenue_rows(pay, dim_service_request.filter(F.col("is_current")),
-                        current_pros(dim_pro), run_ts)
+    """One row per payment: payment inner SR, SR-grain lookups resolved first."""
+    pay = raw_payments.select("payment_id", "sr_id", "payment_ts", "payment_method",
+                              "payment_status", "gross_amount", "commission_rate",
+                              "commission_amount", "pro_payout_amount")
+    ctx = sr_context(service_requests, dim_category, dim_geography,
+                     dim_service_request.filter(F.col("is_current")), current_pros(dim_pro))
+    return revenue_rows(pay, ctx, run_ts)
 
 
 def session_funnel(raw_events: DataFrame, raw_sessions: DataFrame,

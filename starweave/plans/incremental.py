@@ -166,9 +166,10 @@ def step_fct_revenue(raw_payments: DataFrame, service_requests: DataFrame, model
 # ------------------------------------------------------------ point-in-time views
 
 def _ts(d) -> F.Column:
+    from ..functions.time import ntz_literal
     if isinstance(d, str):
         d = _dt.date.fromisoformat(d)
-    return F.lit(_dt.datetime.combine(d, _dt.time())).cast("timestamp_ntz")
+    return ntz_literal(d)
 
 
 def known_at(raw: RawSources, cutoff) -> RawSources:
