@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import lookback
-from ..operators import first_per_group, insert_new_members, lookup_join, scd2_apply, upsert
+from ..operators import first_per_group, lookup_join, scd2_apply, upsert
+from ..operators.scd2 import scd2_changes
 from ..operators.joins import materialized_keys
 from ..sources.raw import RawSources
 from . import dims, facts
@@ -33,9 +34,12 @@ class Change:
 
     fresh: DataFrame
     on: str
-    unique: bool = False  # ``on`` is the table key: a keyed upsert (checked)
+    unique: bool = False       # ``on`` is the table key: a keyed upsert (checked)
+    insert_only: bool = False  # ``fresh`` holds only members absent from the table
 
     def apply(self, prev: DataFrame) -> DataFrame:
+        if self.insert_only:
+            return prev.unionByName(self.fresh.select(*prev.columns))
         if self.unique:
             return upsert(prev, self.fresh, self.on)
         gone = self.fresh.select(self.on).distinct()
@@ -44,28 +48,33 @@ class Change:
 
 # --------------------------------------------------------------------------- steps
 
-def step_dim_category(prev: DataFrame, service_requests: DataFrame, run_ts) -> DataFrame:
+def step_dim_category(prev: DataFrame, service_requests: DataFrame, run_ts) -> Change:
+    """Insert-only: members absent from the dimension (anti join, not NOT IN)."""
     incoming = dims.dim_category_rows(dims.category_members(service_requests), run_ts)
-    return insert_new_members(prev, incoming, "category")
+    new = incoming.join(prev.select("category").distinct(), "category", "left_anti")
+    return Change(new.select(*prev.columns), "category", insert_only=True)
 
 
-def step_dim_geography(prev: DataFrame, service_requests: DataFrame, run_ts) -> DataFrame:
+def step_dim_geography(prev: DataFrame, service_requests: DataFrame, run_ts) -> Change:
     incoming = dims.dim_geography_rows(dims.geography_members(service_requests), run_ts)
-    return insert_new_members(prev, incoming, "geography")
+    new = incoming.join(prev.select("geography").distinct(), "geography", "left_anti")
+    return Change(new.select(*prev.columns), "geography", insert_only=True)
 
 
-def step_dim_session(prev: DataFrame, raw_sessions: DataFrame, as_of, run_ts) -> DataFrame:
+def step_dim_session(raw_sessions: DataFrame, as_of, run_ts) -> Change:
+    """Sessions updated in the window replace their row (type 1)."""
     batch = dims.dim_session(raw_sessions.filter(lookback("updated_at", as_of, 1)), run_ts)
-    return upsert(prev, batch, "session_key")
+    return Change(batch, "session_key", unique=True)
 
 
 def step_dim_service_request(prev: DataFrame, service_requests: DataFrame,
                              dim_category: DataFrame, dim_geography: DataFrame, as_of,
-                             run_ts) -> DataFrame:
+                             run_ts) -> Change:
+    """Type 2 on status: the re-closed version sets of SRs that changed."""
     batch = dims.service_request_rows(
         service_requests.filter(lookback("updated_at", as_of, 1)), dim_category, dim_geography,
         run_ts)
-    return scd2_apply(prev, batch, nk=["sr_id"], tracked=["status"])
+    return Change(scd2_changes(prev, batch, nk=["sr_id"], tracked=["status"]), "sr_id")
 
 
 def step_dim_pro(prev: DataFrame, profiles: DataFrame, as_of, run_ts) -> DataFrame:
@@ -228,14 +237,14 @@ def replay(spark, raw: RawSources, model: str, cutoff=None, run_ts=None) -> Data
     now = Models(spark, raw, run_ts)
     prev, ts = before[model], now.run_ts
     if model == "dim_session":
-        return step_dim_session(prev, raw.raw_sessions, cutoff, ts)
+        return step_dim_session(raw.raw_sessions, cutoff, ts).apply(prev)
     if model == "dim_category":
-        return step_dim_category(prev, raw.service_requests, ts)
+        return step_dim_category(prev, raw.service_requests, ts).apply(prev)
     if model == "dim_geography":
-        return step_dim_geography(prev, raw.service_requests, ts)
+        return step_dim_geography(prev, raw.service_requests, ts).apply(prev)
     if model == "dim_service_request":
         return step_dim_service_request(prev, raw.service_requests, now["dim_category"],
-                                        now["dim_geography"], cutoff, ts)
+                                        now["dim_geography"], cutoff, ts).apply(prev)
     if model == "dim_pro":
         return step_dim_pro(prev, raw.raw_pro_profiles, cutoff, ts)
     if model == "fct_booking_events":

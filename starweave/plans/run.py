@@ -30,22 +30,18 @@ def build_incremental(spark: SparkSession, raw: RawSources, wh: Warehouse, as_of
     ts = run_ts or default_run_ts()
     prev = {n: wh.read(n) for n in BUILD_ORDER if n != "dim_date"}
     sr = raw.service_requests
-    new = {
-        "dim_category": inc.step_dim_category(prev["dim_category"], sr, ts),
-        "dim_geography": inc.step_dim_geography(prev["dim_geography"], sr, ts),
-        "dim_session": inc.step_dim_session(prev["dim_session"], raw.raw_sessions, as_of, ts),
-        "dim_pro": inc.step_dim_pro(prev["dim_pro"], raw.raw_pro_profiles, as_of, ts),
-    }
-    for n in ["dim_category", "dim_geography", "dim_session", "dim_pro"]:
-        wh.replace(n, new[n])
-    dsr = inc.step_dim_service_request(prev["dim_service_request"], sr, wh.read("dim_category"),
-                                       wh.read("dim_geography"), as_of, ts)
-    wh.replace("dim_service_request", dsr)
+    wh.apply("dim_category", inc.step_dim_category(prev["dim_category"], sr, ts))
+    wh.apply("dim_geography", inc.step_dim_geography(prev["dim_geography"], sr, ts))
+    wh.apply("dim_session", inc.step_dim_session(raw.raw_sessions, as_of, ts))
+    # bounded by pros x categories x versions: rewritten whole after a checkpoint
+    wh.replace("dim_pro", inc.step_dim_pro(prev["dim_pro"], raw.raw_pro_profiles, as_of, ts))
+    wh.apply("dim_service_request", inc.step_dim_service_request(
+        prev["dim_service_request"], sr, wh.read("dim_category"), wh.read("dim_geography"),
+        as_of, ts))
     now = Models(spark, raw, ts, overrides={n: wh.read(n) for n in
                                             ["dim_date", "dim_category", "dim_geography",
                                              "dim_session", "dim_pro", "dim_service_request"]})
-    ch = inc.step_fct_booking_events(raw.raw_events, as_of, ts)
-    wh.merge_partitions("fct_booking_events", ch.fresh, ch.on, ch.unique)
+    wh.apply("fct_booking_events", inc.step_fct_booking_events(raw.raw_events, as_of, ts))
     now._cache["fct_booking_events"] = wh.read("fct_booking_events")
     for name, ch in [
         ("fct_session_events", inc.step_fct_session_events(raw.raw_events, raw.raw_sessions,
@@ -53,4 +49,4 @@ def build_incremental(spark: SparkSession, raw: RawSources, wh: Warehouse, as_of
         ("fct_booking_funnel", inc.step_fct_booking_funnel(sr, now, as_of, ts)),
         ("fct_revenue", inc.step_fct_revenue(raw.raw_payments, sr, now, as_of, ts)),
     ]:
-        wh.merge_partitions(name, ch.fresh, ch.on, ch.unique)
+        wh.apply(name, ch)

@@ -38,11 +38,15 @@ CLUSTER_BY = {
 MONTH_OF = {
     "fct_booking_events": "event_date", "fct_session_events": "event_date_key",
     "fct_booking_funnel": "created_at_date_key", "fct_revenue": "payment_date_key",
+    # dimensions that grow with activity: partitioned by an immutable time
+    "dim_session": "started_at", "dim_service_request": "created_at",
 }
 KEY_OF = {
     "fct_booking_events": "booking_event_key", "fct_session_events": "event_key",
     "fct_booking_funnel": "booking_key", "fct_revenue": "revenue_key",
+    "dim_session": "session_key", "dim_service_request": "service_request_key",
 }
+TEXT_DATE_KEYS = {"fct_booking_events", "fct_booking_funnel", "fct_revenue"}
 
 
 def schema_of(table: str) -> str:
@@ -51,9 +55,9 @@ def schema_of(table: str) -> str:
 
 def month_expr(table: str) -> Column:
     c = F.col(MONTH_OF[table])
-    if table == "fct_session_events":  # a DATE column
-        return F.date_format(c, "yyyyMM")
-    return F.substring(c, 1, 6)  # YYYYMMDD text
+    if table in TEXT_DATE_KEYS:  # YYYYMMDD text
+        return F.substring(c, 1, 6)
+    return F.date_format(c, "yyyyMM")  # DATE or TIMESTAMP_NTZ
 
 
 class Warehouse:
@@ -98,6 +102,19 @@ class Warehouse:
         finally:
             conf.set("spark.sql.sources.partitionOverwriteMode", old)
 
+    def append(self, table: str, rows: DataFrame) -> None:
+        """Insert-only members: append files, nothing rewritten."""
+        rows = cut_lineage(rows)
+        if not rows.isEmpty():
+            self._laid_out(table, rows).write.mode("append").parquet(self.path(table))
+
+    def apply(self, table: str, change) -> None:
+        """Write an incremental ``Change`` the cheapest correct way."""
+        if change.insert_only:
+            self.append(table, change.fresh)
+        else:
+            self.merge_partitions(table, change.fresh, change.on, change.unique)
+
     def replace(self, table: str, df: DataFrame) -> None:
         """Rewrite a table from a plan that reads it: checkpoint first."""
         self.write_full(table, cut_lineage(df))
@@ -117,9 +134,10 @@ class Warehouse:
         moved = cur.select(on, MONTH).join(batch_keys, on, "left_semi")
         months = [r[0] for r in fresh.select(MONTH).union(moved.select(MONTH)).distinct()
                   .collect()]  # bounded: calendar months touched by one batch
-        if not months:
-            return
-        old = cur.filter(F.col(MONTH).isin(months))
+        in_months = F.col(MONTH).isin([m for m in months if m is not None])
+        if None in months:
+            in_months = in_months | F.col(MONTH).isNull()
+        old = cur.filter(in_months)
         kept = old.join(batch_keys, on, "left_anti")
         parts = cut_lineage(kept.unionByName(fresh.select(*kept.columns)))
         conf = self.spark.conf
