@@ -88,3 +88,24 @@ def test_hot_group_split_equals_plain_window(spark):
     b = _plain(ev, ["session_id"], ["event_ts", "event_id"], "seq", "event_ts", "prev")
     assert a.columns == b.columns
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_broadcast_only_under_measured_bound(spark):
+    from starweave.operators.joins import materialized_keys, sized_broadcast
+    big = spark.range(0, 1000).withColumnRenamed("id", "k")
+    small = spark.range(0, 10).withColumnRenamed("id", "k")
+
+    def plan(df):
+        j = big.join(df, "k", "left_semi")
+        j.collect()
+        return j._jdf.queryExecution().executedPlan().toString()
+
+    assert "BroadcastHashJoin" in plan(sized_broadcast(small, max_rows=10))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in plan(materialized_keys(small, max_rows=100))
+        assert "BroadcastHashJoin" not in plan(sized_broadcast(small, max_rows=5))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
