@@ -70,8 +70,10 @@ class Warehouse:
         return os.path.join(self.root, schema_of(table), table)
 
     def exists(self, table: str) -> bool:
+        """Table directory present (dynamic overwrites commit ``_SUCCESS`` in a
+        staging folder, so the marker is not used)."""
         jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(os.path.join(self.path(table), "_SUCCESS"))
+        p = jvm.org.apache.hadoop.fs.Path(self.path(table))
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
     def read(self, table: str, keep_month: bool = False) -> DataFrame:

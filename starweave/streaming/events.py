@@ -36,15 +36,20 @@ DAY = "_day"
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
+    """The table directory exists. (A dynamic partition overwrite commits its
+    ``_SUCCESS`` marker in a staging folder, so the marker is no test.)"""
     jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(os.path.join(path, "_SUCCESS"))
+    p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def _overwrite_partitions(df: DataFrame, path: str, part: str, order: list[str]) -> None:
+    """Replace the partitions present in ``df``; the first write creates the
+    table (static), later ones are dynamic partition overwrites."""
     spark = df.sparkSession
+    mode = "dynamic" if _exists(spark, path) else "static"
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
     try:
         cols = [part, *order]
         (df.repartitionByRange(*cols).sortWithinPartitions(*cols)
@@ -61,18 +66,17 @@ def merge_events_batch(batch: DataFrame, landed_path: str, facts_path: str,
     days = [r[0] for r in fresh.select(DAY).distinct().collect()]  # bounded: days in a batch
     if not days:
         return
-    have = _exists(spark, landed_path)
-    if have:
+    if _exists(spark, landed_path):
         old = spark.read.parquet(landed_path).filter(F.col(DAY).isin(days))
-        new_events = fresh.join(old.select("event_id"), "event_id", "left_anti")
-        day_rows = old.unionByName(new_events)
+        new_events = cut_lineage(fresh.join(old.select("event_id"), "event_id", "left_anti"))
+        day_rows = cut_lineage(old.unionByName(new_events))
     else:
         new_events, day_rows = fresh, fresh
-    day_rows = cut_lineage(day_rows)
+    # sessions touched by this batch; materialised before the landed files change
+    touched = cut_lineage(new_events.select("session_id").distinct())
     _overwrite_partitions(day_rows, landed_path, DAY, ["session_id", "event_id"])
 
     # whole sessions touched by this batch, recomputed from the landed table
-    touched = new_events.select("session_id").distinct()
     landed = spark.read.parquet(landed_path).drop(DAY)
     whole = landed.join(touched, "session_id", "left_semi")
     rows = facts.fct_session_events(whole, dim_session, run_ts).withColumn(
@@ -95,6 +99,7 @@ def session_events_stream(spark: SparkSession, source_dir: str, dim_session: Dat
     landed, fct = os.path.join(base, "raw_events"), os.path.join(base, "fct_session_events")
     schema = source_schema or spark.read.option("pathGlobFilter", glob).parquet(source_dir).schema
     src = (spark.readStream.schema(schema).option("pathGlobFilter", glob)
+           .option("recursiveFileLookup", "true")
            .option("maxFilesPerTrigger", max_files_per_trigger).parquet(source_dir))
     events = to_raw_events(src)
 
