@@ -57,21 +57,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df):
-    """Truncate lineage by a reliable checkpoint into the shared folder.
+    """Truncate lineage by writing the rows as a Parquet table in the shared
+    checkpoint folder and reading them back.
 
     Never a local checkpoint: a lost executor would take those blocks with it.
-    A reliable checkpoint writes in a second job after the materialising one,
-    so the input is persisted (memory, spilling to disk) for that one write
-    and released right after; the returned DataFrame reads the checkpoint
-    files only.
+    Compared with ``Dataset.checkpoint`` (which computes the plan in one job
+    and writes it in a second) this is a single write job, and the re-read
+    plan carries file statistics, so the planner can broadcast a small result.
     """
-    from pyspark import StorageLevel
-    ensure_checkpoint_dir(df.sparkSession)
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return held.checkpoint(eager=True)
-    finally:
-        held.unpersist()
+    import uuid
+    spark = df.sparkSession
+    path = os.path.join(ensure_checkpoint_dir(spark), "cut", uuid.uuid4().hex)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
