@@ -22,8 +22,8 @@ The slice id is ``spark_partition_id()`` right after a range repartition
 with an explicit partition count (which AQE never coalesces). Two consumers
 read the slices (local numbering and per-slice counts); column pruning gives
 them different plans below the exchange, so each would sample its own range
-bounds. The sliced hot rows are therefore written once with a reliable
-checkpoint into the shared ``spark.checkpoint.dir`` and both consumers read
+bounds. The sliced hot rows are therefore written once as a table in the
+shared ``spark.checkpoint.dir`` and both consumers read
 those files: one slice assignment, and the lineage is cut for retries.
 """
 

@@ -8,7 +8,7 @@
 * A full build overwrites (idempotent: same input, same table).
 * A nightly fact merge rewrites only the month partitions that hold changed
   rows, by dynamic partition overwrite. The rewritten partitions are first
-  cut from the table's lineage with a reliable checkpoint in the shared
+  cut from the table's lineage by writing them as a table in the shared
   ``spark.checkpoint.dir``, so the job never reads the files it replaces.
 * Dimensions are rewritten whole after a checkpoint (they are bounded by the
   number of entities and versions, not by event volume).

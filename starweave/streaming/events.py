@@ -12,7 +12,7 @@ same merge runs per micro-batch: ``readStream`` over the landing folder ->
    in their month partitions.
 
 Each write is a dynamic partition overwrite of only the touched partitions,
-computed from checkpointed inputs, so re-running a micro-batch after a
+computed from inputs materialised in the checkpoint folder, so re-running a micro-batch after a
 failure rewrites the same partitions with the same content (idempotent).
 ``trigger(availableNow=True)`` drains the backlog and stops, which is how a
 scheduled job uses it; a continuous trigger works the same way.
