@@ -47,6 +47,11 @@ KEY_OF = {
     "dim_session": "session_key", "dim_service_request": "service_request_key",
 }
 TEXT_DATE_KEYS = {"fct_booking_events", "fct_booking_funnel", "fct_revenue"}
+# Tables where a replaced row may sit in another month than its replacement
+# (a session's first booking can move to an earlier event). Elsewhere the
+# month comes from an immutable timestamp of the key, or the change set holds
+# every row of the replaced key, so the batch's own months are exact.
+MONTH_MAY_MOVE = {"fct_booking_events"}
 
 
 def schema_of(table: str) -> str:
@@ -123,24 +128,36 @@ class Warehouse:
 
     def merge_partitions(self, table: str, fresh: DataFrame, on: str, check_unique: bool) -> None:
         """Replace rows whose ``on`` value occurs in ``fresh`` and insert the
-        rest, rewriting only the month partitions involved."""
-        from ..operators.merge import check_merge_batch
+        rest, rewriting only the month partitions involved.
+
+        One aggregation over the (materialised) batch yields everything the
+        merge needs: emptiness, key uniqueness and null keys, the number of
+        keys (broadcast decision) and the months it touches.
+        """
+        from pyspark.sql import functions as F
         fresh = cut_lineage(fresh.withColumn(MONTH, month_expr(table)))
-        if fresh.isEmpty():
+        per_key = fresh.groupBy(on).agg(F.count(F.lit(1)).alias("_n"),
+                                        F.collect_set(MONTH).alias("_m"))
+        st = per_key.agg(F.count(F.lit(1)).alias("keys"), F.max("_n").alias("max_n"),
+                         F.count_if(F.col(on).isNull()).alias("null_keys"),
+                         F.array_distinct(F.flatten(F.collect_list("_m"))).alias("months"),
+                         ).first()
+        if not st["keys"]:
             return
-        if check_unique:
-            check_merge_batch(fresh, on)
-        from ..operators.joins import sized_broadcast
+        if check_unique and (st["null_keys"] or st["max_n"] > 1):
+            raise ValueError(f"{table}: merge batch keys on {on} must be unique and non-null")
+        months = set(st["months"])  # bounded: calendar months touched by one batch
+        keys = fresh.select(on).distinct()
+        if st["keys"] <= 2_000_000:
+            keys = F.broadcast(keys)
         cur = self.read(table, keep_month=True)
-        batch_keys = sized_broadcast(fresh.select(on).distinct())
-        moved = cur.select(on, MONTH).join(batch_keys, on, "left_semi")
-        months = [r[0] for r in fresh.select(MONTH).union(moved.select(MONTH)).distinct()
-                  .collect()]  # bounded: calendar months touched by one batch
+        if table in MONTH_MAY_MOVE:
+            moved = cur.select(on, MONTH).join(keys, on, "left_semi").select(MONTH).distinct()
+            months |= {r[0] for r in moved.collect()}
         in_months = F.col(MONTH).isin([m for m in months if m is not None])
         if None in months:
             in_months = in_months | F.col(MONTH).isNull()
-        old = cur.filter(in_months)
-        kept = old.join(batch_keys, on, "left_anti")
+        kept = cur.filter(in_months).join(keys, on, "left_anti")
         parts = cut_lineage(kept.unionByName(fresh.select(*kept.columns)))
         conf = self.spark.conf
         prev = conf.get("spark.sql.sources.partitionOverwriteMode")
