@@ -84,3 +84,13 @@ def test_guardrails_hold_on_test_data(small):
          quality.guardrails(small["fct_booking_funnel"], small["fct_revenue"]).collect()}
     assert g["funnel_booking_key_unique"] == 0 and g["revenue_key_unique"] == 0
     assert g["completed_net_split_equals_gross"] == 0
+
+
+def test_naive_session_funnel_reports_reference_fan_out(small):
+    from pyspark.sql import functions as F
+    naive = small["session_funnel"]
+    assert naive.count() == 345  # one row per session
+    assert naive.agg(F.sum("naive_row_multiplicity")).first()[0] == 39575
+    funnel = small["fct_booking_funnel"]
+    assert funnel.filter("session_key = 'unknown'").count() == 16
+    assert funnel.filter("pro_key is not null").count() == 143
