@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-from . import neardup
+from . import decontaminate, neardup, substrings
 
-QUERIES = {"op1_near_dedup": neardup.op1_near_dedup}
-SQL = {"op1_near_dedup": neardup.OP1_SQL}
+QUERIES = {
+    "op1_near_dedup": neardup.op1_near_dedup,
+    "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op8_substring_dedup": substrings.op8_substring_dedup,
+}
+SQL = {
+    "op1_near_dedup": neardup.OP1_SQL,
+    "op2_decontaminate": decontaminate.OP2_SQL,
+    "op8_substring_dedup": substrings.OP8_SQL,
+}
