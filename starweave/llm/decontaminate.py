@@ -118,14 +118,13 @@ def _scan(docs: DataFrame, items: pa.Table, window: int) -> DataFrame:
     """(row, id, n_words, hit ranges, items) of every document for a pattern block."""
     names = items.column("item").to_pylist()
     search = tables(words(items.column("text"), ALNUM_WORDS), window)
-    search = docs.sparkSession.sparkContext.broadcast(search)  # bounded by PATTERN_BYTES
 
     def scan(part: pa.RecordBatch) -> pa.RecordBatch:
         found = words(part.column("text"), ALNUM_WORDS)
         total = found.first[-1]
         edges = np.zeros(total + 1, np.int64)
         doc_hits: dict[int, set[str]] = {}
-        for table in search.value:
+        for table in search:
             start, pattern = occurrences(found, table)
             np.add.at(edges, start, 1)
             np.add.at(edges, start + table.length, -1)
