@@ -8,10 +8,10 @@ word shingles; two documents are linked when ``100 * common >= 75 * union``.
 2. Signatures are cut into bands; every bucket offers its members a link to
    one centre (a star, never all pairs). A link counts after both full shingle
    sets were compared. Hot centres are salted by their number of links.
-3. Verified links are grouped by union-find and star rounds. Buckets whose
-   members are still in different groups get a new centre, then, if any are
-   left, the remaining members are compared by their signatures block by
-   block; pairs whose signatures come near the threshold are verified too.
+3. Verified links are grouped by union-find and star rounds. In buckets whose
+   members are still in different groups, the remaining members are compared
+   block by block: where two signatures come near the threshold, the full sets
+   decide; only links leave the task, never pairs.
 
 Defined cases: null or wordless text has an empty set (n_shingles 0) and links
 with nothing; a text of fewer words than a shingle is one shingle; rows that
@@ -34,9 +34,9 @@ from .components import components
 from .textscan import U64, Words, map_texts, mix, ngrams, signed, slices, spans, words
 
 SLOTS, BAND_ROWS = 128, 4  # 32 bands: a pair at similarity 0.75 is missed once in 190,000
-STAR_ROUNDS = 2
 LINKS_PER_TASK = 128
-BLOCK = 2048
+BLOCK = 2048  # rows of a bucket, and their shingles, in one block
+BLOCK_SHINGLES = 1 << 20
 NEAR = 0.57  # share of equal slots; 4.7 standard deviations under 0.75
 _STEP = 0x9E3779B97F4A7C15
 
@@ -159,35 +159,60 @@ def verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> D
     return cut_lineage(texts.groupBy("centre", "salt").applyInArrow(compare, "a long, b long").distinct())
 
 
-def _blocks(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of one block pair of a bucket whose sketches come near the threshold."""
-    ids, groups, sides, sketches = [], [], [], []
-    for b in batches:
-        ids.append(b.column("id").to_numpy())
-        groups.append(b.column("group").to_numpy())
-        sides.append(b.column("chunk").to_numpy())
-        sketches += b.column("sketch").to_pylist()
-    ids, groups, sides = np.concatenate(ids), np.concatenate(groups), np.concatenate(sides)
-    sketch = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(ids), -1)
-    low, high = key[1].as_py(), key[2].as_py()
-    left, right = np.flatnonzero(sides == low), np.flatnonzero(sides == high)
-    for i in left.tolist():
-        near = right[(groups[right] != groups[i]) & ((ids[right] > ids[i]) if low == high else True)]
-        near = near[(sketch[near] == sketch[i]).mean(axis=1) >= NEAR]
-        if len(near):
-            a = np.full(len(near), ids[i])
-            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, ids[near])), pa.array(np.minimum(a, ids[near]))], ["a", "b"])
-
-
-def _remaining(active: DataFrame, signed_: DataFrame) -> DataFrame:
-    """Candidate pairs among bucket members of different groups, by blocks."""
-    sizes = cut_lineage(active.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("chunks")))
-    chunked = (active.join(sizes, "key").join(signed_.select("id", "sketch"), "id")
-               .withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks")))
+def _linked_in_blocks(shingle: int, percent: int):
+    """Task function: links between members of different groups in one block
+    pair of a bucket. Sets are compared in full where signatures come near the
+    threshold; what is linked already is not compared again, and a pair that
+    shares an earlier band is left to that band's bucket."""
+    def block(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, groups, chunks, sketches, bands, sets = [], [], [], [], [], []
+        for batch in batches:
+            for part in slices(batch, "text", 2 << 20, 4096):
+                flat, first = shingle_sets(words(part.column("text")), shingle)
+                sets += [flat[first[i]:first[i + 1]] for i in range(part.num_rows)]
+                ids.append(part.column("id").to_numpy())
+                groups.append(part.column("group").to_numpy())
+                chunks.append(part.column("chunk").to_numpy())
+                sketches += part.column("sketch").to_pylist()
+                bands.append(part.column("bands").flatten().to_numpy())
+        ids, chunks = np.concatenate(ids), np.concatenate(chunks)
+        group = np.unique(np.concatenate(groups), return_inverse=True)[1]
+        sketch = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(ids), -1)
+        band = np.concatenate(bands).reshape(len(ids), -1)
+        at = int(np.flatnonzero(band[0] == key[0].as_py())[0])
+        left, right = (np.flatnonzero(chunks == k.as_py()) for k in key[1:3])
+        a, b = [], []
+        for i in left.tolist():
+            near = right[(group[right] != group[i]) & ((ids[right] > ids[i]) if key[1] == key[2] else True)]
+            equal = (sketch[near] == sketch[i]).mean(axis=1)
+            near, equal = near[equal >= NEAR], equal[equal >= NEAR]
+            near = near[np.argsort(-equal, kind="stable")]
+            for j in near[~(band[near, :at] == band[i, :at]).any(axis=1)].tolist():
+                if group[i] == group[j]:
+                    continue
+                both = _common(sets[i], sets[j])
+                if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                    a.append(max(ids[i], ids[j]))
+                    b.append(min(ids[i], ids[j]))
+                    group[group == group[j]] = group[i]
+        if a:
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return block
+
+
+def _remaining_links(active: DataFrame, reps: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links among bucket members (key, id, group) of different groups."""
+    active = cut_lineage(active.join(reps, "id"))
+    sizes = cut_lineage(active.groupBy("key").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("chunks")))
+    chunked = active.join(sizes, "key").withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks"))
     dealt = chunked.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
     dealt = dealt.select("key", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"),
-                         "id", "group", "chunk", "sketch")
-    return dealt.groupBy("key", "low", "high").applyInArrow(_blocks, "a long, b long").distinct()
+                         "id", "group", "chunk", "sketch", "bands")
+    texts = docs.join(cut_lineage(dealt).hint("shuffle_hash"), "id")
+    return cut_lineage(texts.groupBy("key", "low", "high")
+                       .applyInArrow(_linked_in_blocks(shingle, percent), "a long, b long").distinct())
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
@@ -197,32 +222,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed_ = cut_lineage(signatures(docs, shingle))
     known = signed_.filter("id is not null and n > 0")
     classes = cut_lineage(known.groupBy("n", "f1", "f2").agg(F.min("id").alias("rep"), F.count("*").alias("rows")))
-    reps = cut_lineage(known.join(classes.select(F.col("rep").alias("id")).distinct(), "id").select("id", "bands", "sketch"))
+    reps = cut_lineage(known.join(classes.select(F.col("rep").alias("id")).distinct(), "id").select("id", "n", "bands", "sketch"))
     buckets = reps.select("id", F.explode("bands").alias("key"))
     shared = cut_lineage(buckets.groupBy("key").agg(F.min("id").alias("centre"), F.count("*").alias("members")).filter("members > 1"))
     active = cut_lineage(buckets.join(shared, "key").select("key", "id", "centre"))
     links = verified(active.filter("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct(),
                      docs, shingle, percent)
-    for turn in range(STAR_ROUNDS):
-        groups = cut_lineage(components(links))
-        active = active.filter("id <> centre").select("key", "id")
-        if turn:
-            active = cut_lineage(active)
-        active = cut_lineage(active.join(groups, active["id"] == groups["node"], "left")
-                             .select("key", "id", F.coalesce("component", "id").alias("group")))
-        split = cut_lineage(active.groupBy("key").agg(F.min("group").alias("g"), F.max("group").alias("h"), F.min("id").alias("centre"))
-                            .filter("g <> h").select("key", "centre"))
-        active = cut_lineage(active.join(split, "key"))
-        if active.isEmpty():
-            break
-        if turn + 1 < STAR_ROUNDS:
-            homes = active.filter("id = centre").select("key", F.col("group").alias("home"))
-            more = active.join(homes, "key").filter("id <> centre and group <> home") \
-                .select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct()
-        else:
-            more = _remaining(active.select("key", "id", "group"), reps)
-        links = cut_lineage(links.unionByName(verified(more, docs, shingle, percent)))
     groups = cut_lineage(components(links))
+    active = cut_lineage(active.filter("id <> centre").join(groups, F.col("id") == groups["node"], "left")
+                         .select("key", "id", F.coalesce("component", "id").alias("group")))
+    split = cut_lineage(active.groupBy("key").agg(F.min("group").alias("g"), F.max("group").alias("h"))
+                        .filter("g <> h").select("key"))
+    active = cut_lineage(active.join(split, "key"))
+    if not active.isEmpty():
+        more = _remaining_links(active, reps, docs, shingle, percent)
+        links = cut_lineage(links.unionByName(more))
+        groups = cut_lineage(components(links))
     homes = cut_lineage(classes.join(groups, classes["rep"] == groups["node"], "left")
                         .select("n", "f1", "f2", F.coalesce("component", "rep").alias("home")))
     if known.groupBy("id").count().filter("count > 1").isEmpty():
