@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
-from . import decontaminate, neardup, substrings
+from . import decontaminate, mixing, neardup, sharding, substrings, tokenfiles, topk, warc
 
 QUERIES = {
     "op1_near_dedup": neardup.op1_near_dedup,
     "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op5_mixing": mixing.op5_mixing,
+    "op6_top_k": topk.op6_top_k,
+    "op7_warc": warc.op7_warc,
     "op8_substring_dedup": substrings.op8_substring_dedup,
+    "op9_token_ids": tokenfiles.op9_token_ids,
+    "op10_sharding": sharding.op10_sharding,
 }
 SQL = {
     "op1_near_dedup": neardup.OP1_SQL,
     "op2_decontaminate": decontaminate.OP2_SQL,
+    "op5_mixing": mixing.OP5_SQL,
+    "op6_top_k": topk.OP6_SQL,
+    "op7_warc": warc.OP7_SQL,
     "op8_substring_dedup": substrings.OP8_SQL,
+    "op10_sharding": sharding.OP10_SQL,
 }
