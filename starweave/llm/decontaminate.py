@@ -14,7 +14,7 @@ the size of the benchmark: each block scans the documents and what it finds is
 united by document.
 
 Defined cases: null or wordless texts have no words and are clean; items
-without words hold no window; windows shared by items count for each of them;
+without words hold no window; an item without id is named by the empty string; windows shared by items count for each of them;
 rows that repeat a doc_id are judged each by itself; an empty benchmark leaves
 everything clean; further columns are ignored.
 """
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .rows import keyed_rows
-from .textscan import ALNUM_WORDS, U64, Words, map_texts, ranges, words
+from .textscan import ALNUM_WORDS, U64, Words, keep_rows, map_texts, ranges, words
 
 WINDOW = 13
 PATTERN_BYTES = 16 << 20  # benchmark text that one scan of the documents looks for
@@ -114,41 +114,56 @@ def _digest(items) -> str:
     return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
 
 
-def _scan(docs: DataFrame, items: pa.Table, window: int) -> DataFrame:
-    """(row, id, n_words, hit ranges, items) of every document for a pattern block."""
+def _searcher(items: pa.Table, window: int):
+    """A function from a text column to its words, the covered ones among them,
+    and the items that each text holds."""
     names = items.column("item").to_pylist()
     search = tables(words(items.column("text"), ALNUM_WORDS), window)
 
-    def scan(part: pa.RecordBatch) -> pa.RecordBatch:
-        found = words(part.column("text"), ALNUM_WORDS)
-        total = found.first[-1]
-        edges = np.zeros(total + 1, np.int64)
-        doc_hits: dict[int, set[str]] = {}
+    def find(column: pa.Array) -> tuple[Words, np.ndarray, dict[int, set[str]]]:
+        found = words(column, ALNUM_WORDS)
+        edges = np.zeros(found.first[-1] + 1, np.int64)
+        held: dict[int, set[str]] = {}
         for table in search:
             start, pattern = occurrences(found, table)
             np.add.at(edges, start, 1)
             np.add.at(edges, start + table.length, -1)
             seen = np.unique(np.stack([np.searchsorted(found.first, start, "right") - 1, pattern]), axis=1)
             for doc, p in seen.T.tolist():
-                doc_hits.setdefault(doc, set()).update(names[i] for i in table.owners[p].tolist())
-        hit = np.diff((np.cumsum(edges[:-1]) > 0).astype(np.int8), prepend=0, append=0) if total else np.zeros(1, np.int8)
-        begin, end = np.flatnonzero(hit == 1), np.flatnonzero(hit == -1)
-        # a covered stretch may run across a text border: cut it there
-        cut = found.first[1:-1]
-        inner = cut[(np.searchsorted(begin, cut, "left") - np.searchsorted(end, cut, "right")) > 0]
-        begin, end = np.sort(np.concatenate([begin, inner])), np.sort(np.concatenate([end, inner]))
-        doc = np.searchsorted(found.first, begin, "right") - 1
-        offsets = np.searchsorted(doc, np.arange(part.num_rows + 1)).astype(np.int32)
+                held.setdefault(doc, set()).update(names[i] for i in table.owners[p].tolist())
+        return found, np.cumsum(edges[:-1]) > 0, held
+
+    return find
+
+
+def _scan(docs: DataFrame, items: pa.Table, window: int) -> DataFrame:
+    """(row, id, n_words, hit ranges, items) of every document for a pattern block."""
+    find = _searcher(items, window)
+
+    def scan(part: pa.RecordBatch) -> pa.RecordBatch:
+        found, hit, held = find(part.column("text"))
+        owner = found.owner()
+        new = np.concatenate(([True], (hit[1:] != hit[:-1]) | (owner[1:] != owner[:-1]))) if len(hit) else hit
+        begin = np.flatnonzero(new)
+        end = np.append(begin[1:], len(hit))
+        begin, end = begin[hit[begin]], end[hit[begin]]
+        doc = owner[begin]
+        offsets = pa.array(np.searchsorted(doc, np.arange(part.num_rows + 1)), pa.int32())
         base = found.first[doc]
-        spans = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(x - base)) for x in (begin, end)]
+        spans = [pa.ListArray.from_arrays(offsets, pa.array(x - base)) for x in (begin, end)]
         return pa.RecordBatch.from_arrays(
             [part.column("row"), part.column("id"), pa.array(found.counts), *spans,
-             pa.array([sorted(doc_hits.get(i, ())) for i in range(part.num_rows)], pa.list_(pa.string()))],
+             pa.array([sorted(held.get(i, ())) for i in range(part.num_rows)], pa.list_(pa.string()))],
             ["row", "id", "n_words", "hit_start", "hit_end", "items"])
 
     return map_texts(docs, scan, "row long, id long, n_words long, hit_start array<long>, hit_end array<long>, items array<string>")
 
 
+def _items(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
+    item = F.coalesce(F.col(item_col).cast("string"), F.lit(""))
+    return benchmark.select(item.alias("item"), F.col(text_col).alias("text")).filter("text is not null")
+
+
 def _pattern_blocks(benchmark: DataFrame):
     """The benchmark's items in blocks of at most PATTERN_BYTES (an item larger
     than that is its own block)."""
@@ -166,8 +181,7 @@ def contaminated_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
                        item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """(id, n_words, hit_start, hit_end, items): the word ranges of every
     document that lie in occurrences of benchmark windows, and those items."""
-    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text")).filter("text is not null")
-    blocks = list(_pattern_blocks(items))
+    blocks = list(_pattern_blocks(_items(benchmark, item_col, item_text_col)))
     if len(blocks) == 1:
         docs = docs.select(F.col(id_col).cast("long").alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
         return _scan(docs, blocks[0](), window).drop("row")
@@ -203,6 +217,24 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **columns) -> DataFrame
         judge, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
 
 
+def decontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs``, as they are, that are not contaminated."""
+    blocks = list(_pattern_blocks(_items(benchmark, item_col, item_text_col)))
+    if len(blocks) > 1:  # the verdict needs what all blocks have found
+        judged = contamination(docs, benchmark, id_col=id_col, text_col=text_col, item_col=item_col, item_text_col=item_text_col, window=window)
+        gone = judged.filter("contaminated").select(F.col("doc_id").alias("gone_id")).distinct()
+        return docs.join(gone, F.col(id_col).eqNullSafe(F.col("gone_id")), "left_anti")
+    find = _searcher(blocks[0](), window)
+
+    def clean(texts: pa.Array) -> np.ndarray:
+        found, hit, _ = find(texts)
+        n = np.bincount(found.owner()[hit], minlength=len(texts))
+        return ~((n > 0) & (20 * n >= found.counts))
+
+    return keep_rows(docs, clean, text_col)
+
+
 def op2_decontaminate(spark, sf_dir: str) -> DataFrame:
     return contamination(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 

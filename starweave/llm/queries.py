@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, neardup, sharding, substrings, tokenfiles, topk, warc
+from . import decontaminate, language, mixing, neardup, quality, sharding, substrings, tokenfiles, topk, warc
 
 QUERIES = {
     "op1_near_dedup": neardup.op1_near_dedup,
     "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op3_language_id": language.op3_language_id,
+    "op4_quality": quality.op4_quality,
     "op5_mixing": mixing.op5_mixing,
     "op6_top_k": topk.op6_top_k,
     "op7_warc": warc.op7_warc,

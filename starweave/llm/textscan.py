@@ -175,5 +175,16 @@ def map_texts(df, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, t
     return df.mapInArrow(run, schema)
 
 
+def keep_rows(df, mask: Callable[[pa.Array], np.ndarray], text: str = "text", max_bytes: int = 2 << 20):
+    """The rows, with all their columns, whose texts a function of a text column keeps."""
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, text, max_bytes, 4096):
+                out = part.filter(pa.array(mask(part.column(part.schema.get_field_index(text)))))
+                if out.num_rows:
+                    yield out
+    return df.mapInArrow(run, df.schema)
+
+
 def signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
