@@ -92,8 +92,9 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def words(column: pa.Array, rule: np.ndarray = SPACE_WORDS, lower: bool = True) -> Words:
-    """Words of every text by a byte rule, A-Z lowered before hashing on request."""
+def words(column: pa.Array, rule: np.ndarray = SPACE_WORDS, lower: bool = True, split: Callable | None = None) -> Words:
+    """Words of every text by a byte rule, A-Z lowered before hashing on request;
+    ``split`` may cut the words (bytes, starts, ends) further."""
     data, offsets = utf8(column)
     if not len(data):
         none = np.empty(0, np.int64)
@@ -107,6 +108,8 @@ def words(column: pa.Array, rule: np.ndarray = SPACE_WORDS, lower: bool = True)
     before[-1], before[:-1] = False, inside[1:]
     before[edge - 1] = False
     end = np.flatnonzero(inside & ~before) + 1
+    if split is not None:
+        start, end = split(data, start, end)
     return Words(data, start, end, _word_hashes(data, start, end, _LOWER if lower else _SAME),
                  np.searchsorted(start, offsets))
 

@@ -13,8 +13,9 @@ that a checksum of data that holds checksums stays sound. Ids are stored in two
 bytes where the vocabulary allows it.
 
 Texts are encoded by the tokenizers library. Its normaliser and pre-tokenizer
-never join what white space parts, so each distinct white-space word of a task
-is encoded once and the ids are gathered.
+never join what white space parts, nor a letter and a full stop, and ignore
+case, so each distinct piece of a task's texts is encoded once and the ids are
+gathered.
 
 Defined cases: null and empty texts hold the end id alone; rows without id come
 first; rows that repeat an id keep a record each, ordered by text; an empty
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .files import located, new_folder, publish
-from .textscan import SPACE_WORDS, U64, ranges, slices, words
+from .textscan import ALNUM_WORDS, SPACE_WORDS, U64, Words, mix, ranges, slices, words
 
 HEAD = b"SWTOK1"
 INDEX = np.dtype([("id", "<i8"), ("null", "u1"), ("offset", "<u8"), ("n", "<u4")])
@@ -42,6 +43,7 @@ END_ID = 1
 MASK_DELTA = 0xA282EAD8
 WORDS_HELD = 1 << 20
 READ_BYTES = 8 << 20
+_LETTERS = ALNUM_WORDS & (np.arange(256) < 0x80)
 
 
 def masked(data: bytes) -> int:
@@ -50,6 +52,29 @@ def masked(data: bytes) -> int:
     return (((crc >> 15) | (crc << 17)) + MASK_DELTA) & 0xFFFFFFFF
 
 
+def _split(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Cut the last comma or full stop off words where it follows an ASCII letter
+    or digit: the tokenizer parts them there as well."""
+    last = data[end - 1]
+    cut = ((last == 0x2C) | (last == 0x2E)) & (end - start > 1) & _LETTERS[data[end - 2]]
+    at = np.flatnonzero(cut)
+    return np.insert(start, at + 1, end[at] - 1), np.insert(end, at, end[at] - 1)
+
+
+def pieces(column: pa.Array) -> tuple[Words, np.ndarray]:
+    """The pieces of all texts and a key for each. The tokenizer lowers all text
+    but its own special tokens, so keys ignore the case of A-Z in pieces
+    without ``<``."""
+    found = words(column, SPACE_WORDS, split=_split)
+    key = found.hash
+    angle = np.concatenate(([0], np.cumsum(found.data == 0x3C)))
+    exact = np.flatnonzero(angle[found.end] > angle[found.start])
+    if len(exact):
+        key = key.copy()
+        key[exact] = mix(words(column, SPACE_WORDS, lower=False, split=_split).hash[exact])
+    return found, key
+
+
 class Encoder:
     """Encodes columns of texts, each distinct word once while it is held."""
 
@@ -74,8 +99,8 @@ class Encoder:
 
     def encode(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, each ended, and their counts."""
-        found = words(column, SPACE_WORDS, lower=False)
-        key, first, which = np.unique(found.hash, return_index=True, return_inverse=True)
+        found, key = pieces(column)
+        key, first, which = np.unique(key, return_index=True, return_inverse=True)
         if len(self.key) > WORDS_HELD:
             self._forget()
         new = ~np.isin(key, self.key, assume_unique=True)
@@ -89,6 +114,16 @@ class Encoder:
         return np.insert(ids, ends[1:], end_id), np.diff(ends) + 1
 
 
+def worker_encoder(path: str) -> Encoder:
+    """One encoder per worker process, whose pieces serve all its tasks. Tasks
+    bring their own copy of this module, so it is kept with the library."""
+    import tokenizers
+    held = tokenizers.__dict__.setdefault("_starweave_encoders", {})
+    if path not in held:
+        held[path] = Encoder(path)
+    return held[path]
+
+
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write the token files; returns (part, path, docs, ids), one row per file."""
@@ -96,7 +131,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
     rows = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
 
     def write(batches):
-        encoder = Encoder(tokenizer)
+        encoder = worker_encoder(tokenizer)
         width = 2 if max(encoder.vocabulary, end_id + 1) <= 1 << 16 else 4
         kind = np.dtype(f"<u{width}")
         system, root = located(folder)
