@@ -23,12 +23,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .textscan import keep_rows, map_texts, slices
+from .textscan import keep_rows, map_texts, slices, tidy
 
 PROFILE = 400
 UNKNOWN = "und"
 GRAMS_HELD = 1 << 21
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 SPACE = 32
 
 
@@ -86,6 +86,7 @@ def ranked(codes: np.ndarray, size: int) -> np.ndarray:
 def learn(docs: DataFrame, size: int = PROFILE) -> dict[str, list[int]]:
     """Profiles by language from (text, lang)."""
     def count(batches):
+        tidy()
         held: dict[str, list] = {}
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES, 4096):

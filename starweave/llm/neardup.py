@@ -132,7 +132,7 @@ def verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> D
     def compare(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centre, held, kept = key[0].as_py(), [], None
         for batch in batches:  # the texts of one salted share of a centre's links
-            for part in slices(batch, "text", 2 << 20, 4096):
+            for part in slices(batch, "text", 1 << 20, 4096):
                 sets, first = shingle_sets(words(part.column("text")), shingle)
                 ids = part.column("id").to_pylist()
                 for i, own in enumerate(ids):
@@ -167,7 +167,7 @@ def _linked_in_blocks(shingle: int, percent: int):
     def block(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, groups, chunks, sketches, bands, sets = [], [], [], [], [], []
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20, 4096):
+            for part in slices(batch, "text", 1 << 20, 4096):
                 flat, first = shingle_sets(words(part.column("text")), shingle)
                 sets += [flat[first[i]:first[i + 1]] for i in range(part.num_rows)]
                 ids.append(part.column("id").to_numpy())

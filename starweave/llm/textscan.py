@@ -9,6 +9,7 @@ prefix sums.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -19,7 +20,7 @@ import pyarrow.compute as pc
 U64 = np.uint64
 _BYTE_BASE = 0x9E3779B97F4A7C15 | 1
 _WORD_BASE = 0xD1342543DE82EF95 | 1
-_HASH_BLOCK = 1 << 21  # bytes hashed at a time
+_HASH_BLOCK = 1 << 19  # bytes hashed at a time
 
 # Word rules as tables over byte values (all bytes of multi-byte characters
 # are 0x80 and above, so byte rules equal the character rules).
@@ -49,7 +50,7 @@ class _Powers:
 
     def to(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            size = max(n, 2 * len(self.up))
+            size = max(n, min(2 * len(self.up), _HASH_BLOCK))
             self.up = np.cumprod(np.concatenate(([U64(1)], np.full(size - 1, self.base, U64))), dtype=U64)
             self.down = np.cumprod(np.concatenate(([U64(1)], np.full(size - 1, self.inverse, U64))), dtype=U64)
         return self.up[:n], self.down[:n]
@@ -166,10 +167,18 @@ def slices(batch: pa.RecordBatch, text: str, max_bytes: int, max_rows: int) -> I
         i = j
 
 
+def tidy() -> None:
+    """Free what earlier tasks of this worker left: their copies of these
+    modules are cycles, and Arrow keeps what it has freed."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def map_texts(df, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, text: str = "text",
-              max_bytes: int = 2 << 20, max_rows: int = 4096):
+              max_bytes: int = 1 << 20, max_rows: int = 4096):
     """``mapInArrow`` over slices of the frame's batches."""
     def run(batches):
+        tidy()
         for batch in batches:
             for part in slices(batch, text, max_bytes, max_rows):
                 out = fn(part)
@@ -178,9 +187,10 @@ def map_texts(df, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, t
     return df.mapInArrow(run, schema)
 
 
-def keep_rows(df, mask: Callable[[pa.Array], np.ndarray], text: str = "text", max_bytes: int = 2 << 20):
+def keep_rows(df, mask: Callable[[pa.Array], np.ndarray], text: str = "text", max_bytes: int = 1 << 20):
     """The rows, with all their columns, whose texts a function of a text column keeps."""
     def run(batches):
+        tidy()
         for batch in batches:
             for part in slices(batch, text, max_bytes, 4096):
                 out = part.filter(pa.array(mask(part.column(part.schema.get_field_index(text)))))

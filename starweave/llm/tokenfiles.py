@@ -35,13 +35,13 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .files import located, new_folder, publish
-from .textscan import ALNUM_WORDS, SPACE_WORDS, U64, Words, mix, ranges, slices, words
+from .textscan import ALNUM_WORDS, SPACE_WORDS, U64, Words, mix, ranges, slices, tidy, words
 
 HEAD = b"SWTOK1"
 INDEX = np.dtype([("id", "<i8"), ("null", "u1"), ("offset", "<u8"), ("n", "<u4")])
 END_ID = 1
 MASK_DELTA = 0xA282EAD8
-WORDS_HELD = 1 << 20
+WORDS_HELD = 3 << 18
 READ_BYTES = 8 << 20
 _LETTERS = ALNUM_WORDS & (np.arange(256) < 0x80)
 
@@ -131,6 +131,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
     rows = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
 
     def write(batches):
+        tidy()
         encoder = worker_encoder(tokenizer)
         width = 2 if max(encoder.vocabulary, end_id + 1) <= 1 << 16 else 4
         kind = np.dtype(f"<u{width}")
@@ -141,7 +142,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
         out = index = None
         total = count = 0
         for batch in batches:
-            for piece in slices(batch, "text", 2 << 20, 4096):
+            for piece in slices(batch, "text", 1 << 20, 4096):
                 if out is None:
                     out, index = system.open_output_stream(f"{draft}.tok"), system.open_output_stream(f"{draft}.idx")
                     out.write(HEAD + bytes([width, 0]))
