@@ -40,7 +40,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     times = F.floor((2 * F.sum("taken") + F.sum("size")) / F.greatest(2 * F.sum("size"), F.lit(1)))
     mixed = mixing.mix(docs).groupBy(F.col("doc_id").alias("mixed_id")).agg(times.cast("int").alias("mixed_times"))
     mixed = cut_lineage(mixed.filter("mixed_times > 0"))
-    taken = docs.join(mixed, docs["doc_id"].eqNullSafe(mixed["mixed_id"]))
+    # the same plan at every size: the kept ids grow with the corpus
+    taken = docs.join(mixed.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(mixed["mixed_id"]))
     return taken.withColumn("mixed_turn", F.explode(F.sequence(F.lit(1), "mixed_times"))).select(
         *[docs[c] for c in docs.columns])
 
