@@ -10,7 +10,9 @@ the sources by highest quotients ``target / (2j - 1)``, and each source's
 blocks to its shards, again by highest quotients. A source's documents stand
 in a seeded order, end to end; its shards are equal stretches of that line.
 Each shard takes all its blocks as often as its quota holds them, and the
-rest of the quota as a run of blocks from a seeded place on.
+rest of the quota as a run of blocks from a seeded place on. A source's last
+block may be short and be taken up to three times, so that what is taken lies
+within four blocks of the target.
 
 A document's start on the line comes from sums of hash buckets and a running
 sum within one bucket; both have about the square root of the row count as

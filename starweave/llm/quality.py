@@ -146,7 +146,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machine
     known = docs.join(F.broadcast(chosen), "id")  # at most `rows` ids
     table = map_texts(known.select("id", "label", "text"), sparse, "id long, label double, index array<int>, value array<float>").toArrow()
     if not table.num_rows:
-        return Machine()
+        blank = Machine()
+        blank.v[:] = 0
+        return blank
     table = table.sort_by([("id", "ascending")]).combine_chunks()
     lists = table.column("index").combine_chunks()
     return Machine().fit(lists.flatten().to_numpy(), table.column("value").combine_chunks().flatten().to_numpy(),
