@@ -336,6 +336,8 @@ FROM fct_session_events"""),
     "revenue_by_month": _rev(["year", "month"], join_date=True),
     "revenue_by_method": _rev(["payment_method"]),
     "revenue_by_sr_status": _rev(["sr_status"]),
+    "revenue_by_geography": _rev(["geography_key"]),
+    "revenue_by_status": _rev(["payment_status"]),
     "bounce_rate": q(f"""SELECT CAST(sum(is_bounce_session * is_first_event_in_session) AS BIGINT) AS bounce_sessions,
   count(DISTINCT session_key) AS total_sessions,
   {ratio("sum(is_bounce_session * is_first_event_in_session)", "count(DISTINCT session_key)")} AS bounce_rate

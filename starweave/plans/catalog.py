@@ -161,6 +161,8 @@ def registry() -> dict[str, Query]:
     q["revenue_by_month"] = _rev(["year", "month"], calendar=True)
     q["revenue_by_method"] = _rev(["payment_method"])
     q["revenue_by_sr_status"] = _rev(["sr_status"])
+    q["revenue_by_geography"] = _rev(["geography_key"])
+    q["revenue_by_status"] = _rev(["payment_status"])
     for name in ["bounce_rate", "avg_session_depth", "avg_session_duration",
                  "events_by_entry_page", "booking_rate_by_entry_page",
                  "avg_seconds_between_events", "funnel_drop_off", "sessions_with_conversion"]:

@@ -47,11 +47,6 @@ KEY_OF = {
     "dim_session": "session_key", "dim_service_request": "service_request_key",
 }
 TEXT_DATE_KEYS = {"fct_booking_events", "fct_booking_funnel", "fct_revenue"}
-# Tables where a replaced row may sit in another month than its replacement
-# (a session's first booking can move to an earlier event). Elsewhere the
-# month comes from an immutable timestamp of the key, or the change set holds
-# every row of the replaced key, so the batch's own months are exact.
-MONTH_MAY_MOVE = {"fct_booking_events"}
 
 
 def schema_of(table: str) -> str:
@@ -94,20 +89,14 @@ class Warehouse:
         return df.sortWithinPartitions(*cluster) if cluster else df
 
     def _write(self, table: str, df: DataFrame) -> None:
-        w = self._laid_out(table, df).write.mode("overwrite")
+        w = self._laid_out(table, df).write.mode("overwrite").option("partitionOverwriteMode", "static")
         if table in MONTH_OF:
             w = w.partitionBy(MONTH)
         w.parquet(self.path(table))
 
     def write_full(self, table: str, df: DataFrame) -> None:
         """Full rebuild (K1); static overwrite of the whole table."""
-        conf = self.spark.conf
-        old = conf.get("spark.sql.sources.partitionOverwriteMode")
-        conf.set("spark.sql.sources.partitionOverwriteMode", "static")
-        try:
-            self._write(table, df)
-        finally:
-            conf.set("spark.sql.sources.partitionOverwriteMode", old)
+        self._write(table, df)
 
     def append(self, table: str, rows: DataFrame) -> None:
         """Insert-only members: append files, nothing rewritten."""
@@ -127,44 +116,38 @@ class Warehouse:
         self.write_full(table, cut_lineage(df))
 
     def merge_partitions(self, table: str, fresh: DataFrame, on: str, check_unique: bool) -> None:
-        """Replace rows whose ``on`` value occurs in ``fresh`` and insert the
-        rest, rewriting only the month partitions involved.
-
-        One aggregation over the (materialised) batch yields everything the
-        merge needs: emptiness, key uniqueness and null keys, the number of
-        keys (broadcast decision) and the months it touches.
-        """
-        from pyspark.sql import functions as F
+        """Replace rows whose ``on`` value occurs in ``fresh``, in whatever month
+        they stand, and insert the rest, rewriting only the months involved."""
         fresh = cut_lineage(fresh.withColumn(MONTH, month_expr(table)))
-        per_key = fresh.groupBy(on).agg(F.count(F.lit(1)).alias("_n"),
-                                        F.collect_set(MONTH).alias("_m"))
-        st = per_key.agg(F.count(F.lit(1)).alias("keys"), F.max("_n").alias("max_n"),
-                         F.count_if(F.col(on).isNull()).alias("null_keys"),
-                         F.array_distinct(F.flatten(F.collect_list("_m"))).alias("months"),
-                         ).first()
-        if not st["keys"]:
+        month = F.col(MONTH).cast("string")  # read back, the folder name is a number
+        months = {r[0] for r in fresh.select(month).distinct().collect()}  # calendar months of one batch
+        if not months:
             return
-        if check_unique and (st["null_keys"] or st["max_n"] > 1):
-            raise ValueError(f"{table}: merge batch keys on {on} must be unique and non-null")
-        months = set(st["months"])  # bounded: calendar months touched by one batch
+        if check_unique:
+            odd = fresh.groupBy(on).agg(F.count(F.lit(1)).alias("_n")).filter((F.col("_n") > 1) | F.col(on).isNull())
+            if not odd.isEmpty():
+                raise ValueError(f"{table}: merge batch keys on {on} must be unique and non-null")
         keys = fresh.select(on).distinct()
-        if st["keys"] <= 2_000_000:
-            keys = F.broadcast(keys)
         cur = self.read(table, keep_month=True)
-        if table in MONTH_MAY_MOVE:
-            moved = cur.select(on, MONTH).join(keys, on, "left_semi").select(MONTH).distinct()
-            months |= {r[0] for r in moved.collect()}
-        in_months = F.col(MONTH).isin([m for m in months if m is not None])
+        # a corrected timestamp moves a row: its old month is rewritten too
+        months |= {r[0] for r in cur.select(on, MONTH).join(keys, on, "left_semi").select(month).distinct().collect()}
+        in_months = month.isin([m for m in months if m is not None])
         if None in months:
-            in_months = in_months | F.col(MONTH).isNull()
+            in_months = in_months | month.isNull()
         kept = cur.filter(in_months).join(keys, on, "left_anti")
         parts = cut_lineage(kept.unionByName(fresh.select(*kept.columns)))
-        conf = self.spark.conf
-        prev = conf.get("spark.sql.sources.partitionOverwriteMode")
-        conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            cluster = [MONTH, *CLUSTER_BY[table], KEY_OF[table]]
-            (parts.repartitionByRange(*cluster).sortWithinPartitions(*cluster)
-             .write.mode("overwrite").partitionBy(MONTH).parquet(self.path(table)))
-        finally:
-            conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        left = {r[0] for r in parts.select(month).distinct().collect()}
+        order = [MONTH, *CLUSTER_BY[table], KEY_OF[table]]
+        (parts.repartitionByRange(*order).sortWithinPartitions(*order)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(self.path(table)))
+        self._drop_months(table, months - left)
+
+    def _drop_months(self, table: str, months: set) -> None:
+        """Remove partitions whose rows have all moved to another month; a
+        dynamic overwrite leaves those untouched."""
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for m in months:
+            name = "__HIVE_DEFAULT_PARTITION__" if m is None else m
+            part = jvm.org.apache.hadoop.fs.Path(f"{self.path(table)}/{MONTH}={name}")
+            part.getFileSystem(conf).delete(part, True)

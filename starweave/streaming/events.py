@@ -46,16 +46,10 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def _overwrite_partitions(df: DataFrame, path: str, part: str, order: list[str]) -> None:
     """Replace the partitions present in ``df``; the first write creates the
     table (static), later ones are dynamic partition overwrites."""
-    spark = df.sparkSession
-    mode = "dynamic" if _exists(spark, path) else "static"
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
-    try:
-        cols = [part, *order]
-        (df.repartitionByRange(*cols).sortWithinPartitions(*cols)
-         .write.mode("overwrite").partitionBy(part).parquet(path))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    mode = "dynamic" if _exists(df.sparkSession, path) else "static"
+    cols = [part, *order]
+    (df.repartitionByRange(*cols).sortWithinPartitions(*cols)
+     .write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(part).parquet(path))
 
 
 def merge_events_batch(batch: DataFrame, landed_path: str, facts_path: str,
@@ -67,13 +61,15 @@ def merge_events_batch(batch: DataFrame, landed_path: str, facts_path: str,
     if not days:
         return
     if _exists(spark, landed_path):
-        old = spark.read.parquet(landed_path).filter(F.col(DAY).isin(days))
-        new_events = cut_lineage(fresh.join(old.select("event_id"), "event_id", "left_anti"))
-        day_rows = cut_lineage(old.unionByName(new_events))
+        landed = spark.read.parquet(landed_path)
+        # an event may come again under another day: ids are looked up in all of them
+        new_events = fresh.join(landed.select("event_id"), "event_id", "left_anti")
+        day_rows = cut_lineage(landed.filter(F.col(DAY).isin(days)).unionByName(new_events))
     else:
-        new_events, day_rows = fresh, fresh
-    # sessions touched by this batch; materialised before the landed files change
-    touched = cut_lineage(new_events.select("session_id").distinct())
+        day_rows = fresh
+    # Sessions of all delivered events, landed before or not: a delivery that is
+    # replayed after a failure between the two writes recomputes their facts.
+    touched = fresh.select("session_id").distinct()
     _overwrite_partitions(day_rows, landed_path, DAY, ["session_id", "event_id"])
 
     # whole sessions touched by this batch, recomputed from the landed table
