@@ -59,15 +59,8 @@ def assert_unique_keys(df: DataFrame, keys: Sequence[str], what: str = "lookup")
         raise ValueError(f"{what}: join key {list(keys)} not unique, e.g. {dup[0].asDict()}")
 
 
-def materialized_keys(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Materialise a (usually small) key set once and return it with a
-    broadcast hint when its measured row count is within ``max_rows``.
-
-    Used for incremental scopes (keys touched by one batch): probing the
-    materialised set is cheap, and a broadcast semi join then filters the
-    large table on the mappers instead of shuffling it. Above the bound the
-    set is returned unhinted and joins stay shuffled.
-    """
+def materialized_keys(df: DataFrame) -> DataFrame:
+    """The distinct keys touched by one batch, written once. Joins with them
+    are planned from the bytes of the written table, without a hint."""
     from ..session import cut_lineage
-    keys = cut_lineage(df.distinct())
-    return sized_broadcast(keys, max_rows)
+    return cut_lineage(df.distinct())

@@ -17,12 +17,12 @@ raw_events AS (
   SELECT 'evt_' || CAST(event_id AS VARCHAR) AS event_id,
          'session_' || CAST(user_id AS VARCHAR) || '_' || strftime(ts, '%Y%m%d') AS session_id,
          CASE event_type WHEN 'signup' THEN 'booking_started' WHEN 'purchase' THEN 'booking_submitted'
-              WHEN 'view' THEN 'pro_viewed' WHEN 'click' THEN 'pro_viewed' END AS event_type,
+              WHEN 'view' THEN 'pro_viewed' WHEN 'click' THEN 'pro_viewed' WHEN 'error' THEN 'error' END AS event_type,
          ts AS event_ts,
          CASE WHEN event_type = 'purchase' AND event_id % 10 <> 0
               THEN '{{"sr_id": "sr_' || CAST(event_id AS VARCHAR) || '"}}' ELSE '{{}}' END AS properties,
          ts AS _loaded_at, 'events' AS _source_file
-  FROM events WHERE event_type <> 'error'
+  FROM events
 ),
 raw_sessions AS (
   SELECT session_id, min(ts) AS started_at,
@@ -519,6 +519,9 @@ INCREMENTAL_SQL = {
     "incremental_funnel": MODEL_SQL["fct_booking_funnel"],
     "incremental_revenue": MODEL_SQL["fct_revenue"],
     "stream_session_events": MODEL_SQL["fct_session_events"],
+    "nightly_funnel": MODEL_SQL["fct_booking_funnel"],
+    "nightly_sessions": MODEL_SQL["fct_session_events"],
+    "nightly_revenue": MODEL_SQL["fct_revenue"],
     "scd2_service_request": _scd2_sr("2020-06-16", "2020-06-15"),
     "scd2_pro": _scd2_pro("2020-07-01", "2020-06-30"),
 }

@@ -30,16 +30,20 @@ DEFAULT_LOOKBACK_DAYS = 1
 @dataclass
 class Change:
     """Rows to write and the column whose values they replace: every existing
-    row whose ``on`` value appears in ``fresh`` is superseded."""
+    row whose ``on`` value appears in ``fresh`` or ``scope`` is superseded."""
 
     fresh: DataFrame
     on: str
     unique: bool = False       # ``on`` is the table key: a keyed upsert (checked)
     insert_only: bool = False  # ``fresh`` holds only members absent from the table
+    scope: DataFrame | None = None  # ``on`` values whose rows go even without a fresh one
+    track: tuple = ()          # columns of replaced and new rows that later steps ask for
 
     def apply(self, prev: DataFrame) -> DataFrame:
         if self.insert_only:
             return prev.unionByName(self.fresh.select(*prev.columns))
+        if self.scope is not None:
+            prev = prev.join(self.scope.select(self.on), self.on, "left_anti").select(*prev.columns)
         if self.unique:
             return upsert(prev, self.fresh, self.on)
         gone = self.fresh.select(self.on).distinct()
@@ -64,7 +68,7 @@ def step_dim_geography(prev: DataFrame, service_requests: DataFrame, run_ts) ->
 def step_dim_session(raw_sessions: DataFrame, as_of, run_ts) -> Change:
     """Sessions updated in the window replace their row (type 1)."""
     batch = dims.dim_session(raw_sessions.filter(lookback("updated_at", as_of, 1)), run_ts)
-    return Change(batch, "session_key", unique=True)
+    return Change(batch, "session_key", unique=True, track=("session_id",))
 
 
 def step_dim_service_request(prev: DataFrame, service_requests: DataFrame,
@@ -74,7 +78,7 @@ def step_dim_service_request(prev: DataFrame, service_requests: DataFrame,
     batch = dims.service_request_rows(
         service_requests.filter(lookback("updated_at", as_of, 1)), dim_category, dim_geography,
         run_ts)
-    return Change(scd2_changes(prev, batch, nk=["sr_id"], tracked=["status"]), "sr_id")
+    return Change(scd2_changes(prev, batch, nk=["sr_id"], tracked=["status"]), "sr_id", track=("sr_id",))
 
 
 def step_dim_pro(prev: DataFrame, profiles: DataFrame, as_of, run_ts) -> DataFrame:
@@ -105,7 +109,7 @@ def step_fct_booking_events(raw_events: DataFrame, as_of, run_ts) -> Change:
     whole = subs.join(touched, "session_id", "left_semi")
     fresh = facts.booking_event_rows(first_per_group(whole, ["session_id"],
                                                      ["event_ts", "event_id"]), run_ts)
-    return Change(fresh, "session_id")
+    return Change(fresh, "session_id", track=("sr_id",))
 
 
 def step_fct_session_events(raw_events: DataFrame, raw_sessions: DataFrame,
@@ -120,17 +124,18 @@ def step_fct_session_events(raw_events: DataFrame, raw_sessions: DataFrame,
     return Change(fresh, "session_key")
 
 
-def funnel_scope(service_requests: DataFrame, booking_events: DataFrame,
-                 dim_service_request: DataFrame, dim_session: DataFrame, dim_pro: DataFrame,
+def funnel_scope(service_requests: DataFrame, booking_events: DataFrame, booked: DataFrame,
+                 versioned: DataFrame, sessions: DataFrame, dim_pro: DataFrame,
                  dim_category: DataFrame, as_of) -> DataFrame:
-    """sr_ids whose funnel row may have changed since the last run."""
-    a = booking_events.filter(lookback("first_booking_ts", as_of, 1)).select("sr_id")
+    """sr_ids whose funnel row may have changed since the last run, from what
+    the steps before have changed: sr_ids of new and superseded bookings
+    (``booked``), of new SR versions (``versioned``) and bookings of changed
+    ``sessions``, however late these arrived."""
+    a = booked.select("sr_id")
     b = service_requests.filter(lookback("updated_at", as_of, 1)).select("sr_id")
-    c = (dim_service_request.filter(F.col("is_current") & lookback("valid_from", as_of, 1))
-         .select("sr_id"))
-    new_sessions = dim_session.filter(lookback("started_at", as_of, 1)).select("session_id")
-    e = booking_events.join(new_sessions, "session_id", "left_semi").select("sr_id")
-    pros = (dim_pro.filter(F.col("is_current") & lookback("valid_from", as_of, 1))
+    c = versioned.select("sr_id")
+    e = booking_events.join(sessions.select("session_id"), "session_id", "left_semi").select("sr_id")
+    pros =(dim_pro.filter(F.col("is_current") & lookback("valid_from", as_of, 1))
             .select("sp_id", "category_key"))
     sr_keys = lookup_join(service_requests.select("sr_id", "sp_id", "category"),
                           dim_category.select("category", "category_key"), "category")
@@ -138,15 +143,19 @@ def funnel_scope(service_requests: DataFrame, booking_events: DataFrame,
     return materialized_keys(a.union(b).union(c).union(d).union(e))
 
 
-def step_fct_booking_funnel(service_requests: DataFrame, models, as_of, run_ts) -> Change:
+def step_fct_booking_funnel(service_requests: DataFrame, models, booked: DataFrame,
+                            versioned: DataFrame, sessions: DataFrame, as_of, run_ts) -> Change:
+    """Rows of the scoped SRs are built anew; a scoped SR that yields no row
+    (its booking was superseded by an earlier one) loses the one it had."""
     m = models
-    scope = funnel_scope(service_requests, m["fct_booking_events"], m["dim_service_request"],
-                         m["dim_session"], m["dim_pro"], m["dim_category"], as_of)
+    scope = funnel_scope(service_requests, m["fct_booking_events"], booked, versioned, sessions,
+                         m["dim_pro"], m["dim_category"], as_of)
     fresh = facts.fct_booking_funnel(service_requests.join(scope, "sr_id", "left_semi"),
                                      m["dim_category"], m["dim_geography"],
                                      m["dim_service_request"], m["fct_booking_events"],
                                      m["dim_session"], m["dim_pro"], run_ts)
-    return Change(fresh, "booking_key", unique=True)
+    return Change(fresh, "booking_key", unique=True,
+                  scope=scope.select(F.col("sr_id").alias("booking_key")))
 
 
 def step_fct_revenue(raw_payments: DataFrame, service_requests: DataFrame, models, as_of,
@@ -253,7 +262,16 @@ def replay(spark, raw: RawSources, model: str, cutoff=None, run_ts=None) -> Data
         return step_fct_session_events(raw.raw_events, raw.raw_sessions, now["dim_session"],
                                        cutoff, ts).apply(prev)
     if model == "fct_booking_funnel":
-        return step_fct_booking_funnel(raw.service_requests, now, cutoff, ts).apply(prev)
+        bookings = step_fct_booking_events(raw.raw_events, cutoff, ts).fresh
+        replaced = before["fct_booking_events"].join(bookings.select("session_id"), "session_id",
+                                                     "left_semi")
+        versioned = step_dim_service_request(before["dim_service_request"], raw.service_requests,
+                                             now["dim_category"], now["dim_geography"], cutoff,
+                                             ts).fresh
+        return step_fct_booking_funnel(
+            raw.service_requests, now, bookings.select("sr_id").union(replaced.select("sr_id")),
+            versioned, step_dim_session(raw.raw_sessions, cutoff, ts).fresh, cutoff,
+            ts).apply(prev)
     if model == "fct_revenue":
         return step_fct_revenue(raw.raw_payments, raw.service_requests, now, cutoff,
                                 ts).apply(prev)

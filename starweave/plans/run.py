@@ -4,13 +4,21 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.raw import RawSources
 from . import incremental as inc
 from .build import BUILD_ORDER, Models, default_run_ts
 from .warehouse import Warehouse
 
+# Tables a single fact needs below it, in build order.
+SR_DIMS = ["dim_category", "dim_geography", "dim_pro", "dim_service_request"]
+NEEDED = {
+    "fct_session_events": ["dim_session", "fct_session_events"],
+    "fct_booking_funnel": [*SR_DIMS, "dim_session", "fct_booking_events", "fct_booking_funnel"],
+    "fct_revenue": [*SR_DIMS, "fct_revenue"],
+}
+
 
 def build_full_to_warehouse(spark: SparkSession, raw: RawSources, wh: Warehouse,
                             run_ts=None, tables=BUILD_ORDER) -> None:
@@ -23,30 +31,34 @@ def build_full_to_warehouse(spark: SparkSession, raw: RawSources, wh: Warehouse,
 
 
 def build_incremental(spark: SparkSession, raw: RawSources, wh: Warehouse, as_of: _dt.date,
-                      run_ts=None) -> None:
+                      run_ts=None, tables=BUILD_ORDER) -> None:
     """One nightly run at ``as_of``: dimensions first (upsert / insert-only /
     type-2), then facts from the refreshed dimensions, each fact rewriting
-    only the partitions its change set touches."""
+    only the partitions its change set touches. What a step replaced and wrote
+    scopes the funnel step after it."""
     ts = run_ts or default_run_ts()
-    prev = {n: wh.read(n) for n in BUILD_ORDER if n != "dim_date"}
     sr = raw.service_requests
-    wh.apply("dim_category", inc.step_dim_category(prev["dim_category"], sr, ts))
-    wh.apply("dim_geography", inc.step_dim_geography(prev["dim_geography"], sr, ts))
-    wh.apply("dim_session", inc.step_dim_session(raw.raw_sessions, as_of, ts))
-    # bounded by pros x categories x versions: rewritten whole after a checkpoint
-    wh.replace("dim_pro", inc.step_dim_pro(prev["dim_pro"], raw.raw_pro_profiles, as_of, ts))
-    wh.apply("dim_service_request", inc.step_dim_service_request(
-        prev["dim_service_request"], sr, wh.read("dim_category"), wh.read("dim_geography"),
-        as_of, ts))
-    now = Models(spark, raw, ts, overrides={n: wh.read(n) for n in
-                                            ["dim_date", "dim_category", "dim_geography",
-                                             "dim_session", "dim_pro", "dim_service_request"]})
-    wh.apply("fct_booking_events", inc.step_fct_booking_events(raw.raw_events, as_of, ts))
-    now._cache["fct_booking_events"] = wh.read("fct_booking_events")
-    for name, ch in [
-        ("fct_session_events", inc.step_fct_session_events(raw.raw_events, raw.raw_sessions,
-                                                           now["dim_session"], as_of, ts)),
-        ("fct_booking_funnel", inc.step_fct_booking_funnel(sr, now, as_of, ts)),
-        ("fct_revenue", inc.step_fct_revenue(raw.raw_payments, sr, now, as_of, ts)),
-    ]:
-        wh.apply(name, ch)
+    now = Models(spark, raw, ts)
+    changed: dict[str, DataFrame] = {}
+
+    def run(name, step) -> None:
+        if name in tables:
+            changed[name] = wh.apply(name, step(wh.read(name)))
+            now._cache[name] = wh.read(name)
+
+    run("dim_category", lambda prev: inc.step_dim_category(prev, sr, ts))
+    run("dim_geography", lambda prev: inc.step_dim_geography(prev, sr, ts))
+    run("dim_session", lambda prev: inc.step_dim_session(raw.raw_sessions, as_of, ts))
+    if "dim_pro" in tables:
+        # bounded by pros x categories x versions: rewritten whole after a checkpoint
+        wh.replace("dim_pro", inc.step_dim_pro(wh.read("dim_pro"), raw.raw_pro_profiles, as_of, ts))
+        now._cache["dim_pro"] = wh.read("dim_pro")
+    run("dim_service_request", lambda prev: inc.step_dim_service_request(
+        prev, sr, now["dim_category"], now["dim_geography"], as_of, ts))
+    run("fct_booking_events", lambda prev: inc.step_fct_booking_events(raw.raw_events, as_of, ts))
+    run("fct_session_events", lambda prev: inc.step_fct_session_events(
+        raw.raw_events, raw.raw_sessions, now["dim_session"], as_of, ts))
+    run("fct_booking_funnel", lambda prev: inc.step_fct_booking_funnel(
+        sr, now, changed["fct_booking_events"], changed["dim_service_request"],
+        changed["dim_session"], as_of, ts))
+    run("fct_revenue", lambda prev: inc.step_fct_revenue(raw.raw_payments, sr, now, as_of, ts))

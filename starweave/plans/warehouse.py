@@ -104,33 +104,39 @@ class Warehouse:
         if not rows.isEmpty():
             self._laid_out(table, rows).write.mode("append").parquet(self.path(table))
 
-    def apply(self, table: str, change) -> None:
-        """Write an incremental ``Change`` the cheapest correct way."""
+    def apply(self, table: str, change) -> DataFrame | None:
+        """Write an incremental ``Change`` the cheapest correct way; returns the
+        change's ``track`` columns of all replaced and new rows."""
         if change.insert_only:
-            self.append(table, change.fresh)
-        else:
-            self.merge_partitions(table, change.fresh, change.on, change.unique)
+            return self.append(table, change.fresh)
+        return self.merge_partitions(table, change.fresh, change.on, change.unique, change.scope, change.track)
 
     def replace(self, table: str, df: DataFrame) -> None:
         """Rewrite a table from a plan that reads it: checkpoint first."""
         self.write_full(table, cut_lineage(df))
 
-    def merge_partitions(self, table: str, fresh: DataFrame, on: str, check_unique: bool) -> None:
+    def merge_partitions(self, table: str, fresh: DataFrame, on: str, check_unique: bool,
+                         scope: DataFrame | None = None, track: tuple = ()) -> DataFrame:
         """Replace rows whose ``on`` value occurs in ``fresh``, in whatever month
-        they stand, and insert the rest, rewriting only the months involved."""
+        they stand, and insert the rest, rewriting only the months involved.
+        Rows whose ``on`` value occurs only in ``scope`` go. Returns the
+        ``track`` columns of the replaced and the new rows."""
         fresh = cut_lineage(fresh.withColumn(MONTH, month_expr(table)))
         month = F.col(MONTH).cast("string")  # read back, the folder name is a number
         months = {r[0] for r in fresh.select(month).distinct().collect()}  # calendar months of one batch
-        if not months:
-            return
         if check_unique:
             odd = fresh.groupBy(on).agg(F.count(F.lit(1)).alias("_n")).filter((F.col("_n") > 1) | F.col(on).isNull())
             if not odd.isEmpty():
                 raise ValueError(f"{table}: merge batch keys on {on} must be unique and non-null")
-        keys = fresh.select(on).distinct()
+        keys = fresh.select(on) if scope is None else fresh.select(on).union(scope.select(on))
+        keys = keys.distinct()
         cur = self.read(table, keep_month=True)
         # a corrected timestamp moves a row: its old month is rewritten too
-        months |= {r[0] for r in cur.select(on, MONTH).join(keys, on, "left_semi").select(month).distinct().collect()}
+        gone = cut_lineage(cur.select(*dict.fromkeys([on, MONTH, *track])).join(keys, on, "left_semi"))
+        months |= {r[0] for r in gone.select(month).distinct().collect()}
+        changed = fresh.select(*track).union(gone.select(*track))
+        if not months:
+            return changed
         in_months = month.isin([m for m in months if m is not None])
         if None in months:
             in_months = in_months | month.isNull()
@@ -141,6 +147,7 @@ class Warehouse:
         (parts.repartitionByRange(*order).sortWithinPartitions(*order)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(self.path(table)))
         self._drop_months(table, months - left)
+        return changed
 
     def _drop_months(self, table: str, months: set) -> None:
         """Remove partitions whose rows have all moved to another month; a

@@ -19,7 +19,7 @@ from .raw import RawSources
 # Fixed values of the derivation rules.
 YEARS_SHIFT = 25  # moves 1992-1998 order dates into the calendar range
 EVENT_TYPE_MAP = {"signup": "booking_started", "purchase": "booking_submitted",
-                  "view": "pro_viewed", "click": "pro_viewed"}
+                  "view": "pro_viewed", "click": "pro_viewed", "error": "error"}
 PAGE_TYPES = ["home", "search", "booking_form", "confirmation"]          # by min(event_id) % 4
 PAYMENT_METHODS = ["credit_card", "debit_card", "ach", "digital_wallet"]  # by l_linenumber % 4
 
@@ -41,13 +41,12 @@ def _pick(index_col, values):
 
 
 def raw_events(events: DataFrame) -> DataFrame:
-    e = events.filter(F.col("event_type") != "error")
     mapped = None
     for src, dst in EVENT_TYPE_MAP.items():
         mapped = (F.when(F.col("event_type") == src, F.lit(dst)) if mapped is None
                   else mapped.when(F.col("event_type") == src, F.lit(dst)))
     has_sr = (F.col("event_type") == "purchase") & (F.col("event_id") % 10 != 0)
-    return e.select(
+    return events.select(
         F.concat(F.lit("evt_"), F.col("event_id").cast("string")).alias("event_id"),
         F.concat(F.lit("session_"), F.col("user_id").cast("string"), F.lit("_"),
                  F.date_format("ts", "yyyyMMdd")).alias("session_id"),

@@ -101,10 +101,11 @@ def test_broadcast_only_under_measured_bound(spark):
         return j._jdf.queryExecution().executedPlan().toString()
 
     assert "BroadcastHashJoin" in plan(sized_broadcast(small, max_rows=10))
+    assert "BroadcastHashJoin" in plan(materialized_keys(small))  # by the bytes of its table
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        assert "BroadcastHashJoin" in plan(materialized_keys(small, max_rows=100))
+        assert "BroadcastHashJoin" not in plan(materialized_keys(small))  # no hint
         assert "BroadcastHashJoin" not in plan(sized_broadcast(small, max_rows=5))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

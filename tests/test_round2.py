@@ -49,3 +49,30 @@ def test_stream_replay_after_a_failure_between_the_writes(spark, tmp_path, monke
         stream.merge_events_batch(batch, landed, facts, sessions, run)
     stream.merge_events_batch(batch, landed, facts, sessions, run)
     assert spark.read.parquet(facts).count() == batch.select("event_id").distinct().count()
+
+
+def test_scoped_keys_without_a_fresh_row_go(spark, tmp_path):
+    import datetime as dt
+    store = Warehouse(spark, str(tmp_path / "w"))
+    store.write_full(REV, rows_of(spark, [("a", dt.date(2024, 1, 15)), ("b", dt.date(2024, 3, 1)), ("c", dt.date(2024, 4, 1))]))
+    scope = spark.createDataFrame([("b",), ("c",), ("absent",)], "k string").withColumnRenamed("k", KEY_OF[REV])
+    changed = store.merge_partitions(REV, rows_of(spark, [("c", dt.date(2024, 1, 2))]), KEY_OF[REV], True, scope, (KEY_OF[REV],))
+    assert sorted(r[0] for r in changed.collect()) == ["b", "c", "c"]
+    got = store.read(REV, keep_month=True).collect()
+    assert sorted(r[KEY_OF[REV]] for r in got) == ["a", "c"] and len({r["_month"] for r in got}) == 1
+
+
+def test_an_earlier_booking_that_arrives_late_replaces_the_funnel_row(spark):
+    """Session s booked B; an earlier booking A of it arrives eight days later:
+    the scope holds both SRs, the funnel then only A."""
+    import datetime as dt
+    from starweave.plans import facts, incremental as inc
+    day = dt.datetime(2024, 1, 10)
+    columns = "event_id string, session_id string, event_type string, event_ts timestamp_ntz, properties string"
+    book = lambda i, sr, ts: (i, "s", "booking_submitted", ts, '{"sr_id": "%s"}' % sr)
+    late, known = book("e1", "A", day), book("e2", "B", day + dt.timedelta(hours=1))
+    before = facts.fct_booking_events(spark.createDataFrame([known], columns), day)
+    change = inc.step_fct_booking_events(spark.createDataFrame([known, late], columns), dt.date(2024, 1, 18), day)
+    gone = before.join(change.fresh.select("session_id"), "session_id", "left_semi")
+    assert {r.sr_id for r in change.fresh.union(gone.select(*change.fresh.columns)).collect()} == {"A", "B"}
+    assert [r.sr_id for r in change.apply(before).collect()] == ["A"]
