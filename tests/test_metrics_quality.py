@@ -30,8 +30,8 @@ def test_revenue_matches_expected_numbers(small):
 def test_session_metrics(small):
     se = small["fct_session_events"]
     b = metrics.bounce_rate(se).first()
-    assert (b.bounce_sessions, b.total_sessions) == (120, 366)
-    assert metrics.sessions_with_conversion(se).first()[0] <= 366
+    assert (b.bounce_sessions, b.total_sessions) == (99, 397)  # over all events, errors too (FIXTURES)
+    assert metrics.sessions_with_conversion(se).first()[0] <= 397
 
 
 def test_unsafe_dimensions_raise(small):
