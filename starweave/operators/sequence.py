@@ -1,99 +1,75 @@
-"""Ordered numbering inside a group: ordinal and previous value.
+"""Ordered numbering inside a group, with group totals and looked-up columns
+(W3/W4, J10/J11).
 
-The plain plan is one window over ``partitionBy(key).orderBy(order)``: a
-single shuffle on the key, then a sort. That plan puts a whole group in one
-task, so a group holding a large share of all rows (one bot session with a
-third of the events) would serialise the job. Groups above
-``hot_group_rows`` therefore take a split path:
+A window over the group key puts a whole group in one task, so a session with
+a third of the events, or the events without a session, would serialise the
+job. All groups therefore take one path that never gathers a group:
 
-1. group sizes come from a partial aggregation (reduced on the mappers);
-   keys above the threshold number at most ``total_rows / hot_group_rows``,
-   which bounds the broadcast that routes rows to the two paths;
-2. hot rows are range-partitioned on (key, order...). The sampled range
-   bounds cut a hot group into contiguous slices of bounded size;
-3. each slice is numbered locally by a window over (key, slice);
-4. per (key, slice) counts and last values - at most one row per hot key
-   and slice, so again bounded - give each slice its offset and the value
-   preceding its first row;
-5. ordinal = offset + local ordinal, previous = local previous, else the
-   last value of the preceding slice.
+1. rows are range-partitioned on (key, order...): the sampled bounds cut the
+   rows into contiguous slices of like size, through groups where needed. The
+   slices are written once to the shared ``spark.checkpoint.dir``, so that
+   both readers below see one slice assignment and retries start from files;
+2. one partial aggregation gives a row per group and slice. On these rows, at
+   most one per group and one more per slice, windows over the group give each
+   slice its offset, the value before it and the group's totals, and the
+   lookup table is joined;
+3. rows are numbered by a window over (key, slice) and meet the rows of step 2
+   on (key, slice), with the partitioning of that window.
 
-The slice id is ``spark_partition_id()`` right after a range repartition
-with an explicit partition count (which AQE never coalesces). Two consumers
-read the slices (local numbering and per-slice counts); column pruning gives
-them different plans below the exchange, so each would sample its own range
-bounds. The sliced hot rows are therefore written once as a table in the
-shared ``spark.checkpoint.dir`` and both consumers read
-those files: one slice assignment, and the lineage is cut for retries.
+Null is a group like any other in the numbering and the totals, and finds no
+row in the lookup table.
 """
 
 from __future__ import annotations
 
-import math
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-HOT_GROUP_ROWS = 5_000_000      # a group above this many rows is split
-ROWS_PER_SLICE = 2_000_000      # target rows per slice of a hot group
-MAX_HOT_KEYS = 1_000_000        # broadcast bound of the hot-key set
-
-
-def _conf_int(df: DataFrame, name: str, default: int) -> int:
-    v = df.sparkSession.conf.get(name, None)
-    return int(v) if v else default
-
-
-def _plain(df: DataFrame, keys: list[str], order: Sequence[str], seq_col: str, lag_of: str,
-           lag_col: str) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    return df.select("*", F.row_number().over(w).alias(seq_col),
-                     F.lag(lag_of).over(w).alias(lag_col))
+_MERGE = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
 def sequence_within_group(df: DataFrame, key: str, order: Sequence[str], seq_col: str,
-                          lag_of: str, lag_col: str, hot_group_rows: int | None = None,
-                          rows_per_slice: int | None = None) -> DataFrame:
+                          lag_col: str, totals: dict[str, tuple[str, Column]] | None = None,
+                          lookup: DataFrame | None = None, slices: int | None = None) -> DataFrame:
     """Add ``seq_col`` (1-based position by ``order``) and ``lag_col`` (the
-    previous row's ``lag_of``) within each ``key`` group. ``order`` must make
-    rows unique within a group (ties would be numbered arbitrarily)."""
-    hot_group_rows = hot_group_rows or _conf_int(df, "spark.starweave.hotGroupRows",
-                                                 HOT_GROUP_ROWS)
-    rows_per_slice = rows_per_slice or _conf_int(df, "spark.starweave.rowsPerSlice",
-                                                 ROWS_PER_SLICE)
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot_stats = sizes.filter(F.col("_n") > hot_group_rows).agg(
-        F.count(F.lit(1)).alias("keys"), F.sum("_n").alias("rows")).first()
-    if not hot_stats["keys"]:
-        return _plain(df, [key], order, seq_col, lag_of, lag_col)
-    if hot_stats["keys"] > MAX_HOT_KEYS:
-        raise ValueError(f"{hot_stats['keys']} groups above {hot_group_rows} rows; raise "
-                         "spark.starweave.hotGroupRows so the hot-key set stays bounded")
-    hot = F.broadcast(sizes.filter(F.col("_n") > hot_group_rows).select(key))
-    normal = _plain(df.join(hot, key, "left_anti").select(*df.columns), [key], order, seq_col,
-                    lag_of, lag_col)
+    previous row's first order column) within each ``key`` group, one column
+    per entry of ``totals`` (``sum``, ``min`` or ``max`` of an expression over
+    the group), and the columns of ``lookup`` (unique on ``key``).
+
+    ``order`` must make rows unique within a group (ties would be numbered
+    arbitrarily). ``slices`` defaults to ``spark.sql.shuffle.partitions``."""
+    totals = totals or {}
+    lead = order[0]
+    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # a key that is never null, so that joins on it are plain equalities
+    group = F.when(F.col(key).isNull(), "n").otherwise(F.concat(F.lit("v"), F.col(key).cast("string")))
+    cut = cut_lineage(df.repartitionByRange(slices, key, *order)
+                      .withColumns({"_group": group, "_slice": F.spark_partition_id()}))
+
+    own = [_MERGE[how](expr).alias(name) for name, (how, expr) in totals.items()]
+    parts = cut.groupBy("_group", "_slice").agg(
+        F.first(key).alias(key), F.count(F.lit(1)).alias("_rows"), F.max(lead).alias("_last"), *own)
+    whole = Window.partitionBy("_group")
+    before = whole.orderBy("_slice")
+    parts = parts.select(
+        "_group", "_slice", F.col(key).alias("_key"),
+        F.coalesce(F.sum("_rows").over(before.rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("_offset"),
+        F.lag("_last").over(before).alias("_before"),
+        *[_MERGE[how](name).over(whole).alias(name) for name, (how, _) in totals.items()])
+    found = []
+    if lookup is not None:
+        found = [c for c in lookup.columns if c != key]
+        parts = parts.join(lookup.withColumnRenamed(key, "_key"), "_key", "left")
 
-    slices = max(2, math.ceil(hot_stats["rows"] / rows_per_slice) + int(hot_stats["keys"]))
-    cut = cut_lineage(df.join(hot, key, "left_semi")
-                      .repartitionByRange(slices, key, *order)
-                      .withColumn("_slice", F.spark_partition_id()))
-    local = _plain(cut, [key, "_slice"], order, "_lseq", lag_of, "_llag")
-    per_slice = cut.groupBy(key, "_slice").agg(
-        F.count(F.lit(1)).alias("_cnt"),
-        F.max(F.struct(*[F.col(c) for c in order], F.col(lag_of).alias("_v"))).alias("_last"))
-    w = Window.partitionBy(key).orderBy("_slice")
-    offsets = per_slice.select(
-        key, "_slice",
-        F.coalesce(F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_off"),
-        F.lag(F.col("_last._v")).over(w).alias("_before"))
-    # at most (hot keys + slices) rows: a bounded broadcast
-    j = local.join(F.broadcast(offsets), [key, "_slice"], "left")
-    hot_rows = j.select(
+    rows = Window.partitionBy("_group", "_slice").orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    local = cut.select("*", F.row_number().over(rows).alias("_n"), F.lag(lead).over(rows).alias("_lag"))
+    return local.join(parts, ["_group", "_slice"]).select(
         *df.columns,
-        (F.col("_lseq") + F.col("_off")).cast("int").alias(seq_col),
-        F.when(F.col("_lseq") == 1, F.col("_before")).otherwise(F.col("_llag")).alias(lag_col))
-    return normal.unionByName(hot_rows)
+        (F.col("_n") + F.col("_offset")).cast("int").alias(seq_col),
+        F.when(F.col("_n") == 1, F.col("_before")).otherwise(F.col("_lag")).alias(lag_col),
+        *totals, *found)

@@ -274,6 +274,20 @@ MODEL_SQL = {name: q(f"SELECT * EXCLUDE (dw_updated_at) FROM {name}" if name.sta
     "dim_date", "dim_category", "dim_geography", "dim_session", "dim_pro", "dim_service_request",
     "fct_booking_events", "fct_session_events", "fct_booking_funnel", "fct_revenue"]}
 
+# A third of the events in one session, a tenth of the others in none.
+HOT_SQL = "WITH " + ADAPTER + """,
+hot_events AS (
+  SELECT * REPLACE (CASE WHEN CAST(substr(event_id, 5) AS BIGINT) % 3 = 0 THEN 'session_hot'
+                         WHEN CAST(substr(event_id, 5) AS BIGINT) % 10 <> 1 THEN session_id END AS session_id)
+  FROM raw_events
+),
+hot_sessions AS (
+  SELECT session_id, started_at, ended_at, page_type, updated_at FROM raw_sessions
+  UNION ALL
+  SELECT 'session_hot', min(started_at), min(ended_at), min(page_type), min(updated_at) FROM raw_sessions
+),""" + _dims(sessions="hot_sessions") + "," + _facts(ev="hot_events") + """
+SELECT * EXCLUDE (dw_updated_at) FROM fct_session_events"""
+
 SOURCE_SQL = {name: q(f"SELECT * FROM {name}") for name in [
     "raw_events", "raw_sessions", "service_requests", "raw_pro_profiles", "raw_payments"]}
 
@@ -520,6 +534,7 @@ INCREMENTAL_SQL = {
     "incremental_revenue": MODEL_SQL["fct_revenue"],
     "stream_session_events": MODEL_SQL["fct_session_events"],
     "nightly_funnel": MODEL_SQL["fct_booking_funnel"],
+    "fct_session_events_hot": HOT_SQL,
     "nightly_sessions": MODEL_SQL["fct_session_events"],
     "nightly_revenue": MODEL_SQL["fct_revenue"],
     "scd2_service_request": _scd2_sr("2020-06-16", "2020-06-15"),

@@ -149,6 +149,12 @@ def _nightly(fact: str, nights: str, late_events: bool = True) -> Query:
     return run
 
 
+def _hot_session_events(spark, d):
+    from ..sources.arrivals import hot_sessions
+    raw = hot_sessions(testdata_sources(spark, d))
+    return _audit_free(Models(spark, raw, run_ts=FIXED_RUN_TS)["fct_session_events"])
+
+
 def _stream_session_events(spark, d):
     from ..streaming.events import run_to_completion
     m = models(spark, d)
@@ -194,6 +200,7 @@ def registry() -> dict[str, Query]:
     q["fan_out_report"] = _fan_out
     for key, model in REPLAYS.items():
         q[key] = _replay(model)
+    q["fct_session_events_hot"] = _hot_session_events
     q["stream_session_events"] = _stream_session_events
     q["nightly_funnel"] = _nightly("fct_booking_funnel", "EVENT_NIGHTS")
     # the session fact looks one day back for events, so only session rows are late

@@ -50,28 +50,39 @@ def session_event_source(raw_events: DataFrame) -> DataFrame:
                              json_text("properties", "sr_id").alias("properties_sr_id"))
 
 
-def session_aggregates(src: DataFrame) -> DataFrame:
-    """Per-session counts and first/last timestamps (partial aggregation)."""
+def session_totals() -> dict:
+    """Counts and first/last timestamps of a session."""
     et = F.col("event_type")
-    return src.groupBy("session_id").agg(
-        F.count(F.lit(1)).alias("session_event_count"),
-        F.sum(flag(et == "booking_started")).alias("session_booking_started_count"),
-        F.sum(flag(et == "booking_submitted")).alias("session_booking_submitted_count"),
-        F.sum(flag(et == "pro_viewed")).alias("session_pro_viewed_count"),
-        F.max(flag(et == "booking_submitted")).alias("session_has_booking_submitted"),
-        F.min("event_ts").alias("_first_ts"),
-        F.max("event_ts").alias("_last_ts"),
-    )
+    return {
+        "session_event_count": ("sum", F.lit(1)),
+        "session_booking_started_count": ("sum", flag(et == "booking_started")),
+        "session_booking_submitted_count": ("sum", flag(et == "booking_submitted")),
+        "session_pro_viewed_count": ("sum", flag(et == "pro_viewed")),
+        "session_has_booking_submitted": ("max", flag(et == "booking_submitted")),
+        "_first_ts": ("min", F.col("event_ts")),
+        "_last_ts": ("max", F.col("event_ts")),
+    }
+
+
+SESSION_COUNTS = ["session_event_count", "session_booking_started_count",
+                  "session_booking_submitted_count", "session_pro_viewed_count",
+                  "session_has_booking_submitted"]
 
 
-def session_event_rows(seq: DataFrame, aggs: DataFrame, dim_session: DataFrame,
-                       run_ts) -> DataFrame:
+def fct_session_events(raw_events: DataFrame, dim_session: DataFrame, run_ts) -> DataFrame:
+    """Every event with session context, ordinal, gap to the previous event and
+    session counts. Counts and the session row are attached per slice of a
+    session, so a hot session stays spread. Events without a session are
+    numbered as one group and have no counts."""
     sess = dim_session.select(
         "session_id", "session_key",
         F.col("started_at").alias("session_started_at"),
         F.col("ended_at").alias("session_ended_at"),
         "session_duration_sec", "page_type", "is_clean_end")
-    j = seq.join(aggs, "session_id", "left").join(sess, "session_id", "left")
+    j = sequence_within_group(session_event_source(raw_events), "session_id",
+                              ["event_ts", "event_id"], "event_sequence_number", "_prev_ts",
+                              session_totals(), sess)
+    j = j.withColumns({c: F.when(F.col("session_id").isNotNull(), F.col(c)) for c in SESSION_COUNTS})
     et, pt = F.col("event_type"), F.col("page_type")
     out = j.select(
         surrogate_key("event_id", "session_id", ts_text("event_ts")).alias("event_key"),
@@ -101,16 +112,6 @@ def session_event_rows(seq: DataFrame, aggs: DataFrame, dim_session: DataFrame,
     return assert_columns(out, "fct_session_events")
 
 
-def fct_session_events(raw_events: DataFrame, dim_session: DataFrame, run_ts) -> DataFrame:
-    """Every event with session context, ordinal, gap to the previous event and
-    session counts. Counts come from an aggregation (partial on the mappers);
-    only the ordinal and the previous timestamp need ordered processing."""
-    src = session_event_source(raw_events)
-    seq = sequence_within_group(src, "session_id", ["event_ts", "event_id"],
-                                "event_sequence_number", "event_ts", "_prev_ts")
-    return session_event_rows(seq, session_aggregates(src), dim_session, run_ts)
-
-
 def sr_flags(service_requests: DataFrame, dim_category: DataFrame,
              dim_geography: DataFrame) -> DataFrame:
     """Service requests with dimension keys resolved."""

@@ -23,6 +23,7 @@ from .raw import RawSources
 # The first date is the full build, every further one a night.
 EVENT_NIGHTS = [_dt.date(2024, 1, 16), _dt.date(2024, 1, 23)]
 PAYMENT_NIGHTS = [_dt.date(2020, 6, 16), _dt.date(2020, 7, 16)]
+HOT_SESSION = "session_hot"
 LATE_EVENT, LATE_SESSION, EARLY_PAYMENT = 8, 6, 35  # days
 
 
@@ -59,3 +60,19 @@ def late_arrivals(raw: RawSources, night: _dt.date | None, late_events: bool = T
 
     views = {"raw_events": events, "raw_sessions": sessions, "raw_payments": payments}
     return RawSources(lambda name: views[name](raw.table(name)) if name in views else raw.table(name))
+
+
+def hot_sessions(raw: RawSources) -> RawSources:
+    """Sources in which one session, which has a session row, holds every third
+    event, and every tenth of the other events has no session."""
+    def events(df):
+        n = _number("event_id")
+        return df.withColumn("session_id", F.when(n % 3 == 0, F.lit(HOT_SESSION))
+                             .when(n % 10 != 1, F.col("session_id")))
+
+    def sessions(df):
+        hot = df.agg(*[(F.lit(HOT_SESSION) if c == "session_id" else F.min(c)).alias(c) for c in df.columns])
+        return df.unionByName(hot)
+
+    views = {"raw_events": events, "raw_sessions": sessions}
+    return RawSources(lambda name: views.get(name, lambda df: df)(raw.table(name)))

@@ -1,10 +1,12 @@
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from starweave.operators import (first_per_group, insert_new_members, latest_per_key,
                                  scd2_apply, sequence_within_group, upsert)
-from starweave.operators.sequence import _plain
+from starweave.plans import dims, facts
 from starweave.sources import testdata_sources
+from starweave.sources.arrivals import hot_sessions
 from tests.conftest import SF_SMALL, ts
 
 
@@ -78,16 +80,44 @@ def test_scd2_null_to_value_is_a_change_and_late_versions_sort_in(spark):
     assert rows[("sr2", "matched")].is_current
 
 
-def test_hot_group_split_equals_plain_window(spark):
-    ev = testdata_sources(spark, SF_SMALL).raw_events.withColumn(
-        "session_id", F.when(F.col("session_id") < "session_60", F.lit("HOT"))
-        .otherwise(F.col("session_id")))
-    assert ev.filter("session_id = 'HOT'").count() > 100
-    a = sequence_within_group(ev, "session_id", ["event_ts", "event_id"], "seq", "event_ts",
-                              "prev", hot_group_rows=50, rows_per_slice=40)
-    b = _plain(ev, ["session_id"], ["event_ts", "event_id"], "seq", "event_ts", "prev")
-    assert a.columns == b.columns
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+def _hot_events(spark):
+    return hot_sessions(testdata_sources(spark, SF_SMALL)).raw_events
+
+
+def test_slices_equal_plain_window_with_hot_and_null_groups(spark):
+    ev = _hot_events(spark)
+    n = ev.count()
+    assert ev.filter("session_id = 'session_hot'").count() > n / 4
+    assert ev.filter("session_id is null").count() > n / 20
+    look = ev.select("session_id").distinct().filter("session_id is not null").withColumn("x", F.length("session_id"))
+    w = Window.partitionBy("session_id")
+    o = w.orderBy("event_ts", "event_id")
+    b = ev.join(look, "session_id", "left").select(
+        *ev.columns, F.row_number().over(o).alias("seq"), F.lag("event_ts").over(o).alias("prev"),
+        F.count("*").over(w).alias("n"), F.max("event_id").over(w).alias("m"), "x")
+    for slices in (1, 37):
+        a = sequence_within_group(ev, "session_id", ["event_ts", "event_id"], "seq", "prev",
+                                  {"n": ("sum", F.lit(1)), "m": ("max", F.col("event_id"))}, look, slices)
+        assert a.columns == b.columns
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_no_output_task_holds_a_hot_session_alone(spark):
+    raw = hot_sessions(testdata_sources(spark, SF_SMALL))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "64"}
+    before = {name: spark.conf.get(name, None) for name in conf}
+    for name, value in conf.items():
+        spark.conf.set(name, value)
+    try:
+        out = facts.fct_session_events(raw.raw_events, dims.dim_session(raw.raw_sessions, None), None)
+        seen = out.groupBy("session_key", F.spark_partition_id().alias("task")).count().collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    for hot in ("session_hot", None):
+        sizes = [r["count"] for r in seen if r.session_key == hot]
+        assert len(sizes) > 1 and max(sizes) < 0.8 * sum(sizes)
 
 
 def test_broadcast_only_under_measured_bound(spark):

@@ -56,7 +56,8 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", ["fct_session_events", "fct_booking_funnel", "fct_revenue",
+@pytest.mark.parametrize("name", ["fct_session_events", "fct_session_events_hot",
+                                  "fct_booking_funnel", "fct_revenue",
                                   "dim_pro", "dim_service_request", "scd2_service_request",
                                   "booking_conversion_rate", "revenue_by_month", "dq_unique",
                                   "session_funnel_naive"])
