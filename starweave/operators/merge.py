@@ -9,8 +9,6 @@ AQE can split if keys are skewed.
 
 from __future__ import annotations
 
-from typing import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -61,9 +59,3 @@ def insert_new_members(target: DataFrame, incoming: DataFrame, key) -> DataFrame
     keys = _keys(key)
     new = incoming.join(target.select(*keys).distinct(), on=keys, how="left_anti")
     return target.unionByName(new.select(*target.columns))
-
-
-def dedupe_batch(updates: DataFrame, key, order: Sequence[str]) -> DataFrame:
-    """Keep the latest row per key of a batch (ordering columns descending)."""
-    from .dedup import latest_per_key
-    return latest_per_key(updates, _keys(key), order).select(*updates.columns)

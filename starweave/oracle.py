@@ -294,7 +294,8 @@ SOURCE_SQL = {name: q(f"SELECT * FROM {name}") for name in [
 
 def _conv(dims: list[str], join_date: bool = False, where: str = "") -> str:
     sel = ", ".join(dims + [""]) if dims else ""
-    src = ("fct_booking_funnel f LEFT JOIN dim_date dd ON f.created_at_date_key = dd.date_key"
+    src = ("fct_booking_funnel f LEFT JOIN (SELECT *, CAST(date_trunc('week', full_date) AS DATE) AS week_start "
+           "FROM dim_date) dd ON f.created_at_date_key = dd.date_key"
            if join_date else "fct_booking_funnel f")
     grp = f" GROUP BY {', '.join(dims)}" if dims else ""
     return q(f"""SELECT {sel}
@@ -329,6 +330,9 @@ METRIC_SQL = {
     "conversion_by_geography": _conv(["geography_key"]),
     "conversion_by_month": _conv(["year", "month"], join_date=True),
     "conversion_by_weekend": _conv(["is_weekend"], join_date=True),
+    "conversion_by_week": _conv(["week_start"], join_date=True),
+    "conversion_by_calendar": _conv(["quarter", "month_name", "week", "day_of_week", "day_of_week_num"],
+                                    join_date=True),
     "conversion_among_matched": _conv(["is_matched"]),
     "cancellation_rate": q(f"""SELECT CAST(sum(is_cancelled) AS BIGINT) AS cancelled_bookings,
   count(DISTINCT booking_key) AS total_bookings,
@@ -427,12 +431,15 @@ QUALITY_SQL = {
                   "raw_payments"])),
     "guardrail_report": q("""
 SELECT 'funnel_booking_key_unique' AS guardrail, count(*) - count(DISTINCT booking_key) AS n_rows FROM fct_booking_funnel
-UNION ALL SELECT 'converted_subset_of_bookings', count(*) FILTER (WHERE is_converted = 1 AND booking_key IS NULL) FROM fct_booking_funnel
+UNION ALL SELECT 'converted_subset_of_bookings', count(*) FROM fct_booking_funnel
+   WHERE is_converted = 1 AND sr_id NOT IN (SELECT sr_id FROM fct_booking_events WHERE sr_id IS NOT NULL)
 UNION ALL SELECT 'revenue_key_unique', count(*) - count(DISTINCT revenue_key) FROM fct_revenue
 UNION ALL SELECT 'completed_net_split_equals_gross', count(*) FILTER (WHERE payment_status = 'completed'
    AND net_platform_revenue + net_pro_payout <> gross_amount) FROM fct_revenue
 UNION ALL SELECT 'srs_with_reversal_rows', count(DISTINCT sr_id) FROM fct_revenue
-   WHERE payment_status IN ('refunded', 'chargeback')"""),
+   WHERE payment_status IN ('refunded', 'chargeback')
+UNION ALL SELECT 'srs_with_refunded_rows', count(DISTINCT sr_id) FROM fct_revenue WHERE payment_status = 'refunded'
+UNION ALL SELECT 'srs_with_chargeback_rows', count(DISTINCT sr_id) FROM fct_revenue WHERE payment_status = 'chargeback'"""),
 }
 
 

@@ -75,8 +75,3 @@ class Models:
     def _build_session_funnel(self):
         return facts.session_funnel(self.raw.raw_events, self.raw.raw_sessions,
                                     self.raw.service_requests, self.raw.raw_pro_profiles)
-
-
-def build_full(spark: SparkSession, raw: RawSources, run_ts=None) -> dict[str, DataFrame]:
-    m = Models(spark, raw, run_ts)
-    return {n: m[n] for n in BUILD_ORDER}

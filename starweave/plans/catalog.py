@@ -46,8 +46,6 @@ def _model(name: str) -> Query:
 def _on(model: str, fn, *args, **kw) -> Query:
     def run(spark, d):
         m = models(spark, d)
-        if kw.pop("_with_date", False):
-            kw["dim_date"] = m["dim_date"]
         return fn(m[model], *args, **kw)
     return run
 
@@ -92,7 +90,7 @@ def _freshness(spark, d):
 
 def _guardrails(spark, d):
     m = models(spark, d)
-    return quality.guardrails(m["fct_booking_funnel"], m["fct_revenue"])
+    return quality.guardrails(m["fct_booking_funnel"], m["fct_revenue"], m["fct_booking_events"])
 
 
 def _fan_out(spark, d):
@@ -173,6 +171,9 @@ def registry() -> dict[str, Query]:
     q["conversion_by_geography"] = _conv(["geography_key"])
     q["conversion_by_month"] = _conv(["year", "month"], calendar=True)
     q["conversion_by_weekend"] = _conv(["is_weekend"], calendar=True)
+    q["conversion_by_week"] = _conv(["week_start"], calendar=True)
+    q["conversion_by_calendar"] = _conv(["quarter", "month_name", "week", "day_of_week",
+                                         "day_of_week_num"], calendar=True)
     q["conversion_among_matched"] = _conv(["is_matched"])
     q["cancellation_rate"] = _on("fct_booking_funnel", metrics.cancellation_rate)
     q["session_to_booking_rate"] = _on("fct_session_events", metrics.session_to_booking_rate)

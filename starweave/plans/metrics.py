@@ -19,6 +19,7 @@ from .dims import CALENDAR_ROWS
 RATIO_DIGITS = 9
 DATE_ATTRS = ["full_date", "year", "quarter", "month", "month_name", "week", "day_of_week",
               "day_of_week_num", "is_weekend", "is_holiday"]
+WEEK_START = "week_start"  # Monday of the ISO week; (year, week) is ambiguous at year ends
 
 # Grouping dimensions documented as safe for each metric family.
 SAFE_DIMS = {
@@ -41,15 +42,16 @@ def ratio(num: Column, den: Column) -> Column:
 
 def _grouped(fact: DataFrame, family: str, dims: Sequence[str], dim_date: DataFrame | None):
     dims = list(dims)
-    allowed = set(SAFE_DIMS[family]) | (set(DATE_ATTRS) if family in DATE_KEY_OF else set())
+    allowed = set(SAFE_DIMS[family]) | ({*DATE_ATTRS, WEEK_START} if family in DATE_KEY_OF else set())
     bad = [d for d in dims if d not in allowed]
     if bad:
         raise UnsafeDimensionError(f"{family}: grouping by {bad} can fan out the metric grain; "
                                    f"safe dimensions are {sorted(allowed)}")
-    if any(d in DATE_ATTRS for d in dims):
+    if any(d in (*DATE_ATTRS, WEEK_START) for d in dims):
         if dim_date is None:
             raise ValueError("calendar attributes need dim_date")
-        cal = dim_date.select(F.col("date_key").alias(DATE_KEY_OF[family]), *DATE_ATTRS)
+        cal = dim_date.select(F.col("date_key").alias(DATE_KEY_OF[family]), *DATE_ATTRS,
+                              F.trunc("full_date", "week").alias(WEEK_START))
         # the calendar has a fixed row count, so broadcasting it is bounded
         fact = lookup_join(fact, cal, DATE_KEY_OF[family], "left", broadcast_rows=CALENDAR_ROWS)
     return fact.groupBy(*dims) if dims else fact.groupBy()

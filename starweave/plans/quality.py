@@ -96,18 +96,16 @@ def _unpivot(wide: DataFrame, structs: list) -> DataFrame:
 
 
 def _scan_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """not_null (null rows) and accepted_values (distinct bad values, nulls
-    pass) for one table in a single aggregation, unpivoted to rows."""
-    aggs, metas = [], []
-    for i, c in enumerate(checks):
-        col = F.col(c.column)
-        if c.kind == "not_null":
-            aggs.append(F.count_if(col.isNull()).alias(f"c{i}"))
-        else:
-            aggs.append(F.count_distinct(F.when(~col.isin(list(c.values)), col)).alias(f"c{i}"))
-        metas.append(c)
-    wide = df.agg(*aggs)
-    return _unpivot(wide, [F.struct(*_row(c, F.col(f"c{i}"))) for i, c in enumerate(metas)])
+    """not_null checks (null rows) of one table in a single aggregation,
+    unpivoted to rows."""
+    wide = df.agg(*[F.count_if(F.col(c.column).isNull()).alias(f"c{i}") for i, c in enumerate(checks)])
+    return _unpivot(wide, [F.struct(*_row(c, F.col(f"c{i}"))) for i, c in enumerate(checks)])
+
+
+def _values_check(df: DataFrame, c: Check) -> DataFrame:
+    """Distinct values outside the accepted ones (nulls pass)."""
+    seen = df.filter(~F.col(c.column).isin(list(c.values))).select(c.column).distinct()
+    return seen.agg(F.count(F.lit(1)).alias("n")).select(*_row(c, F.col("n")))
 
 
 def _unique_check(df: DataFrame, c: Check) -> DataFrame:
@@ -134,17 +132,25 @@ def run_checks(tables: dict[str, DataFrame], kinds=("unique", "not_null", "accep
             by_model.setdefault(c.model, []).append(c)
     for model, cs in by_model.items():
         df = tables[model]
-        scan = [c for c in cs if c.kind in ("not_null", "accepted_values")]
+        scan = [c for c in cs if c.kind == "not_null"]
         if scan:
             parts.append(_scan_checks(df, scan))
         for c in cs:
             if c.kind == "unique":
                 parts.append(_unique_check(df, c))
+            elif c.kind == "accepted_values":
+                parts.append(_values_check(df, c))
             elif c.kind == "relationships" and c.to[0] in tables:
                 parts.append(_relationship_check(df, tables[c.to[0]], c))
     return reduce(DataFrame.unionByName, parts)
 
 
+def check_table(name: str, df: DataFrame, dim_date: DataFrame) -> None:
+    """Evaluate the checks declared on one written table and raise on errors."""
+    if any(c.model == name for c in ALL_CHECKS):
+        raise_on_errors(run_checks({"dim_date": dim_date, name: df}, checks=[c for c in ALL_CHECKS if c.model == name]))
+
+
 def raise_on_errors(results: DataFrame) -> None:
     bad = results.filter((F.col("severity") == "error") & (F.col("n_failed") > 0)).collect()
     if bad:
@@ -161,27 +167,33 @@ def freshness(sources: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def guardrails(funnel: DataFrame, revenue: DataFrame) -> DataFrame:
-    """G1-G4, G8 as violation counts (0 = holds; G8 is informational)."""
+def guardrails(funnel: DataFrame, revenue: DataFrame, bookings: DataFrame) -> DataFrame:
+    """G1-G4, G8 as violation counts (0 = holds; G8 is informational). G2
+    counts converted rows whose SR has no booking event."""
     def rows(wide, pairs):
         return _unpivot(wide, [F.struct(F.lit(n).alias("guardrail"),
                                         F.col(c).cast("bigint").alias("n_rows"))
                                for c, n in pairs])
 
-    f = funnel.agg(
-        (F.count(F.lit(1)) - F.count_distinct("booking_key")).alias("g1"),
-        F.count_if((F.col("is_converted") == 1) & F.col("booking_key").isNull()).alias("g2"))
+    f = funnel.agg((F.count(F.lit(1)) - F.count_distinct("booking_key")).alias("g1"))
+    converted = funnel.filter(F.col("is_converted") == 1).select("sr_id")
+    g2 = converted.join(bookings.select("sr_id"), "sr_id", "left_anti").agg(F.count(F.lit(1)).alias("g2"))
     r = revenue.agg(
         (F.count(F.lit(1)) - F.count_distinct("revenue_key")).alias("g3"),
         F.count_if((F.col("payment_status") == "completed")
                    & ((F.col("net_platform_revenue") + F.col("net_pro_payout"))
                       != F.col("gross_amount"))).alias("g4"))
-    g8 = (revenue.filter(F.col("payment_status").isin("refunded", "chargeback"))
-          .select("sr_id").distinct().agg(F.count(F.lit(1)).alias("g8")))
-    return (rows(f, [("g1", "funnel_booking_key_unique"), ("g2", "converted_subset_of_bookings")])
+    status = F.col("payment_status")
+    g8 = (revenue.filter(status.isin("refunded", "chargeback") & F.col("sr_id").isNotNull()).groupBy("sr_id")
+          .agg(F.max(status == "refunded").alias("refunded"), F.max(status == "chargeback").alias("chargeback"))
+          .agg(F.count(F.lit(1)).alias("g8"), F.count_if("refunded").alias("g8r"),
+               F.count_if("chargeback").alias("g8c")))
+    return (rows(f, [("g1", "funnel_booking_key_unique")])
+            .unionByName(rows(g2, [("g2", "converted_subset_of_bookings")]))
             .unionByName(rows(r, [("g3", "revenue_key_unique"),
                                   ("g4", "completed_net_split_equals_gross")]))
-            .unionByName(rows(g8, [("g8", "srs_with_reversal_rows")])))
+            .unionByName(rows(g8, [("g8", "srs_with_reversal_rows"), ("g8r", "srs_with_refunded_rows"),
+                                   ("g8c", "srs_with_chargeback_rows")])))
 
 
 def fan_out_report(lookups: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:

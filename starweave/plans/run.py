@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..sources.raw import RawSources
 from . import incremental as inc
 from .build import BUILD_ORDER, Models, default_run_ts
+from .quality import check_table
 from .warehouse import Warehouse
 
 # Tables a single fact needs below it, in build order.
@@ -21,21 +22,25 @@ NEEDED = {
 
 
 def build_full_to_warehouse(spark: SparkSession, raw: RawSources, wh: Warehouse,
-                            run_ts=None, tables=BUILD_ORDER) -> None:
+                            run_ts=None, tables=BUILD_ORDER, check: bool = True) -> None:
     """Build every model and write it; downstream models read the written
-    upstream tables (materialised inputs, short lineage)."""
+    upstream tables (materialised inputs, short lineage). The checks declared
+    on a table follow its write; an error ends the run."""
     m = Models(spark, raw, run_ts or default_run_ts())
     for name in tables:
         wh.write_full(name, m[name])
         m._cache[name] = wh.read(name)
+        if check:
+            check_table(name, m[name], m["dim_date"])
 
 
 def build_incremental(spark: SparkSession, raw: RawSources, wh: Warehouse, as_of: _dt.date,
-                      run_ts=None, tables=BUILD_ORDER) -> None:
+                      run_ts=None, tables=BUILD_ORDER, check: bool = True) -> None:
     """One nightly run at ``as_of``: dimensions first (upsert / insert-only /
     type-2), then facts from the refreshed dimensions, each fact rewriting
     only the partitions its change set touches. What a step replaced and wrote
-    scopes the funnel step after it."""
+    scopes the funnel step after it. Checks follow each write as in a full
+    build."""
     ts = run_ts or default_run_ts()
     sr = raw.service_requests
     now = Models(spark, raw, ts)
@@ -45,6 +50,8 @@ def build_incremental(spark: SparkSession, raw: RawSources, wh: Warehouse, as_of
         if name in tables:
             changed[name] = wh.apply(name, step(wh.read(name)))
             now._cache[name] = wh.read(name)
+            if check:
+                check_table(name, now[name], now["dim_date"])
 
     run("dim_category", lambda prev: inc.step_dim_category(prev, sr, ts))
     run("dim_geography", lambda prev: inc.step_dim_geography(prev, sr, ts))

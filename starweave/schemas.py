@@ -76,15 +76,6 @@ MODEL_COLUMNS = {
                     "sr_status", "sr_is_completed", "market", "pro_is_active", "dw_updated_at"],
 }
 
-# Natural/unique key of every upserted model.
-UNIQUE_KEYS = {
-    "dim_category": "category_key", "dim_geography": "geography_key",
-    "dim_session": "session_key", "dim_pro": "pro_key",
-    "dim_service_request": "service_request_key", "fct_booking_events": "booking_event_key",
-    "fct_session_events": "event_key", "fct_booking_funnel": "booking_key",
-    "fct_revenue": "revenue_key",
-}
-
 
 def assert_columns(df, model: str):
     want = MODEL_COLUMNS[model]

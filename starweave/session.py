@@ -70,8 +70,3 @@ def cut_lineage(df):
     path = os.path.join(ensure_checkpoint_dir(spark), "cut", uuid.uuid4().hex)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for a written table."""
-    return os.path.join(ensure_checkpoint_dir(spark), name)

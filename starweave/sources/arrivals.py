@@ -76,3 +76,9 @@ def hot_sessions(raw: RawSources) -> RawSources:
 
     views = {"raw_events": events, "raw_sessions": sessions}
     return RawSources(lambda name: views.get(name, lambda df: df)(raw.table(name)))
+
+
+def without_category(raw: RawSources, category: str) -> RawSources:
+    """Sources before the first service request of ``category``."""
+    requests = {"service_requests": lambda df: df.filter(~F.col("category").eqNullSafe(category))}
+    return RawSources(lambda name: requests.get(name, lambda df: df)(raw.table(name)))

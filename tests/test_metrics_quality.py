@@ -81,11 +81,28 @@ def test_relationship_outside_calendar_fails(spark):
 
 def test_guardrails_hold_on_test_data(small):
     g = {r.guardrail: r.n_rows for r in
-         quality.guardrails(small["fct_booking_funnel"], small["fct_revenue"]).collect()}
+         quality.guardrails(small["fct_booking_funnel"], small["fct_revenue"], small["fct_booking_events"]).collect()}
     assert g["funnel_booking_key_unique"] == 0 and g["revenue_key_unique"] == 0
     assert g["completed_net_split_equals_gross"] == 0
 
 
+def test_converted_row_without_booking_event_is_reported(small):
+    none = small["fct_booking_events"].limit(0)
+    g = {r.guardrail: r.n_rows for r in
+         quality.guardrails(small["fct_booking_funnel"], small["fct_revenue"], none).collect()}
+    assert g["converted_subset_of_bookings"] == small["fct_booking_funnel"].filter("is_converted = 1").count() > 0
+
+
+def test_failed_error_check_ends_a_run_and_warnings_do_not(small):
+    revenue = small["fct_revenue"]
+    quality.check_table("fct_revenue", revenue, small["dim_date"])
+    with pytest.raises(AssertionError, match="revenue_key"):
+        quality.check_table("fct_revenue", revenue.unionByName(revenue), small["dim_date"])
+    events = small["fct_session_events"]
+    assert events.filter("event_type = 'error'").count() > 0  # outside the accepted values: a warning
+    quality.check_table("fct_session_events", events, small["dim_date"])
+
+
 def test_naive_session_funnel_reports_reference_fan_out(small):
     from pyspark.sql import functions as F
     naive = small["session_funnel"]

@@ -140,3 +140,12 @@ def test_broadcast_only_under_measured_bound(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_category_replay_inserts_a_member(spark):
+    from starweave.plans.incremental import LATE_CATEGORY, SR_CUTOFF, known_at, replay
+    from starweave.sources.arrivals import without_category
+    raw = testdata_sources(spark, SF_SMALL)
+    early = dims.dim_category(known_at(without_category(raw, LATE_CATEGORY), SR_CUTOFF).service_requests, None)
+    after = replay(spark, raw, "dim_category")
+    assert {r.category for r in after.collect()} - {r.category for r in early.collect()} == {LATE_CATEGORY}
