@@ -59,6 +59,24 @@ def assert_unique_keys(df: DataFrame, keys: Sequence[str], what: str = "lookup")
         raise ValueError(f"{what}: join key {list(keys)} not unique, e.g. {dup[0].asDict()}")
 
 
+def _has_null(keys: DataFrame, on: str) -> bool:
+    return not keys.filter(F.col(on).isNull()).isEmpty()
+
+
+def rows_with(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """Rows whose ``on`` value is among ``keys``, null being a value like any
+    other. Null rows are picked by a filter, so that no join gathers them in
+    one task. ``keys`` should be materialised: it is asked for a null."""
+    found = df.join(keys, on, "left_semi")
+    return found.unionByName(df.filter(F.col(on).isNull())) if _has_null(keys, on) else found
+
+
+def rows_without(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """The other rows: those that ``rows_with`` leaves."""
+    rest = df.filter(F.col(on).isNotNull()).join(keys, on, "left_anti")
+    return rest if _has_null(keys, on) else rest.unionByName(df.filter(F.col(on).isNull()))
+
+
 def materialized_keys(df: DataFrame) -> DataFrame:
     """The distinct keys touched by one batch, written once. Joins with them
     are planned from the bytes of the written table, without a hint."""

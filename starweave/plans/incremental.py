@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions import lookback
 from ..operators import first_per_group, lookup_join, scd2_apply, upsert
 from ..operators.scd2 import scd2_changes
-from ..operators.joins import materialized_keys
+from ..operators.joins import materialized_keys, rows_with, rows_without
 from ..sources.raw import RawSources
 from . import dims, facts
 
@@ -36,6 +36,7 @@ class Change:
     on: str
     unique: bool = False       # ``on`` is the table key: a keyed upsert (checked)
     insert_only: bool = False  # ``fresh`` holds only members absent from the table
+    null_group: bool = False   # rows with a null ``on`` value are one group, replaced whole like any other
     scope: DataFrame | None = None  # ``on`` values whose rows go even without a fresh one
     track: tuple = ()          # columns of replaced and new rows that later steps ask for
 
@@ -46,6 +47,9 @@ class Change:
             prev = prev.join(self.scope.select(self.on), self.on, "left_anti").select(*prev.columns)
         if self.unique:
             return upsert(prev, self.fresh, self.on)
+        if self.null_group:
+            gone = materialized_keys(self.fresh.select(self.on))
+            return rows_without(prev, gone, self.on).unionByName(self.fresh.select(*prev.columns))
         gone = self.fresh.select(self.on).distinct()
         return prev.join(gone, self.on, "left_anti").unionByName(self.fresh.select(*prev.columns))
 
@@ -115,13 +119,14 @@ def step_fct_booking_events(raw_events: DataFrame, as_of, run_ts) -> Change:
 def step_fct_session_events(raw_events: DataFrame, raw_sessions: DataFrame,
                             dim_session: DataFrame, as_of, run_ts) -> Change:
     """Sessions with events in the window, or whose session row changed, are
-    recomputed whole against the unfiltered session dimension."""
+    recomputed whole against the unfiltered session dimension. Events without
+    a session are numbered as one group and are recomputed as one."""
     by_event = raw_events.filter(lookback("event_ts", as_of, 1)).select("session_id")
     by_row = raw_sessions.filter(lookback("updated_at", as_of, 1)).select("session_id")
     touched = materialized_keys(by_event.union(by_row))
-    whole = raw_events.join(touched, "session_id", "left_semi")
+    whole = rows_with(raw_events, touched, "session_id")
     fresh = facts.fct_session_events(whole, dim_session, run_ts)
-    return Change(fresh, "session_key")
+    return Change(fresh, "session_key", null_group=True)
 
 
 def funnel_scope(service_requests: DataFrame, booking_events: DataFrame, booked: DataFrame,

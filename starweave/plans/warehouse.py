@@ -21,6 +21,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import rows_with, rows_without
 from ..session import cut_lineage, ensure_checkpoint_dir
 
 MONTH = "_month"
@@ -109,17 +110,20 @@ class Warehouse:
         change's ``track`` columns of all replaced and new rows."""
         if change.insert_only:
             return self.append(table, change.fresh)
-        return self.merge_partitions(table, change.fresh, change.on, change.unique, change.scope, change.track)
+        return self.merge_partitions(table, change.fresh, change.on, change.unique, change.scope, change.track,
+                                     change.null_group)
 
     def replace(self, table: str, df: DataFrame) -> None:
         """Rewrite a table from a plan that reads it: checkpoint first."""
         self.write_full(table, cut_lineage(df))
 
     def merge_partitions(self, table: str, fresh: DataFrame, on: str, check_unique: bool,
-                         scope: DataFrame | None = None, track: tuple = ()) -> DataFrame:
+                         scope: DataFrame | None = None, track: tuple = (),
+                         null_group: bool = False) -> DataFrame:
         """Replace rows whose ``on`` value occurs in ``fresh``, in whatever month
         they stand, and insert the rest, rewriting only the months involved.
-        Rows whose ``on`` value occurs only in ``scope`` go. Returns the
+        Rows whose ``on`` value occurs only in ``scope`` go. With ``null_group``
+        rows with a null ``on`` value are replaced as one group. Returns the
         ``track`` columns of the replaced and the new rows."""
         fresh = cut_lineage(fresh.withColumn(MONTH, month_expr(table)))
         month = F.col(MONTH).cast("string")  # read back, the folder name is a number
@@ -132,7 +136,8 @@ class Warehouse:
         keys = keys.distinct()
         cur = self.read(table, keep_month=True)
         # a corrected timestamp moves a row: its old month is rewritten too
-        gone = cut_lineage(cur.select(*dict.fromkeys([on, MONTH, *track])).join(keys, on, "left_semi"))
+        seen = cur.select(*dict.fromkeys([on, MONTH, *track]))
+        gone = cut_lineage(rows_with(seen, keys, on) if null_group else seen.join(keys, on, "left_semi"))
         months |= {r[0] for r in gone.select(month).distinct().collect()}
         changed = fresh.select(*track).union(gone.select(*track))
         if not months:
@@ -140,7 +145,8 @@ class Warehouse:
         in_months = month.isin([m for m in months if m is not None])
         if None in months:
             in_months = in_months | month.isNull()
-        kept = cur.filter(in_months).join(keys, on, "left_anti")
+        cur = cur.filter(in_months)
+        kept = rows_without(cur, keys, on) if null_group else cur.join(keys, on, "left_anti")
         parts = cut_lineage(kept.unionByName(fresh.select(*kept.columns)))
         left = {r[0] for r in parts.select(month).distinct().collect()}
         order = [MONTH, *CLUSTER_BY[table], KEY_OF[table]]

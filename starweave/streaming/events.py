@@ -8,8 +8,8 @@ same merge runs per micro-batch: ``readStream`` over the landing folder ->
    anti join against the landed day partitions),
 2. appends them to the landed ``raw_events`` table, partitioned by event day,
 3. recomputes the session-event fact rows of every session the batch touched
-   (whole sessions, from the landed table) and replaces those sessions' rows
-   in their month partitions.
+   (whole sessions, from the landed table; events without a session are one
+   group) and replaces those sessions' rows in their month partitions.
 
 Each write is a dynamic partition overwrite of only the touched partitions,
 computed from inputs materialised in the checkpoint folder, so re-running a micro-batch after a
@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedup import first_per_group
+from ..operators.joins import rows_with, rows_without
 from ..plans import facts
 from ..plans.warehouse import MONTH, month_expr
 from ..session import cut_lineage, ensure_checkpoint_dir
@@ -74,7 +75,7 @@ def merge_events_batch(batch: DataFrame, landed_path: str, facts_path: str,
 
     # whole sessions touched by this batch, recomputed from the landed table
     landed = spark.read.parquet(landed_path).drop(DAY)
-    whole = landed.join(touched, "session_id", "left_semi")
+    whole = rows_with(landed, touched, "session_id")
     rows = facts.fct_session_events(whole, dim_session, run_ts).withColumn(
         MONTH, month_expr("fct_session_events"))
     rows = cut_lineage(rows)
@@ -82,7 +83,7 @@ def merge_events_batch(batch: DataFrame, landed_path: str, facts_path: str,
         months = [r[0] for r in rows.select(MONTH).distinct().collect()]
         cur = spark.read.parquet(facts_path).filter(F.col(MONTH).isin(months))
         gone = rows.select("session_key").distinct()
-        rows = cut_lineage(cur.join(gone, "session_key", "left_anti").unionByName(rows))
+        rows = cut_lineage(rows_without(cur, gone, "session_key").unionByName(rows))
     _overwrite_partitions(rows, facts_path, MONTH, ["event_date_key", "event_key"])
 
 
