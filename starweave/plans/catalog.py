@@ -131,7 +131,7 @@ def _replay(model: str) -> Query:
     return run
 
 
-def _nightly(fact: str, nights: str, late_events: bool = True) -> Query:
+def _nightly(fact: str, nights: str) -> Query:
     """A full build and the nights after it, in a warehouse of its own, over
     rows that arrive late or are corrected; ends as the full build does."""
     def run(spark, d):
@@ -139,7 +139,7 @@ def _nightly(fact: str, nights: str, late_events: bool = True) -> Query:
         from .run import NEEDED, build_full_to_warehouse, build_incremental
         raw, days = testdata_sources(spark, d), getattr(arrivals, nights)
         wh = Warehouse(spark, os.path.join(ensure_checkpoint_dir(spark), "nightly", uuid.uuid4().hex))
-        views = [arrivals.late_arrivals(raw, day, late_events) for day in [*days, None]]
+        views = [arrivals.late_arrivals(raw, day) for day in [*days, None]]
         build_full_to_warehouse(spark, views[0], wh, FIXED_RUN_TS, NEEDED[fact])
         for as_of, view in zip(days, views[1:], strict=True):
             build_incremental(spark, view, wh, as_of, FIXED_RUN_TS, NEEDED[fact])
@@ -204,7 +204,6 @@ def registry() -> dict[str, Query]:
     q["fct_session_events_hot"] = _hot_session_events
     q["stream_session_events"] = _stream_session_events
     q["nightly_funnel"] = _nightly("fct_booking_funnel", "EVENT_NIGHTS")
-    # the session fact looks one day back for events, so only session rows are late
-    q["nightly_sessions"] = _nightly("fct_session_events", "EVENT_NIGHTS", late_events=False)
+    q["nightly_sessions"] = _nightly("fct_session_events", "EVENT_NIGHTS")
     q["nightly_revenue"] = _nightly("fct_revenue", "PAYMENT_NIGHTS")
     return q

@@ -118,10 +118,11 @@ def step_fct_booking_events(raw_events: DataFrame, as_of, run_ts) -> Change:
 
 def step_fct_session_events(raw_events: DataFrame, raw_sessions: DataFrame,
                             dim_session: DataFrame, as_of, run_ts) -> Change:
-    """Sessions with events in the window, or whose session row changed, are
-    recomputed whole against the unfiltered session dimension. Events without
+    """Sessions with events that happened or landed in the window, however late,
+    or whose session row changed, are recomputed whole against the unfiltered session dimension. Events without
     a session are numbered as one group and are recomputed as one."""
-    by_event = raw_events.filter(lookback("event_ts", as_of, 1)).select("session_id")
+    recent = lookback("event_ts", as_of, 1) | lookback("_loaded_at", as_of, 1)
+    by_event = raw_events.filter(recent).select("session_id")
     by_row = raw_sessions.filter(lookback("updated_at", as_of, 1)).select("session_id")
     touched = materialized_keys(by_event.union(by_row))
     whole = rows_with(raw_events, touched, "session_id")

@@ -4,7 +4,7 @@ They feed the registered nightly runs: what a source shows before a night
 differs from event time by fixed rules over the ids, and the view without a
 night is what all nights together have delivered.
 
-* Every fifth event lands 8 days after it happened.
+* Every fifth event lands, by its load time, 8 days after it happened.
 * Every session row lands at its last update; that of every fourth user 6 days
   later, and carries the landing time as its update time.
 * A payment is pending until its update. That of every seventh order lands 35
@@ -35,11 +35,12 @@ def _number(name: str):
     return F.regexp_extract(name, r"(\d+)", 1).cast("long")
 
 
-def late_arrivals(raw: RawSources, night: _dt.date | None, late_events: bool = True) -> RawSources:
+def late_arrivals(raw: RawSources, night: _dt.date | None) -> RawSources:
     """Sources as landed before ``night``; None: everything has landed."""
     def events(df):
         late = F.when(_number("event_id") % 5 == 0, F.col("event_ts") + _days(LATE_EVENT)).otherwise(F.col("event_ts"))
-        return df.filter((late if late_events else F.col("event_ts")) < ntz_literal(night)) if night else df
+        df = df.withColumn("_loaded_at", late)
+        return df.filter(F.col("_loaded_at") < ntz_literal(night)) if night else df
 
     def sessions(df):
         landed = F.when(_number("session_id") % 4 == 0, F.col("updated_at") + _days(LATE_SESSION)).otherwise(F.col("updated_at"))

@@ -76,3 +76,14 @@ def test_an_earlier_booking_that_arrives_late_replaces_the_funnel_row(spark):
     gone = before.join(change.fresh.select("session_id"), "session_id", "left_semi")
     assert {r.sr_id for r in change.fresh.union(gone.select(*change.fresh.columns)).collect()} == {"A", "B"}
     assert [r.sr_id for r in change.apply(before).collect()] == ["A"]
+
+
+def test_events_that_land_late_reach_the_session_fact(spark):
+    """nightly_sessions over events that land 8 days late ends as the full build."""
+    from starweave.plans import catalog
+    sf, queries = "/root/testdata/sf0.001", catalog.registry()
+    late = spark.read.parquet(f"{sf}/events.parquet").filter("event_id % 5 = 0").count()
+    got, full = queries["nightly_sessions"](spark, sf), queries["fct_session_events"](spark, sf)
+    assert late > 0 and got.count() == full.count()
+    got = got.select(*full.columns)
+    assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
