@@ -9,9 +9,9 @@ pair of blocks being one task's work.
 
 Defined cases: vectors that are null or hold null, NaN or infinite components
 take no part, nor do rows without id; a vector's missing components count as
-0; rows with the query's id are not its candidates; a repeated query id asks
-with its smallest vector; equal scores go to the smaller id; an empty table
-gives no rows; further columns are ignored.
+0; rows with the query's id are not its candidates; every query row asks, and
+the pairs of rows that repeat a query id are ranked together; equal scores go
+to the smaller id; an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -90,19 +90,18 @@ def _best(k: int):
 
 
 def top_k(embeddings: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(query_id, rank, vec_id, score): each query row's k best other vectors."""
+    """(query_id, rank, vec_id, score): the k best pairs of each query id's rows with other vectors."""
     def usable(frame: DataFrame) -> DataFrame:
         whole = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
         return (frame.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"))
                 .filter("vec_id is not null and vector is not null").filter(whole))
 
     vectors = usable(embeddings)
-    asked = cut_lineage(usable(queries).groupBy("vec_id").agg(F.min("vector").alias("vector")))
+    asked = cut_lineage(usable(queries).withColumn("turn", F.monotonically_increasing_id()))
     chunks, blocks = (F.lit(-(-frame.count() // size) or 1).cast("long") for frame, size in ((vectors, VECTOR_BLOCK), (asked, QUERY_BLOCK)))
-    place = F.xxhash64("vec_id")
-    dealt = (vectors.withColumn("chunk", F.pmod(place, chunks))
+    dealt = (vectors.withColumn("chunk", F.pmod(F.xxhash64("vec_id"), chunks))
              .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))))
-    sent = (asked.withColumn("block", F.pmod(place, blocks))
+    sent = (asked.withColumn("block", F.pmod(F.xxhash64("turn"), blocks)).drop("turn")
             .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1))))
     found = (sent.groupBy("chunk", "block").cogroup(dealt.groupBy("chunk", "block"))
              .applyInArrow(_best(k), "query_id long, vec_id long, score long"))

@@ -202,6 +202,21 @@ def test_top_k_cases(spark):
     assert topk.top_k(vectors.limit(0), vectors.limit(0)).count() == 0
 
 
+def test_top_k_of_repeated_query_ids_equals_sql(spark, monkeypatch):
+    import duckdb
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (0, [0.0, 1.0]), (50, [-1.0, 0.5]), (50, [0.25, 0.5])]
+    rows += [(i, [i / 4, 2 - i / 4]) for i in range(1, 9)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding DOUBLE[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", rows)
+    want = sorted(con.execute(topk.OP6_SQL).fetchall())
+    for size in (topk.QUERY_BLOCK, 2):
+        monkeypatch.setattr(topk, "QUERY_BLOCK", size)
+        monkeypatch.setattr(topk, "VECTOR_BLOCK", size)
+        assert sorted(map(tuple, topk.top_k(vectors, vectors.filter("vec_id % 50 = 0")).collect())) == want
+
+
 def test_warc_cases(spark):
     big, magic = "x" * 1000, "y\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n" * 40
     rows = [(1, "u", big, 0), (5, None, big, 0), (3, "a b\r\nc", big, 0), (None, "u", big, 0), (7, "u", None, 0), (8, "u" * 99_999, "", 0), (9, "u", "small", 0),
