@@ -7,9 +7,10 @@ out as a whole; the rest becomes token ids in binary files, whose records are
 returned. Every stage reads what the one before it has written; all but the
 last return the columns of ``documents``.
 
-Defined cases follow the operators': rows without doc_id are never grouped as
-near duplicates and stay; rows that repeat a doc_id stay or go together, and
-are mixed as the single document they are.
+Defined cases follow the operators', except that near duplicates go row by row
+where ids are null or repeated: one row of each group stays, the one of least
+doc_id (null last), so copies without doc_id or under one doc_id go as well.
+Rows that repeat a doc_id are mixed as the single document they are.
 """
 
 from __future__ import annotations
@@ -26,11 +27,22 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    if not neardup.unique_ids(docs, "doc_id"):
+        return _one_row_of_each_group(docs)
     found = neardup.near_duplicates(docs)
     copies = cut_lineage(found.filter("not kept and doc_id is not null").select(F.col("doc_id").alias("copy_of")).distinct())
     return docs.join(copies, docs["doc_id"] == copies["copy_of"], "left_anti")
 
 
+def _one_row_of_each_group(docs: DataFrame) -> DataFrame:
+    rows = cut_lineage(docs.withColumn("near_row", F.monotonically_increasing_id()))
+    found = neardup.near_duplicates(rows, "near_row").select(F.col("doc_id").alias("near_row"), "component_id")
+    named = found.join(rows.select("near_row", "doc_id"), "near_row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "near_row"))
+    stays = cut_lineage(named.groupBy("component_id").agg(first.alias("first")).select(F.col("first.near_row").alias("near_row")))
+    return rows.join(stays, "near_row", "left_semi").select(*docs.columns)
+
+
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 

@@ -15,9 +15,9 @@ word shingles; two documents are linked when ``100 * common >= 75 * union``.
 
 Defined cases: null or wordless text has an empty set (n_shingles 0) and links
 with nothing; a text of fewer words than a shingle is one shingle; rows that
-repeat a doc_id are one document with several rows; a row without doc_id comes
-back with null component and ``kept`` false; an empty table gives no rows;
-further columns are ignored.
+repeat a doc_id are one document with several rows, each compared by its own
+text; a row without doc_id comes back with null component and ``kept`` false;
+an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -219,6 +219,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     percent: int = 75) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of ``docs``."""
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    if unique_ids(docs, "id"):
+        return _of_unique_ids(docs, shingle, percent)
+    rows = cut_lineage(docs.withColumn("row", F.monotonically_increasing_id()))
+    found = _of_unique_ids(rows.filter("id is not null").select(F.col("row").alias("id"), "text"), shingle, percent)
+    placed = cut_lineage(found.select(F.col("doc_id").alias("row"), "n_shingles", F.col("component_id").alias("home"))
+                         .join(rows.select("row", "id"), "row"))
+    component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("id"))
+    named = placed.join(_joined(placed.filter("n_shingles > 0")), "home", "left").select(
+        F.col("id").alias("doc_id"), "n_shingles", component.alias("component_id"), (F.col("id") == component).alias("kept"))
+    nameless = signatures(rows.filter("id is null").select("id", "text"), shingle)
+    return named.unionByName(nameless.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
+                                             F.lit(None).cast("long").alias("component_id"), F.lit(False).alias("kept")))
+
+
+def unique_ids(docs: DataFrame, id_col: str) -> bool:
+    return docs.groupBy(id_col).count().filter(F.col(id_col).isNull() | (F.col("count") > 1)).isEmpty()
+
+
+def _joined(placed: DataFrame) -> DataFrame:
+    """(home, component): the homes of one id's rows belong together, under the
+    smallest id of all their rows."""
+    pairs = cut_lineage(placed.select("id", "home").distinct())
+    low = pairs.groupBy("id").agg(F.min("home").alias("b"))
+    more = cut_lineage(components(cut_lineage(pairs.join(low, "id").select(F.col("home").alias("a"), "b").distinct())))
+    homes = pairs.groupBy("home").agg(F.min("id").alias("least"))
+    homes = cut_lineage(homes.join(more.withColumnsRenamed({"node": "home", "component": "whole"}), "home", "left")
+                        .select("home", "least", F.coalesce("whole", "home").alias("whole")))
+    named = homes.groupBy("whole").agg(F.min("least").alias("component"))
+    return cut_lineage(homes.join(named, "whole").select("home", "component"))
+
+
+def _of_unique_ids(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     signed_ = cut_lineage(signatures(docs, shingle))
     known = signed_.filter("id is not null and n > 0")
     classes = cut_lineage(known.groupBy("n", "f1", "f2").agg(F.min("id").alias("rep"), F.count("*").alias("rows")))
@@ -240,18 +272,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         groups = cut_lineage(components(links))
     homes = cut_lineage(classes.join(groups, classes["rep"] == groups["node"], "left")
                         .select("n", "f1", "f2", F.coalesce("component", "rep").alias("home")))
-    if known.groupBy("id").count().filter("count > 1").isEmpty():
-        return _labelled(signed_, homes)
-    # Several rows of one id: the id's classes belong together.
-    ids = known.join(homes, ["n", "f1", "f2"]).select("id", "home")
-    return _labelled(signed_, cut_lineage(_joined(homes, ids)))
-
-
-def _joined(homes: DataFrame, ids: DataFrame) -> DataFrame:
-    low = ids.groupBy("id").agg(F.min("home").alias("b"))
-    more = components(cut_lineage(ids.join(low, "id").select(F.col("home").alias("a"), "b").distinct()))
-    return homes.join(more, homes["home"] == more["node"], "left") \
-        .select("n", "f1", "f2", F.coalesce("component", "home").alias("home"))
+    return _labelled(signed_, homes)
 
 
 def _labelled(signed_: DataFrame, homes: DataFrame) -> DataFrame:

@@ -83,6 +83,22 @@ def test_near_dedup_finds_links_that_miss_the_centre(spark):
     assert {r["component_id"] for r in neardup.near_duplicates(docs).collect()} == {0}
 
 
+def test_near_dedup_of_a_doc_id_with_two_texts(spark):
+    one, two = (" ".join(f"{c}{j}" for j in range(80)) for c in "xy")
+    rows = [(1, one), (1, two), (2, one + " end"), (3, two + " end"), (4, "of its own"), (4, ""), (None, one)]
+    got = by_id(neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert [{r["component_id"] for r in got[i]} for i in (1, 2, 3, 4)] == [{1}, {1}, {1}, {4}]
+    assert [len(got[i]) for i in (1, 4, None)] == [2, 2, 1] and got[None][0]["n_shingles"] == 76
+    assert all(r["kept"] == (r["doc_id"] in (1, 4)) for rows_ in got.values() for r in rows_)
+
+
+def test_near_dedup_stage_keeps_one_row_of_each_group(spark):
+    one, two = (" ".join(f"{c}{j}" for j in range(80)) for c in "xy")
+    rows = [(None, one), (9, one + " end"), (5, one), (5, one), (5, two), (None, "a b c"), (None, "a b c")]
+    got = dict(corpus_pipeline.STAGES)["near_dedup"](spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(5, one), (5, two), (None, "a b c")], key=str)
+
+
 def test_decontaminate_cases(spark, odd, none):
     window = " ".join(f"word{i}" for i in range(20, 33))
     items = bench(spark, [(1, window.upper(), 0), (2, "TWO words!", 0), (3, None, 0), (4, "...", 0), (12, window, 0)])
