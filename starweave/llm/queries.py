@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language, mixing, neardup, quality, sharding, substrings, tokenfiles, topk, warc
+from . import (centroids, decontaminate, language, mixing, neardup, periodic, quality, sharding, substrings,
+               tokencounts, tokenfiles, topk, warc)
 
 QUERIES = {
     "op1_near_dedup": neardup.op1_near_dedup,
@@ -15,6 +16,9 @@ QUERIES = {
     "op8_substring_dedup": substrings.op8_substring_dedup,
     "op9_token_ids": tokenfiles.op9_token_ids,
     "op10_sharding": sharding.op10_sharding,
+    "op11_centroids": centroids.op11_centroids,
+    "op12_periodic_runs": periodic.op12_periodic_runs,
+    "op13_token_counts": tokencounts.op13_token_counts,
 }
 SQL = {
     "op1_near_dedup": neardup.OP1_SQL,
@@ -24,4 +28,5 @@ SQL = {
     "op7_warc": warc.OP7_SQL,
     "op8_substring_dedup": substrings.OP8_SQL,
     "op10_sharding": sharding.OP10_SQL,
+    "op11_centroids": centroids.OP11_SQL,
 }
