@@ -24,6 +24,8 @@ FIXED_RUN_TS = _dt.datetime(2024, 1, 31, 6, 0, 0)
 SOURCE_KEYS = ["raw_events", "raw_sessions", "service_requests", "raw_pro_profiles",
                "raw_payments"]
 
+WINDOW = (_dt.date(2020, 6, 1), _dt.date(2020, 6, 14))  # a fortnight within the given orders
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -138,7 +140,7 @@ def _nightly(fact: str, nights: str) -> Query:
         from ..sources import arrivals
         from .run import NEEDED, build_full_to_warehouse, build_incremental
         raw, days = testdata_sources(spark, d), getattr(arrivals, nights)
-        wh = Warehouse(spark, os.path.join(ensure_checkpoint_dir(spark), "nightly", uuid.uuid4().hex))
+        wh = _new_warehouse(spark, "nightly")
         views = [arrivals.late_arrivals(raw, day) for day in [*days, None]]
         build_full_to_warehouse(spark, views[0], wh, FIXED_RUN_TS, NEEDED[fact])
         for as_of, view in zip(days, views[1:], strict=True):
@@ -147,6 +149,44 @@ def _nightly(fact: str, nights: str) -> Query:
     return run
 
 
+class Killed(RuntimeError):
+    """Stands for a run that dies."""
+
+
+def _new_warehouse(spark, kind: str) -> Warehouse:
+    return Warehouse(spark, os.path.join(ensure_checkpoint_dir(spark), kind, uuid.uuid4().hex))
+
+
+def _readers_keep_published(spark, d):
+    """The revenue fact as another reader finds it after a published build, a
+    nightly run that dies when all its tables are written, and one whose payments
+    fail their checks: still the published rows."""
+    from ..sources import arrivals
+    from .run import NEEDED, build_full_to_warehouse, build_incremental
+    raw, tables = testdata_sources(spark, d), NEEDED["fct_revenue"]
+    wh, night = _new_warehouse(spark, "published"), arrivals.PAYMENT_NIGHTS[-1]
+    build_full_to_warehouse(spark, raw, wh, FIXED_RUN_TS, tables)
+    nights = {Killed: arrivals.late_arrivals(raw, night), AssertionError: arrivals.bad_payments(raw, night)}
+    for failure, view in nights.items():
+        try:
+            with wh.transaction():
+                build_incremental(spark, view, wh, night, FIXED_RUN_TS, tables)
+                raise Killed("all tables written, none published")
+        except failure:
+            continue
+        raise RuntimeError(f"the run should have ended by {failure}")
+    return _audit_free(Warehouse(spark, wh.root).read("fct_revenue"))
+
+
+def _windowed(fact: str, metric, since: _dt.date, until: _dt.date, dims) -> Query:
+    """A metric over some days, from the files of a written fact that hold them."""
+    def run(spark, d):
+        wh = _new_warehouse(spark, "windowed")
+        wh.write_full(fact, models(spark, d)[fact])
+        return metric(wh.read(fact, since=since, until=until), list(dims))
+    return run
+
+
 def _hot_session_events(spark, d):
     from ..sources.arrivals import hot_sessions
     raw = hot_sessions(testdata_sources(spark, d))
@@ -201,6 +241,9 @@ def registry() -> dict[str, Query]:
     q["fan_out_report"] = _fan_out
     for key, model in REPLAYS.items():
         q[key] = _replay(model)
+    q["readers_keep_published"] = _readers_keep_published
+    q["conversion_in_window"] = _windowed("fct_booking_funnel", metrics.booking_conversion_rate, *WINDOW, ["category_key"])
+    q["revenue_in_window"] = _windowed("fct_revenue", metrics.revenue_metrics, *WINDOW, ["payment_method"])
     q["fct_session_events_hot"] = _hot_session_events
     q["stream_session_events"] = _stream_session_events
     q["nightly_funnel"] = _nightly("fct_booking_funnel", "EVENT_NIGHTS")

@@ -6,6 +6,8 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.joins import assert_unique_keys
+from ..session import released_cuts
 from ..sources.raw import RawSources
 from . import incremental as inc
 from .build import BUILD_ORDER, Models, default_run_ts
@@ -21,26 +23,46 @@ NEEDED = {
 }
 
 
+# The keys that later steps look tables up by, among the current rows.
+LOOKUP_KEYS = {
+    "dim_category": ["category"], "dim_geography": ["geography"], "dim_session": ["session_id"],
+    "dim_service_request": ["sr_id"], "dim_pro": ["sp_id", "category_key"],
+}
+
+
+def audit(name: str, table: DataFrame, dim_date: DataFrame, touched: DataFrame | None = None) -> None:
+    """What a staged table must pass before it is read or published: its lookup
+    key occurs once among the current rows (G7), and its declared checks (DQ1 to
+    DQ5). After a merge, only the keys of its changed rows (``touched``) can have
+    come to repeat."""
+    if name in LOOKUP_KEYS:
+        current = table.filter("is_current") if "is_current" in table.columns else table
+        if touched is not None and set(LOOKUP_KEYS[name]) <= set(touched.columns):
+            current = current.join(touched.select(*LOOKUP_KEYS[name]).distinct(), LOOKUP_KEYS[name], "left_semi")
+        assert_unique_keys(current, LOOKUP_KEYS[name], name)
+    check_table(name, table, dim_date)
+
+
 def build_full_to_warehouse(spark: SparkSession, raw: RawSources, wh: Warehouse,
                             run_ts=None, tables=BUILD_ORDER, check: bool = True) -> None:
     """Build every model and write it; downstream models read the written
-    upstream tables (materialised inputs, short lineage). The checks declared
-    on a table follow its write; an error ends the run."""
-    m = Models(spark, raw, run_ts or default_run_ts())
-    for name in tables:
-        wh.write_full(name, m[name])
-        m._cache[name] = wh.read(name)
-        if check:
-            check_table(name, m[name], m["dim_date"])
+    upstream tables (materialised inputs, short lineage). Each table is audited
+    before the next is built; all are published together, or none if one fails."""
+    with released_cuts(spark), wh.transaction():
+        m = Models(spark, raw, run_ts or default_run_ts())
+        for name in tables:
+            wh.write_full(name, m[name])
+            m._cache[name] = wh.read(name)
+            if check:
+                audit(name, m[name], m["dim_date"])
 
 
 def build_incremental(spark: SparkSession, raw: RawSources, wh: Warehouse, as_of: _dt.date,
                       run_ts=None, tables=BUILD_ORDER, check: bool = True) -> None:
     """One nightly run at ``as_of``: dimensions first (upsert / insert-only /
-    type-2), then facts from the refreshed dimensions, each fact rewriting
-    only the partitions its change set touches. What a step replaced and wrote
-    scopes the funnel step after it. Checks follow each write as in a full
-    build."""
+    type-2), then facts from the refreshed dimensions, each step rewriting only
+    the files its change set touches. What a step replaced and wrote scopes the
+    funnel step after it. Tables are audited and published as in a full build."""
     ts = run_ts or default_run_ts()
     sr = raw.service_requests
     now = Models(spark, raw, ts)
@@ -51,21 +73,24 @@ def build_incremental(spark: SparkSession, raw: RawSources, wh: Warehouse, as_of
             changed[name] = wh.apply(name, step(wh.read(name)))
             now._cache[name] = wh.read(name)
             if check:
-                check_table(name, now[name], now["dim_date"])
+                audit(name, now[name], now["dim_date"], changed[name])
 
-    run("dim_category", lambda prev: inc.step_dim_category(prev, sr, ts))
-    run("dim_geography", lambda prev: inc.step_dim_geography(prev, sr, ts))
-    run("dim_session", lambda prev: inc.step_dim_session(raw.raw_sessions, as_of, ts))
-    if "dim_pro" in tables:
-        # bounded by pros x categories x versions: rewritten whole after a checkpoint
-        wh.replace("dim_pro", inc.step_dim_pro(wh.read("dim_pro"), raw.raw_pro_profiles, as_of, ts))
-        now._cache["dim_pro"] = wh.read("dim_pro")
-    run("dim_service_request", lambda prev: inc.step_dim_service_request(
-        prev, sr, now["dim_category"], now["dim_geography"], as_of, ts))
-    run("fct_booking_events", lambda prev: inc.step_fct_booking_events(raw.raw_events, as_of, ts))
-    run("fct_session_events", lambda prev: inc.step_fct_session_events(
-        raw.raw_events, raw.raw_sessions, now["dim_session"], as_of, ts))
-    run("fct_booking_funnel", lambda prev: inc.step_fct_booking_funnel(
-        sr, now, changed["fct_booking_events"], changed["dim_service_request"],
-        changed["dim_session"], as_of, ts))
-    run("fct_revenue", lambda prev: inc.step_fct_revenue(raw.raw_payments, sr, now, as_of, ts))
+    with released_cuts(spark), wh.transaction():
+        run("dim_category", lambda prev: inc.step_dim_category(prev, sr, ts))
+        run("dim_geography", lambda prev: inc.step_dim_geography(prev, sr, ts))
+        run("dim_session", lambda prev: inc.step_dim_session(raw.raw_sessions, as_of, ts))
+        if "dim_pro" in tables:
+            # bounded by pros x categories x versions: rewritten whole
+            wh.replace("dim_pro", inc.step_dim_pro(wh.read("dim_pro"), raw.raw_pro_profiles, as_of, ts))
+            now._cache["dim_pro"] = wh.read("dim_pro")
+            if check:
+                audit("dim_pro", now["dim_pro"], now["dim_date"])
+        run("dim_service_request", lambda prev: inc.step_dim_service_request(
+            prev, sr, now["dim_category"], now["dim_geography"], as_of, ts))
+        run("fct_booking_events", lambda prev: inc.step_fct_booking_events(raw.raw_events, as_of, ts))
+        run("fct_session_events", lambda prev: inc.step_fct_session_events(
+            raw.raw_events, raw.raw_sessions, now["dim_session"], as_of, ts))
+        run("fct_booking_funnel", lambda prev: inc.step_fct_booking_funnel(
+            sr, now, changed["fct_booking_events"], changed["dim_service_request"],
+            changed["dim_session"], as_of, ts))
+        run("fct_revenue", lambda prev: inc.step_fct_revenue(raw.raw_payments, sr, now, as_of, ts))

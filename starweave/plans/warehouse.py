@@ -1,28 +1,38 @@
-"""Table storage (K1, K3, K6, K7): Parquet tables at ``<root>/<schema>/<table>``.
-
-* Facts are partitioned by the month of their date key (``_month``) and
-  written range-partitioned and sorted on their clustering columns, so date
-  filters prune partitions and row-group statistics prune the rest. A hot
-  month is spread over several write tasks because the range partitioner
-  samples on (month, clustering columns, key).
-* A full build overwrites (idempotent: same input, same table).
-* A nightly fact merge rewrites only the month partitions that hold changed
-  rows, by dynamic partition overwrite. The rewritten partitions are first
-  cut from the table's lineage by writing them as a table in the shared
-  ``spark.checkpoint.dir``, so the job never reads the files it replaces.
-* Dimensions are rewritten whole after a checkpoint (they are bounded by the
-  number of entities and versions, not by event volume).
+"""Table storage (K1, K2, K3, K6, K7): versioned Parquet tables under
+``<root>/<schema>/<table>``, one commit point for the whole warehouse.
+
+* Write, audit, publish. ``with warehouse.transaction():`` pins the newest
+  version. Writes inside go to new folders, which only this warehouse object
+  reads; leaving the block publishes all of them as the next version in one
+  step, an exception publishes nothing. A write outside of such a block is a
+  transaction of its own.
+* Files are never changed, so a plan may read the table it writes, a lost task is
+  run again from the same input, and readers of the version before go on.
+* Rows are range-partitioned and sorted on (month, clustering columns, key); the
+  manifest holds each file's first and last day. ``read`` with dates opens only
+  the files whose days meet them. A hot month is spread over several files,
+  because the range partitioner samples on all of these columns.
+* A merge reads the key column, then rewrites only the files that hold a replaced
+  row, once, together with the new rows; small files of the months written are
+  folded in, so that nights don't pile them up.
+* Superseded versions go at the next publication but one.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
 import os
+import uuid
+from collections import namedtuple
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from ..operators.joins import rows_with, rows_without
-from ..session import cut_lineage, ensure_checkpoint_dir
+from ..session import cut_lineage, remove_folder, shared_path
+from .versions import FILES, Versions, manifest_rows
 
 MONTH = "_month"
 
@@ -50,8 +60,14 @@ KEY_OF = {
 TEXT_DATE_KEYS = {"fct_booking_events", "fct_booking_funnel", "fct_revenue"}
 
 
+SMALL_FILE_BYTES = 32 << 20
+KEPT_VERSIONS = 2
+
+File = namedtuple("File", [c.split()[0] for c in FILES.split(", ")])
+
+
 def schema_of(table: str) -> str:
-    return "fact" if table.startswith("fct_") else "dimension"
+    return "fact" if table.startswith("fct_") else "index" if table.startswith("idx_") else "dimension"
 
 
 def month_expr(table: str) -> Column:
@@ -61,49 +77,195 @@ def month_expr(table: str) -> Column:
     return F.date_format(c, "yyyyMM")  # DATE or TIMESTAMP_NTZ
 
 
+def day_expr(table: str) -> Column:
+    """The day that places a row in time, as YYYYMMDD text."""
+    if table not in MONTH_OF:
+        return F.lit(None).cast("string")
+    c = F.col(MONTH_OF[table])
+    return c if table in TEXT_DATE_KEYS else F.date_format(c, "yyyyMMdd")
+
+
+class Run:
+    """An open transaction: the version it began from, its view of the tables
+    and the folders it has written."""
+
+    def __init__(self, version: dict):
+        self.base, self.before = version["version"], version["tables"]
+        self.tables, self.folders = dict(self.before), []
+
+
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str | None = None):
+    def __init__(self, spark: SparkSession, root: str | None = None, small_file_bytes: int = SMALL_FILE_BYTES,
+                 kept_versions: int = KEPT_VERSIONS):
         self.spark = spark
         self.root = root or spark.conf.get("spark.starweave.warehouse", None) or os.path.join(
-            ensure_checkpoint_dir(spark), "warehouse")
+            spark.conf.get("spark.sql.warehouse.dir"), "starweave")
+        self.versions = Versions(spark, self.root)
+        self.small_file_bytes, self.kept_versions = small_file_bytes, kept_versions
+        self._run: Run | None = None
+        self._manifests: dict[str, list[File]] = {}
 
     def path(self, table: str) -> str:
         return os.path.join(self.root, schema_of(table), table)
 
+    # ------------------------------------------------------------- commit point
+
+    @contextmanager
+    def transaction(self):
+        """Publish all writes of the block together, or none."""
+        if self._run is not None:
+            yield self
+            return
+        run = self._run = Run(self.versions.load())
+        try:
+            yield self
+            if run.tables != run.before:
+                self.versions.publish(run.base, run.tables)
+        except BaseException:
+            for folder in run.folders:
+                remove_folder(self.spark, folder)
+            raise
+        finally:
+            self._run = None
+        self._expire()
+
+    def _tables(self) -> dict:
+        return self._run.tables if self._run is not None else self.versions.load()["tables"]
+
     def exists(self, table: str) -> bool:
-        """Table directory present (dynamic overwrites commit ``_SUCCESS`` in a
-        staging folder, so the marker is not used)."""
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path(table))
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-    def read(self, table: str, keep_month: bool = False) -> DataFrame:
-        df = self.spark.read.parquet(self.path(table))
-        return df if keep_month or MONTH not in df.columns else df.drop(MONTH)
-
-    def _laid_out(self, table: str, df: DataFrame) -> DataFrame:
-        cluster = CLUSTER_BY.get(table, [])
-        if table in MONTH_OF:
-            df = df.withColumn(MONTH, month_expr(table))
-            order = [MONTH, *cluster, KEY_OF[table]]
-            return df.repartitionByRange(*order).sortWithinPartitions(*order)
-        return df.sortWithinPartitions(*cluster) if cluster else df
+        return table in self._tables()
+
+    def _expire(self) -> None:
+        """Remove versions before the kept ones, and files that only these name."""
+        numbers = self.versions.numbers()
+        old, kept = numbers[:-self.kept_versions], numbers[-self.kept_versions:]
+        if not old:
+            return
+        live: dict[str, set] = {}
+        manifests = set()
+        for n in kept:
+            for table, entry in self.versions.load(n)["tables"].items():
+                manifests.add((table, entry["manifest"]))
+                live.setdefault(table, set()).update(f.file for f in self._files_of(table, entry))
+        gone = {(t, e["manifest"]): e for n in old for t, e in self.versions.load(n)["tables"].items()}
+        for (table, manifest), entry in gone.items():
+            if (table, manifest) in manifests:
+                continue
+            files, alive = self._files_of(table, entry), live.get(table, set())
+            writes = {f.split("/")[0] for f in alive}
+            for folder in {f.file.split("/")[0] for f in files} - writes:
+                remove_folder(self.spark, f"{self.path(table)}/data/{folder}")
+            for f in files:  # of writes that live on in part
+                if f.file not in alive and f.file.split("/")[0] in writes:
+                    remove_folder(self.spark, f"{self.path(table)}/data/{f.file}")
+            remove_folder(self.spark, f"{self.path(table)}/_manifests/{manifest}")
+        for n in old:
+            self.versions.forget(n)
+
+    def clean(self) -> None:
+        """Remove what runs that died have left. Only while no run is open."""
+        named: dict[str, set] = {}
+        for n in self.versions.numbers():
+            for table, entry in self.versions.load(n)["tables"].items():
+                keep = named.setdefault(self.path(table), set())
+                keep.add(entry["manifest"])
+                keep.update(f.file.split("/")[0] for f in self._files_of(table, entry))
+        for schema in self._names(self.root):
+            for table in self._names(f"{self.root}/{schema}") if not schema.startswith("_") else ():
+                folder = f"{self.root}/{schema}/{table}"
+                for part in ("data", "_manifests"):
+                    for name in self._names(f"{folder}/{part}"):
+                        if name not in named.get(folder, ()):
+                            remove_folder(self.spark, f"{folder}/{part}/{name}")
+
+    def _names(self, folder: str) -> list[str]:
+        system, path = shared_path(self.spark, folder)
+        return [str(s.getPath().getName()) for s in system.listStatus(path)] if system.exists(path) else []
+
+    # ------------------------------------------------------------------ reading
+
+    def _files_of(self, table: str, entry: dict) -> list[File]:
+        """The files of a table version: names and figures, no rows."""
+        key = entry["manifest"]
+        if key not in self._manifests:
+            found = self.spark.read.schema(FILES).parquet(f"{self.path(table)}/_manifests/{key}").collect()
+            self._manifests[key] = [File(*r) for r in found]
+        return self._manifests[key]
 
-    def _write(self, table: str, df: DataFrame) -> None:
-        w = self._laid_out(table, df).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    def files(self, table: str, since: _dt.date | None = None, until: _dt.date | None = None) -> list[File]:
+        """The files that hold rows of the days from ``since`` to ``until``."""
+        low = since.strftime("%Y%m%d") if since else ""
+        high = until.strftime("%Y%m%d") if until else "9"
+        files = self._files_of(table, self._tables()[table])
+        if since is None and until is None:
+            return files
+        return [f for f in files if f.last_day is not None and f.last_day >= low and f.first_day <= high]
+
+    def _scan(self, table: str, files: list[File]) -> DataFrame:
+        """Rows of the files, with their month and file name."""
+        entry = self._tables()[table]
+        schema = StructType.fromJson(entry["schema"])
         if table in MONTH_OF:
-            w = w.partitionBy(MONTH)
-        w.parquet(self.path(table))
+            schema = StructType(schema.fields).add(MONTH, StringType())
+        if not files:
+            return self.spark.createDataFrame([], StructType(schema.fields).add("_file", StringType()))
+        data = f"{self.path(table)}/data"
+        rows = self.spark.read.schema(schema).option("basePath", data).parquet(*[f"{data}/{f.file}" for f in files])
+        name = F.regexp_extract(F.col("_metadata.file_path"), r"(_write=[^/]+/.*)$", 1)
+        return rows.drop("_write").withColumn("_file", name)
+
+    def read(self, table: str, keep_month: bool = False, since: _dt.date | None = None,
+             until: _dt.date | None = None) -> DataFrame:
+        """The rows of a table, or those of the days from ``since`` to
+        ``until`` (both included; rows without a day are in neither)."""
+        rows = self._scan(table, self.files(table, since, until)).drop("_file")
+        day = day_expr(table)
+        if since is not None:
+            rows = rows.filter(day >= since.strftime("%Y%m%d"))
+        if until is not None:
+            rows = rows.filter(day <= until.strftime("%Y%m%d"))
+        return rows if keep_month or MONTH not in rows.columns else rows.drop(MONTH)
+
+    # ------------------------------------------------------------------ writing
+
+    def _stage(self, table: str, df: DataFrame, carried: list[File] = ()) -> None:
+        """Write rows as a new folder; with the carried files they are the table."""
+        with self.transaction():
+            write, schema = "w" + uuid.uuid4().hex, df.drop(MONTH).schema
+            folder, manifest = f"{self.path(table)}/data/_write={write}", f"{self.path(table)}/_manifests/{write}"
+            self._run.folders += [folder, manifest]
+            cluster = CLUSTER_BY.get(table, [])
+            if table in MONTH_OF:
+                order = [MONTH, *cluster, KEY_OF[table]]
+                df = df.withColumn(MONTH, month_expr(table)).repartitionByRange(*order)
+                df.sortWithinPartitions(*order).write.partitionBy(MONTH).parquet(folder)
+                schema_read = StructType(schema.fields).add(MONTH, StringType())
+            else:
+                (df.sortWithinPartitions(*cluster) if cluster else df).write.parquet(folder)
+                schema_read = schema
+            found = manifest_rows(self.spark.read.schema(schema_read).parquet(folder), write, day_expr(table)).collect()
+            files = [*carried, *[File(*r) for r in found]]
+            self.spark.createDataFrame(files, FILES).coalesce(1).write.parquet(manifest)
+            self._manifests[write] = files
+            self._run.tables[table] = {"manifest": write, "schema": schema.jsonValue()}
 
     def write_full(self, table: str, df: DataFrame) -> None:
-        """Full rebuild (K1); static overwrite of the whole table."""
-        self._write(table, df)
+        """Full rebuild (K1, idempotent: K6). The plan may read the table."""
+        self._stage(table, df)
+
+    replace = write_full
 
     def append(self, table: str, rows: DataFrame) -> None:
-        """Insert-only members: append files, nothing rewritten."""
-        rows = cut_lineage(rows)
-        if not rows.isEmpty():
-            self._laid_out(table, rows).write.mode("append").parquet(self.path(table))
+        """Insert-only members (K4): new files, the others stay; small files are
+        folded together when they get many."""
+        with self.transaction():
+            files = self.files(table)
+            small = [f for f in files if f.bytes < self.small_file_bytes]
+            if len(small) < 8:
+                return self._stage(table, rows, files)
+            names = {f.file for f in small}
+            both = self._scan(table, small).drop("_file", MONTH).unionByName(rows)
+            self._stage(table, both, [f for f in files if f.file not in names])
 
     def apply(self, table: str, change) -> DataFrame | None:
         """Write an incremental ``Change`` the cheapest correct way; returns the
@@ -113,54 +275,32 @@ class Warehouse:
         return self.merge_partitions(table, change.fresh, change.on, change.unique, change.scope, change.track,
                                      change.null_group)
 
-    def replace(self, table: str, df: DataFrame) -> None:
-        """Rewrite a table from a plan that reads it: checkpoint first."""
-        self.write_full(table, cut_lineage(df))
-
     def merge_partitions(self, table: str, fresh: DataFrame, on: str, check_unique: bool,
                          scope: DataFrame | None = None, track: tuple = (),
                          null_group: bool = False) -> DataFrame:
-        """Replace rows whose ``on`` value occurs in ``fresh``, in whatever month
-        they stand, and insert the rest, rewriting only the months involved.
-        Rows whose ``on`` value occurs only in ``scope`` go. With ``null_group``
-        rows with a null ``on`` value are replaced as one group. Returns the
-        ``track`` columns of the replaced and the new rows."""
-        fresh = cut_lineage(fresh.withColumn(MONTH, month_expr(table)))
-        month = F.col(MONTH).cast("string")  # read back, the folder name is a number
-        months = {r[0] for r in fresh.select(month).distinct().collect()}  # calendar months of one batch
-        if check_unique:
-            odd = fresh.groupBy(on).agg(F.count(F.lit(1)).alias("_n")).filter((F.col("_n") > 1) | F.col(on).isNull())
-            if not odd.isEmpty():
-                raise ValueError(f"{table}: merge batch keys on {on} must be unique and non-null")
-        keys = fresh.select(on) if scope is None else fresh.select(on).union(scope.select(on))
-        keys = keys.distinct()
-        cur = self.read(table, keep_month=True)
-        # a corrected timestamp moves a row: its old month is rewritten too
-        seen = cur.select(*dict.fromkeys([on, MONTH, *track]))
-        gone = cut_lineage(rows_with(seen, keys, on) if null_group else seen.join(keys, on, "left_semi"))
-        months |= {r[0] for r in gone.select(month).distinct().collect()}
-        changed = fresh.select(*track).union(gone.select(*track))
-        if not months:
-            return changed
-        in_months = month.isin([m for m in months if m is not None])
-        if None in months:
-            in_months = in_months | month.isNull()
-        cur = cur.filter(in_months)
-        kept = rows_without(cur, keys, on) if null_group else cur.join(keys, on, "left_anti")
-        parts = cut_lineage(kept.unionByName(fresh.select(*kept.columns)))
-        left = {r[0] for r in parts.select(month).distinct().collect()}
-        order = [MONTH, *CLUSTER_BY[table], KEY_OF[table]]
-        (parts.repartitionByRange(*order).sortWithinPartitions(*order)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(self.path(table)))
-        self._drop_months(table, months - left)
-        return changed
-
-    def _drop_months(self, table: str, months: set) -> None:
-        """Remove partitions whose rows have all moved to another month; a
-        dynamic overwrite leaves those untouched."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        for m in months:
-            name = "__HIVE_DEFAULT_PARTITION__" if m is None else m
-            part = jvm.org.apache.hadoop.fs.Path(f"{self.path(table)}/{MONTH}={name}")
-            part.getFileSystem(conf).delete(part, True)
+        """Replace rows whose ``on`` value occurs in ``fresh``, wherever they
+        stand, and insert the rest, rewriting only the files involved. Rows whose
+        ``on`` value occurs only in ``scope`` go. With ``null_group`` rows with a
+        null ``on`` value are replaced as one group. Returns the ``track``
+        columns of the replaced and the new rows."""
+        with self.transaction():
+            fresh = cut_lineage(fresh)
+            if check_unique:
+                odd = fresh.groupBy(on).agg(F.count(F.lit(1)).alias("_n")).filter((F.col("_n") > 1) | F.col(on).isNull())
+                if not odd.isEmpty():
+                    raise ValueError(f"{table}: merge batch keys on {on} must be unique and non-null")
+            keys = fresh.select(on) if scope is None else fresh.select(on).union(scope.select(on))
+            keys = keys.distinct()
+            files = self.files(table)
+            seen = self._scan(table, files).select(*dict.fromkeys([on, *track]), "_file")
+            gone = cut_lineage(rows_with(seen, keys, on) if null_group else seen.join(keys, on, "left_semi"))
+            hit = {r[0] for r in gone.select("_file").distinct().collect()}  # file names
+            if table in MONTH_OF:
+                months = {r[0] for r in fresh.select(month_expr(table)).distinct().collect()}
+                hit |= {f.file for f in files if f.bytes < self.small_file_bytes and f.month in months}
+            touched = [f for f in files if f.file in hit]
+            cur = self._scan(table, touched).drop("_file", MONTH)
+            kept = rows_without(cur, keys, on) if null_group else cur.join(keys, on, "left_anti")
+            self._stage(table, kept.select(*cur.columns).unionByName(fresh.select(*cur.columns)),
+                        [f for f in files if f.file not in hit])
+            return fresh.select(*track).union(gone.select(*track))

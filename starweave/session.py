@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -56,6 +58,35 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def shared_path(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path for it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    system, p = shared_path(spark, path)
+    system.delete(p, True)
+
+
+_open_scopes: list[list[str]] = []
+
+
+@contextmanager
+def released_cuts(spark: SparkSession):
+    """Removes, when left, the tables that ``cut_lineage`` has written inside.
+    For jobs that have written their results by then; frames that still read
+    such tables must not leave the block."""
+    made: list[str] = []
+    _open_scopes.append(made)
+    try:
+        yield
+    finally:
+        _open_scopes.remove(made)
+        for path in made:
+            remove_folder(spark, path)
+
+
 def cut_lineage(df):
     """Truncate lineage by writing the rows as a Parquet table in the shared
     checkpoint folder and reading them back.
@@ -64,9 +95,12 @@ def cut_lineage(df):
     Compared with ``Dataset.checkpoint`` (which computes the plan in one job
     and writes it in a second) this is a single write job, and the re-read
     plan carries file statistics, so the planner can broadcast a small result.
+    The table stays for as long as the frame may be read; ``released_cuts``
+    bounds that time.
     """
-    import uuid
     spark = df.sparkSession
     path = os.path.join(ensure_checkpoint_dir(spark), "cut", uuid.uuid4().hex)
+    if _open_scopes:
+        _open_scopes[-1].append(path)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -63,6 +63,17 @@ def late_arrivals(raw: RawSources, night: _dt.date | None) -> RawSources:
     return RawSources(lambda name: views[name](raw.table(name)) if name in views else raw.table(name))
 
 
+def bad_payments(raw: RawSources, night: _dt.date) -> RawSources:
+    """Sources as landed before ``night`` in which every payment updated the day
+    before has lost its amount."""
+    def payments(df):
+        fresh = F.col("updated_at") >= ntz_literal(night - _dt.timedelta(days=1))
+        return df.withColumn("gross_amount", F.when(~fresh, F.col("gross_amount")))
+
+    seen = late_arrivals(raw, night)
+    return RawSources(lambda name: payments(seen.table(name)) if name == "raw_payments" else seen.table(name))
+
+
 def hot_sessions(raw: RawSources) -> RawSources:
     """Sources in which one session, which has a session row, holds every third
     event, and every tenth of the other events has no session."""
