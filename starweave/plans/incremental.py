@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from ..functions import lookback
 from ..operators import first_per_group, lookup_join, scd2_apply, upsert
 from ..operators.scd2 import scd2_changes
-from ..operators.joins import materialized_keys, rows_with, rows_without
+from ..operators.joins import materialized_keys, rows_without
+from ..operators.spans import history_of, key_spans, widened
+from ..session import cut_lineage
 from ..sources.raw import RawSources
 from . import dims, facts
 
@@ -104,28 +106,46 @@ def step_dim_pro(prev: DataFrame, profiles: DataFrame, as_of, run_ts) -> DataFra
                       if c == "last_active_at" else F.col(c) for c in prev.columns])
 
 
-def step_fct_booking_events(raw_events: DataFrame, as_of, run_ts) -> Change:
+def step_idx_session_days(prev: DataFrame, raw_events: DataFrame, as_of) -> Change:
+    """Spans of sessions with events that happened or landed within the longest
+    lookback, widened by these events."""
+    recent = lookback("event_ts", as_of, BOOKING_LOOKBACK_DAYS) | lookback("_loaded_at", as_of, BOOKING_LOOKBACK_DAYS)
+    fresh = cut_lineage(key_spans(raw_events.filter(recent), "session_id", "event_ts"))
+    return Change(widened(prev, fresh, "session_id"), "session_id", null_group=True)
+
+
+def step_idx_payment_days(prev: DataFrame, raw_payments: DataFrame, as_of) -> Change:
+    """Spans, by update time, of SRs with payments updated in the window."""
+    fresh = cut_lineage(key_spans(raw_payments.filter(lookback("updated_at", as_of, DEFAULT_LOOKBACK_DAYS)), "sr_id", "updated_at"))
+    return Change(widened(prev, fresh, "sr_id"), "sr_id", null_group=True)
+
+
+def step_fct_booking_events(raw_events: DataFrame, as_of, run_ts, session_days: DataFrame | None = None) -> Change:
     """14-day lookback; sessions with a booking in the window are recomputed
-    from all their submissions and replace their old row (by session)."""
+    from all their submissions, read within the sessions' days, and replace their
+    old row (by session). Bookings without a session pass through as one group,
+    for the not-null check to find."""
     subs = facts.booking_submissions(raw_events)
     touched = materialized_keys(subs.filter(lookback("event_ts", as_of, BOOKING_LOOKBACK_DAYS))
                                 .select("session_id"))
-    whole = subs.join(touched, "session_id", "left_semi")
+    whole = history_of(subs, touched, "session_id", "event_ts", session_days)
     fresh = facts.booking_event_rows(first_per_group(whole, ["session_id"],
                                                      ["event_ts", "event_id"]), run_ts)
-    return Change(fresh, "session_id", track=("sr_id",))
+    return Change(fresh, "session_id", null_group=True, track=("sr_id",))
 
 
 def step_fct_session_events(raw_events: DataFrame, raw_sessions: DataFrame,
-                            dim_session: DataFrame, as_of, run_ts) -> Change:
+                            dim_session: DataFrame, as_of, run_ts,
+                            session_days: DataFrame | None = None) -> Change:
     """Sessions with events that happened or landed in the window, however late,
-    or whose session row changed, are recomputed whole against the unfiltered session dimension. Events without
+    or whose session row changed, are recomputed whole, their events read within
+    the sessions' days, against the unfiltered session dimension. Events without
     a session are numbered as one group and are recomputed as one."""
     recent = lookback("event_ts", as_of, 1) | lookback("_loaded_at", as_of, 1)
     by_event = raw_events.filter(recent).select("session_id")
     by_row = raw_sessions.filter(lookback("updated_at", as_of, 1)).select("session_id")
     touched = materialized_keys(by_event.union(by_row))
-    whole = rows_with(raw_events, touched, "session_id")
+    whole = history_of(raw_events, touched, "session_id", "event_ts", session_days)
     fresh = facts.fct_session_events(whole, dim_session, run_ts)
     return Change(fresh, "session_key", null_group=True)
 
@@ -165,10 +185,10 @@ def step_fct_booking_funnel(service_requests: DataFrame, models, booked: DataFra
 
 
 def step_fct_revenue(raw_payments: DataFrame, service_requests: DataFrame, models, as_of,
-                     run_ts) -> Change:
+                     run_ts, payment_days: DataFrame | None = None) -> Change:
     """Payments updated in the window, plus payments of SRs whose current
     version or current pro version changed (their sr_status / pro columns
-    move although the payment row did not)."""
+    move although the payment row did not), read within these SRs' days."""
     m = models
     changed_sr = (m["dim_service_request"].filter(F.col("is_current")
                                                   & lookback("valid_from", as_of, 1))
@@ -180,7 +200,7 @@ def step_fct_revenue(raw_payments: DataFrame, service_requests: DataFrame, model
     pro_srs = sr_keys.join(pros, ["sp_id", "category_key"], "left_semi").select("sr_id")
     srs = materialized_keys(changed_sr.union(pro_srs))
     pays = (raw_payments.filter(lookback("updated_at", as_of, 1))
-            .unionByName(raw_payments.join(srs, "sr_id", "left_semi"))
+            .unionByName(history_of(raw_payments, srs, "sr_id", "updated_at", payment_days).select(*raw_payments.columns))
             .dropDuplicates(["payment_id"]))  # a payment can be in both parts
     fresh = facts.fct_revenue(pays, service_requests, m["dim_category"], m["dim_geography"],
                               m["dim_service_request"], m["dim_pro"], run_ts)

@@ -7,6 +7,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.joins import assert_unique_keys
+from ..operators.spans import key_spans
 from ..session import released_cuts
 from ..sources.raw import RawSources
 from . import incremental as inc
@@ -30,6 +31,13 @@ LOOKUP_KEYS = {
 }
 
 
+# Span indexes: the source, its key and time, and the facts whose nights read by them.
+INDEXES = {
+    "idx_session_days": ("raw_events", "session_id", "event_ts", ["fct_booking_events", "fct_session_events"]),
+    "idx_payment_days": ("raw_payments", "sr_id", "updated_at", ["fct_revenue"]),
+}
+
+
 def audit(name: str, table: DataFrame, dim_date: DataFrame, touched: DataFrame | None = None) -> None:
     """What a staged table must pass before it is read or published: its lookup
     key occurs once among the current rows (G7), and its declared checks (DQ1 to
@@ -55,6 +63,17 @@ def build_full_to_warehouse(spark: SparkSession, raw: RawSources, wh: Warehouse,
             m._cache[name] = wh.read(name)
             if check:
                 audit(name, m[name], m["dim_date"])
+        for name in indexes_for(tables):
+            wh.write_full(name, index_of(name, raw))
+
+
+def indexes_for(tables) -> list[str]:
+    return [i for i, (_, _, _, facts) in INDEXES.items() if set(facts) & set(tables)]
+
+
+def index_of(name: str, raw: RawSources) -> DataFrame:
+    source, key, time, _ = INDEXES[name]
+    return key_spans(raw.table(source), key, time)
 
 
 def build_incremental(spark: SparkSession, raw: RawSources, wh: Warehouse, as_of: _dt.date,
@@ -87,10 +106,21 @@ def build_incremental(spark: SparkSession, raw: RawSources, wh: Warehouse, as_of
                 audit("dim_pro", now["dim_pro"], now["dim_date"])
         run("dim_service_request", lambda prev: inc.step_dim_service_request(
             prev, sr, now["dim_category"], now["dim_geography"], as_of, ts))
-        run("fct_booking_events", lambda prev: inc.step_fct_booking_events(raw.raw_events, as_of, ts))
+        steps = {"idx_session_days": lambda prev: inc.step_idx_session_days(prev, raw.raw_events, as_of),
+                 "idx_payment_days": lambda prev: inc.step_idx_payment_days(prev, raw.raw_payments, as_of)}
+        days = {}
+        for name in indexes_for(tables):
+            if wh.exists(name):
+                wh.apply(name, steps[name](wh.read(name)))
+            else:  # a warehouse from before the index
+                wh.write_full(name, index_of(name, raw))
+            days[name] = wh.read(name)
+        run("fct_booking_events", lambda prev: inc.step_fct_booking_events(
+            raw.raw_events, as_of, ts, days["idx_session_days"]))
         run("fct_session_events", lambda prev: inc.step_fct_session_events(
-            raw.raw_events, raw.raw_sessions, now["dim_session"], as_of, ts))
+            raw.raw_events, raw.raw_sessions, now["dim_session"], as_of, ts, days["idx_session_days"]))
         run("fct_booking_funnel", lambda prev: inc.step_fct_booking_funnel(
             sr, now, changed["fct_booking_events"], changed["dim_service_request"],
             changed["dim_session"], as_of, ts))
-        run("fct_revenue", lambda prev: inc.step_fct_revenue(raw.raw_payments, sr, now, as_of, ts))
+        run("fct_revenue", lambda prev: inc.step_fct_revenue(
+            raw.raw_payments, sr, now, as_of, ts, days["idx_payment_days"]))

@@ -51,11 +51,14 @@ MONTH_OF = {
     "fct_booking_funnel": "created_at_date_key", "fct_revenue": "payment_date_key",
     # dimensions that grow with activity: partitioned by an immutable time
     "dim_session": "started_at", "dim_service_request": "created_at",
+    # spans of keys, by their beginning
+    "idx_session_days": "first_ts", "idx_payment_days": "first_ts",
 }
 KEY_OF = {
     "fct_booking_events": "booking_event_key", "fct_session_events": "event_key",
     "fct_booking_funnel": "booking_key", "fct_revenue": "revenue_key",
     "dim_session": "session_key", "dim_service_request": "service_request_key",
+    "idx_session_days": "session_id", "idx_payment_days": "sr_id",
 }
 TEXT_DATE_KEYS = {"fct_booking_events", "fct_booking_funnel", "fct_revenue"}
 
