@@ -2,8 +2,9 @@
 that names one file manifest per table.
 
 Data files are never changed: a write goes to a folder of its own
-(``data/_write=<id>``), and a manifest, a Parquet table, lists the files that make
-up the table then, with their rows, bytes and first and last day. A version is
+(``data/_write=<id>``), and a manifest, JSON too, lists the files that make up the
+table then, with their rows, bytes and first and last day: what Spark's driver
+lists to plan a read anyway, a few hundred bytes per data file. A version is
 published by renaming a finished file to the next number, which fails if another
 run has taken that number; readers open the highest number. Until then a run's
 files are seen by that run alone, whatever becomes of it.
@@ -17,6 +18,7 @@ from __future__ import annotations
 import json
 import os
 import uuid
+from collections import namedtuple
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +26,23 @@ from pyspark.sql import functions as F
 
 from ..session import shared_path
 
-FILES = "file string, write string, month string, rows long, bytes long, first_day string, last_day string, undated long"
+File = namedtuple("File", "file write month rows bytes first_day last_day undated")
+
+
+def read_json(spark: SparkSession, path: str):
+    system, p = shared_path(spark, path)
+    stream = system.open(p)
+    try:
+        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def write_json(spark: SparkSession, path: str, content) -> None:
+    system, p = shared_path(spark, path)
+    out = system.create(p)
+    out.write(bytearray(json.dumps(content, sort_keys=True).encode()))
+    out.close()
 
 
 class LostRace(RuntimeError):
@@ -49,22 +67,15 @@ class Versions:
         number = number if number is not None else max(self.numbers(), default=0)
         if number == 0:
             return {"version": 0, "tables": {}}
-        system, path = shared_path(self.spark, f"{self.folder}/{number:08d}")
-        stream = system.open(path)
-        try:
-            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
+        return read_json(self.spark, f"{self.folder}/{number:08d}")
 
     def publish(self, base: int, tables: dict) -> int:
         """Make ``tables`` the version after ``base``."""
         jvm = self.spark.sparkContext._jvm
         number = base + 1
         draft = f"{self.folder}/.draft-{uuid.uuid4().hex}"
+        write_json(self.spark, draft, {"version": number, "tables": tables})
         system, path = shared_path(self.spark, draft)
-        out = system.create(path)
-        out.write(bytearray(json.dumps({"version": number, "tables": tables}, sort_keys=True).encode()))
-        out.close()
         _, final = shared_path(self.spark, f"{self.folder}/{number:08d}")
         files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
             system.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())

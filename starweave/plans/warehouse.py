@@ -23,7 +23,6 @@ from __future__ import annotations
 import datetime as _dt
 import os
 import uuid
-from collections import namedtuple
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,7 +31,7 @@ from pyspark.sql.types import StringType, StructType
 
 from ..operators.joins import rows_with, rows_without
 from ..session import cut_lineage, remove_folder, shared_path
-from .versions import FILES, Versions, manifest_rows
+from .versions import File, Versions, manifest_rows, read_json, write_json
 
 MONTH = "_month"
 
@@ -51,9 +50,9 @@ MONTH_OF = {
     "fct_booking_funnel": "created_at_date_key", "fct_revenue": "payment_date_key",
     # dimensions that grow with activity: partitioned by an immutable time
     "dim_session": "started_at", "dim_service_request": "created_at",
-    # spans of keys, by their beginning
-    "idx_session_days": "first_ts", "idx_payment_days": "first_ts",
 }
+# Tables without month folders that a time column orders: spans of keys, by their beginning.
+ORDERED_BY = {"idx_session_days": "first_ts", "idx_payment_days": "first_ts"}
 KEY_OF = {
     "fct_booking_events": "booking_event_key", "fct_session_events": "event_key",
     "fct_booking_funnel": "booking_key", "fct_revenue": "revenue_key",
@@ -66,9 +65,6 @@ TEXT_DATE_KEYS = {"fct_booking_events", "fct_booking_funnel", "fct_revenue"}
 SMALL_FILE_BYTES = 32 << 20
 KEPT_VERSIONS = 2
 
-File = namedtuple("File", [c.split()[0] for c in FILES.split(", ")])
-
-
 def schema_of(table: str) -> str:
     return "fact" if table.startswith("fct_") else "index" if table.startswith("idx_") else "dimension"
 
@@ -82,9 +78,9 @@ def month_expr(table: str) -> Column:
 
 def day_expr(table: str) -> Column:
     """The day that places a row in time, as YYYYMMDD text."""
-    if table not in MONTH_OF:
+    if table not in MONTH_OF and table not in ORDERED_BY:
         return F.lit(None).cast("string")
-    c = F.col(MONTH_OF[table])
+    c = F.col(MONTH_OF.get(table) or ORDERED_BY[table])
     return c if table in TEXT_DATE_KEYS else F.date_format(c, "yyyyMMdd")
 
 
@@ -191,8 +187,7 @@ class Warehouse:
         """The files of a table version: names and figures, no rows."""
         key = entry["manifest"]
         if key not in self._manifests:
-            found = self.spark.read.schema(FILES).parquet(f"{self.path(table)}/_manifests/{key}").collect()
-            self._manifests[key] = [File(*r) for r in found]
+            self._manifests[key] = [File(*f) for f in read_json(self.spark, f"{self.path(table)}/_manifests/{key}")]
         return self._manifests[key]
 
     def files(self, table: str, since: _dt.date | None = None, until: _dt.date | None = None) -> list[File]:
@@ -243,12 +238,16 @@ class Warehouse:
                 df = df.withColumn(MONTH, month_expr(table)).repartitionByRange(*order)
                 df.sortWithinPartitions(*order).write.partitionBy(MONTH).parquet(folder)
                 schema_read = StructType(schema.fields).add(MONTH, StringType())
+            elif table in ORDERED_BY:
+                order = [ORDERED_BY[table], KEY_OF[table]]
+                df.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(folder)
+                schema_read = schema
             else:
                 (df.sortWithinPartitions(*cluster) if cluster else df).write.parquet(folder)
                 schema_read = schema
             found = manifest_rows(self.spark.read.schema(schema_read).parquet(folder), write, day_expr(table)).collect()
             files = [*carried, *[File(*r) for r in found]]
-            self.spark.createDataFrame(files, FILES).coalesce(1).write.parquet(manifest)
+            write_json(self.spark, manifest, files)
             self._manifests[write] = files
             self._run.tables[table] = {"manifest": write, "schema": schema.jsonValue()}
 
@@ -298,9 +297,8 @@ class Warehouse:
             seen = self._scan(table, files).select(*dict.fromkeys([on, *track]), "_file")
             gone = cut_lineage(rows_with(seen, keys, on) if null_group else seen.join(keys, on, "left_semi"))
             hit = {r[0] for r in gone.select("_file").distinct().collect()}  # file names
-            if table in MONTH_OF:
-                months = {r[0] for r in fresh.select(month_expr(table)).distinct().collect()}
-                hit |= {f.file for f in files if f.bytes < self.small_file_bytes and f.month in months}
+            months = {r[0] for r in fresh.select(month_expr(table)).distinct().collect()} if table in MONTH_OF else {None}
+            hit |= {f.file for f in files if f.bytes < self.small_file_bytes and f.month in months}
             touched = [f for f in files if f.file in hit]
             cur = self._scan(table, touched).drop("_file", MONTH)
             kept = rows_without(cur, keys, on) if null_group else cur.join(keys, on, "left_anti")
