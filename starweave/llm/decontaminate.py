@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .rows import keyed_rows
-from .textscan import ALNUM_WORDS, U64, Words, keep_rows, map_texts, ranges, words
+from .textscan import ALNUM_WORDS, U64, Words, keep_rows, map_texts, ranges, same_words, spans, words
 
 WINDOW = 13
 PATTERN_BYTES = 16 << 20  # benchmark text that one scan of the documents looks for
@@ -41,14 +41,16 @@ LANE = 512
 
 @dataclass
 class Table:
-    """Search table for patterns of one length."""
+    """Search table for patterns of one length. A pattern is a place in the
+    items' words; equal windows of several items share one."""
 
     length: int
     block: int
     shift: np.ndarray      # by block hash: how far a scan may jump
     suffix: np.ndarray     # block hash of each pattern's end, sorted
-    patterns: np.ndarray   # (patterns, length) word hashes in that order
-    owners: list[np.ndarray]  # item indexes of each pattern
+    place: np.ndarray      # the patterns' first words, in that order
+    owners: np.ndarray     # item indexes of all patterns, one pattern after another
+    owned: np.ndarray      # where each pattern's owners begin, with the total at the end
 
 
 def _block_hash(hashes: np.ndarray, at: np.ndarray, block: int) -> np.ndarray:
@@ -59,30 +61,52 @@ def _block_hash(hashes: np.ndarray, at: np.ndarray, block: int) -> np.ndarray:
     return (h >> U64(64 - SHIFT_BITS)).astype(np.int64)
 
 
+def _same_windows(a: Words, i: np.ndarray, b: Words, j: np.ndarray, length: int) -> np.ndarray:
+    """Whether the windows from words i and j on are equal: by hash first, then
+    word by word, byte for byte."""
+    live = np.arange(len(i))
+    for k in range(length):
+        live = live[a.hash[i[live] + k] == b.hash[j[live] + k]]
+    for k in range(length):
+        live = live[same_words(a, i[live] + k, b, j[live] + k)]
+    out = np.zeros(len(i), bool)
+    out[live] = True
+    return out
+
+
 def tables(items: Words, window: int = WINDOW) -> list[Table]:
     """Search tables for all windows of the items, one for each length."""
-    by_length: dict[int, dict[bytes, set[int]]] = {}
-    for item, (first, last) in enumerate(zip(items.first[:-1].tolist(), items.first[1:].tolist(), strict=True)):
-        length = min(window, last - first)
-        for start in range(first, last - length + 1) if length else ():
-            by_length.setdefault(length, {}).setdefault(items.hash[start:start + length].tobytes(), set()).add(item)
+    first, count = items.first[:-1], items.counts
+    size = np.minimum(count, window)
     out = []
-    for length, found in sorted(by_length.items()):
-        patterns = np.frombuffer(b"".join(found), U64).reshape(-1, length)
-        owners = [np.array(sorted(v)) for v in found.values()]
+    for length in np.unique(size[size > 0]).tolist():
+        own = np.flatnonzero(size == length)
+        n = count[own] - length + 1
+        place, owner = ranges(first[own], n), np.repeat(own, n)
+        # windows of one hash are one pattern if their words agree
+        whole = spans(items.hash, place, place + length)
+        _, one, which = np.unique(whole, return_index=True, return_inverse=True)
+        odd = np.flatnonzero(~_same_windows(items, place, items, place[one][which], length))
+        which[odd] = len(one) + np.arange(len(odd))
+        order = np.lexsort((owner, which))
+        which, owner = which[order], owner[order]
+        distinct = np.concatenate(([True], (which[1:] != which[:-1]) | (owner[1:] != owner[:-1])))
+        which, owner = which[distinct], owner[distinct]
+        place = np.concatenate([place[one], place[odd]])
         block = min(2, length)
         shift = np.full(1 << SHIFT_BITS, length - block + 1, np.int64)
-        flat = patterns.reshape(-1)
         for end in range(block - 1, length):
-            at = np.arange(len(patterns)) * length + end
-            np.minimum.at(shift, _block_hash(flat, at, block), length - 1 - end)
-        suffix = _block_hash(flat, np.arange(len(patterns)) * length + length - 1, block)
+            np.minimum.at(shift, _block_hash(items.hash, place + end, block), length - 1 - end)
+        suffix = _block_hash(items.hash, place + length - 1, block)
         order = np.argsort(suffix, kind="stable")
-        out.append(Table(length, block, shift, suffix[order], patterns[order], [owners[i] for i in order]))
+        begin = np.searchsorted(which, np.arange(len(place) + 1))
+        held = np.diff(begin)[order]
+        out.append(Table(length, block, shift, suffix[order], place[order], owner[ranges(begin[:-1][order], held)],
+                         np.concatenate(([0], np.cumsum(held)))))
     return out
 
 
-def occurrences(found: Words, table: Table) -> tuple[np.ndarray, np.ndarray]:
+def occurrences(found: Words, items: Words, table: Table) -> tuple[np.ndarray, np.ndarray]:
     """(word position where an occurrence starts, pattern) of all occurrences."""
     first, counts = found.first[:-1], found.counts
     lanes = np.maximum(0, -(-(counts - table.length + 1) // LANE))
@@ -104,10 +128,8 @@ def occurrences(found: Words, table: Table) -> tuple[np.ndarray, np.ndarray]:
     suffix = _block_hash(found.hash, end, table.block)
     low, high = np.searchsorted(table.suffix, suffix, "left"), np.searchsorted(table.suffix, suffix, "right")
     start, pattern = np.repeat(end - table.length + 1, high - low), ranges(low, high - low)
-    for i in range(table.length):  # direct comparison
-        same = found.hash[start + i] == table.patterns[pattern, i]
-        start, pattern = start[same], pattern[same]
-    return start, pattern
+    same = _same_windows(found, start, items, table.place[pattern], table.length)  # direct comparison
+    return start[same], pattern[same]
 
 
 def _digest(items) -> str:
@@ -117,20 +139,21 @@ def _digest(items) -> str:
 def _searcher(items: pa.Table, window: int):
     """A function from a text column to its words, the covered ones among them,
     and the items that each text holds."""
-    names = items.column("item").to_pylist()
-    search = tables(words(items.column("text"), ALNUM_WORDS), window)
+    names, patterns = items.column("item").combine_chunks(), words(items.column("text"), ALNUM_WORDS)
+    search = tables(patterns, window)
 
     def find(column: pa.Array) -> tuple[Words, np.ndarray, dict[int, set[str]]]:
         found = words(column, ALNUM_WORDS)
         edges = np.zeros(found.first[-1] + 1, np.int64)
         held: dict[int, set[str]] = {}
         for table in search:
-            start, pattern = occurrences(found, table)
+            start, pattern = occurrences(found, patterns, table)
             np.add.at(edges, start, 1)
             np.add.at(edges, start + table.length, -1)
             seen = np.unique(np.stack([np.searchsorted(found.first, start, "right") - 1, pattern]), axis=1)
             for doc, p in seen.T.tolist():
-                held.setdefault(doc, set()).update(names[i] for i in table.owners[p].tolist())
+                own = table.owners[table.owned[p]:table.owned[p + 1]]
+                held.setdefault(doc, set()).update(names.take(pa.array(own)).to_pylist())
         return found, np.cumsum(edges[:-1]) > 0, held
 
     return find
@@ -221,10 +244,14 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
                    item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """The rows of ``docs``, as they are, that are not contaminated."""
     blocks = list(_pattern_blocks(_items(benchmark, item_col, item_text_col)))
-    if len(blocks) > 1:  # the verdict needs what all blocks have found
-        judged = contamination(docs, benchmark, id_col=id_col, text_col=text_col, item_col=item_col, item_text_col=item_text_col, window=window)
-        gone = judged.filter("contaminated").select(F.col("doc_id").alias("gone_id")).distinct()
-        return docs.join(gone, F.col(id_col).eqNullSafe(F.col("gone_id")), "left_anti")
+    if len(blocks) > 1:  # the verdict needs what all blocks have found; rows are told apart by a number of their own
+        row = "row"
+        while row in docs.columns:
+            row += "_"
+        rows = cut_lineage(docs.withColumn(row, F.monotonically_increasing_id()))
+        judged = contamination(rows, benchmark, id_col=row, text_col=text_col, item_col=item_col, item_text_col=item_text_col, window=window)
+        gone = judged.filter("contaminated").select(F.col("doc_id").alias(row))
+        return rows.join(gone, row, "left_anti").select(*docs.columns)
     find = _searcher(blocks[0](), window)
 
     def clean(texts: pa.Array) -> np.ndarray:

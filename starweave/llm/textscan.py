@@ -2,9 +2,10 @@
 
 Tasks read Arrow batches and look at whole texts in slices of a few megabytes,
 so a task's memory follows the slice (or its one longest text), not the
-partition. Hashes are polynomials modulo 2**64 over bytes (words) and over
-mixed word hashes (n-grams), so that any substring's hash is one difference of
-prefix sums.
+partition. Words are hashed by mixed lanes of eight bytes; hashes of n-grams are
+polynomials modulo 2**64 over these, so that any n-gram's hash is one difference
+of prefix sums. (Sequences that collide under such polynomials are a thousand
+words long; no n-gram or span hashed here comes near.)
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow.compute as pc
 U64 = np.uint64
 _BYTE_BASE = 0x9E3779B97F4A7C15 | 1
 _WORD_BASE = 0xD1342543DE82EF95 | 1
-_HASH_BLOCK = 1 << 19  # bytes hashed at a time
+_HASH_BLOCK = 1 << 19  # powers kept ahead
 
 # Word rules as tables over byte values (all bytes of multi-byte characters
 # are 0x80 and above, so byte rules equal the character rules).
@@ -32,6 +33,7 @@ ALNUM_WORDS[0x80:] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 _SAME = np.arange(256, dtype=np.uint8)
+_LANE = np.array([(1 << 8 * n) - 1 for n in range(9)], U64)  # the first n bytes of a lane
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -56,7 +58,7 @@ class _Powers:
         return self.up[:n], self.down[:n]
 
 
-_BYTES, _WORDS = _Powers(_BYTE_BASE), _Powers(_WORD_BASE)
+_WORDS = _Powers(_WORD_BASE)
 
 
 @dataclass
@@ -116,18 +118,31 @@ def words(column: pa.Array, rule: np.ndarray = SPACE_WORDS, lower: bool = True,
 
 
 def _word_hashes(data, start, end, table) -> np.ndarray:
-    out = np.empty(len(start), U64)
-    i = 0
-    while i < len(start):
-        j = max(i + 1, int(np.searchsorted(end, start[i] + _HASH_BLOCK)))
-        low, high = int(start[i]), int(end[j - 1])
-        up, down = _BYTES.to(high - low + 1)
-        sums = np.empty(high - low + 1, U64)
-        sums[0] = 0
-        np.cumsum((table[data[low:high]].astype(U64) + U64(1)) * up[:-1], out=sums[1:])
-        s, e = start[i:j] - low, end[i:j] - low
-        out[i:j] = mix((sums[e] - sums[s]) * down[s] ^ (e - s).astype(U64))
-        i = j
+    """Sum over the words' lanes of eight bytes, each mixed with its place. The
+    mixing is not linear, so words built to collide under polynomials don't."""
+    bytes_ = np.zeros(len(data) + 8, np.uint8)
+    bytes_[:len(data)] = table[data]
+    lane_at = np.ndarray((len(data) + 1,), "<u8", bytes_, strides=(1,))  # the eight bytes from each place on
+    size = end - start
+    out = mix((lane_at[start] & _LANE[np.minimum(size, 8)]) + U64(_BYTE_BASE))
+    long = np.flatnonzero(size > 8)
+    if len(long):
+        more = (size[long] + 7) // 8 - 1
+        word, lane = np.repeat(long, more), ranges(np.ones(len(long), np.int64), more)
+        value = lane_at[start[word] + 8 * lane] & _LANE[np.minimum(size[word] - 8 * lane, 8)]
+        out[long] += np.add.reduceat(mix(value + mix(lane.astype(U64) * U64(_BYTE_BASE))), np.cumsum(more) - more)
+    return mix(out ^ (size.astype(U64) * U64(_WORD_BASE)))
+
+
+def same_words(a: Words, i: np.ndarray, b: Words, j: np.ndarray, lower: bool = True) -> np.ndarray:
+    """Whether word i of one batch is word j of another, byte for byte."""
+    size = a.end[i] - a.start[i]
+    out = size == b.end[j] - b.start[j]
+    at = np.flatnonzero(out)
+    if len(at):
+        table = _LOWER if lower else _SAME
+        left, right = (table[w.data[ranges(w.start[k[at]], size[at])]] for w, k in ((a, i), (b, j)))
+        out[at] = np.logical_and.reduceat(left == right, np.cumsum(size[at]) - size[at])
     return out
 
 

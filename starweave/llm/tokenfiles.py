@@ -12,10 +12,10 @@ Checksums are CRC-32, rotated right by 15 bits and offset by a constant, so
 that a checksum of data that holds checksums stays sound. Ids are stored in two
 bytes where the vocabulary allows it.
 
-Texts are encoded by the tokenizers library. Its normaliser and pre-tokenizer
-never join what white space parts, nor a letter and a full stop, and ignore
-case, so each distinct piece of a task's texts is encoded once and the ids are
-gathered.
+Texts are encoded by the tokenizers library. Where its normaliser and
+pre-tokenizer never join what white space parts, nor a letter and a full stop, and
+ignore case, each distinct piece of a task's texts is encoded once and the ids are
+gathered; texts of other tokenizers are encoded whole.
 
 Defined cases: null and empty texts hold the end id alone; rows without id come
 first; rows that repeat an id keep a record each, ordered by text; an empty
@@ -82,9 +82,21 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
+        self.library.no_truncation()
+        self.library.no_padding()
         self.vocabulary = self.library.get_vocab_size(with_added_tokens=True)
+        self.by_pieces = self._parts_pieces(path)
         self._forget()
 
+    def _parts_pieces(self, path: str) -> bool:
+        """Whether the tokenizer drops white space, ignores case and parts a comma
+        or full stop from what it follows, as ``pieces`` assumes."""
+        from .tokencounts import Library
+        if not Library(path).wordwise:
+            return False
+        lower = self.library.normalizer is not None and self.library.normalizer.normalize_str("AZ") == "az"
+        return lower and all(len(self.library.pre_tokenizer.pre_tokenize_str(p)) == 2 for p in ("b,", "b.", "1,", "1."))
+
     def _forget(self):
         self.key, self.at, self.n = np.empty(0, U64), np.empty(0, np.int64), np.empty(0, np.int64)
         self.ids = np.empty(0, np.uint32)
@@ -99,6 +111,10 @@ class Encoder:
 
     def encode(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, each ended, and their counts."""
+        if not self.by_pieces:
+            texts = [t or "" for t in column.to_pylist()]
+            ids = [e.ids + [end_id] for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+            return np.array([i for e in ids for i in e], np.uint32), np.array([len(e) for e in ids], np.int64)
         found, key = pieces(column)
         key, first, which = np.unique(key, return_index=True, return_inverse=True)
         if len(self.key) > WORDS_HELD:
@@ -128,7 +144,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write the token files; returns (part, path, docs, ids), one row per file."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
+    # the beginnings of texts spread rows that share an id, or have none
+    rows = rows.repartitionByRange("id", F.substring("text", 1, 64)).sortWithinPartitions("id", "text")
 
     def write(batches):
         tidy()

@@ -358,3 +358,66 @@ def test_pipeline_stages_against_brute_force(spark, odd):
     rows = sorted(((r["doc_id"], r["text"]) for r in mixed.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
     got = stages["token_ids"](spark, mixed, sf).collect()
     assert sorted(map(tuple, got), key=lambda r: r[1]) == tokens_by_hand(rows)
+
+
+THUE = ["".join("ab"[bin(i).count("1") % 2 ^ flip] for i in range(1024)) for flip in (0, 1)]
+
+
+def test_words_that_polynomials_confuse_stay_apart(spark):
+    """Two Thue-Morse words, whose polynomial hashes modulo 2**64 agree, in all operators that hash words."""
+    a, b = THUE
+    assert len(set(words(pa.array([f"{a} {b}"])).hash.tolist())) == 2
+    docs = spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")
+    assert [r["component_id"] for r in neardup.near_duplicates(docs).orderBy("doc_id").collect()] == [1, 2]
+    hits = decontaminate.contamination(docs, spark.createDataFrame([(1, b)], "item_id long, text string"))
+    assert {r["doc_id"]: r["n_hit"] for r in hits.collect()} == {1: 0, 2: 1}
+    many = spark.createDataFrame([(1, " ".join([a] + [f"w{i}" for i in range(34)])), (2, " ".join([b] + [f"w{i}" for i in range(34)]))],
+                                 "doc_id long, text string")
+    assert {r["n_removed"] for r in substrings.remove_repeats(many).collect()} == {0}
+    got = tokenfiles.tokenised(docs, tokenfiles.default_tokenizer()).collect()
+    assert sorted(map(tuple, got), key=lambda r: r[1]) == tokens_by_hand([(1, a), (2, b)])
+
+
+def test_equal_hashes_are_compared_word_by_word(monkeypatch):
+    """With every word hashed alike only the comparison is left."""
+    from starweave.llm import textscan
+    monkeypatch.setattr(textscan, "_word_hashes", lambda data, start, end, table: np.ones(len(start), np.uint64))
+    items = words(pa.array(["one two three", "one two four", "one two three five"]), decontaminate.ALNUM_WORDS)
+    table = decontaminate.tables(items, 3)[0]
+    assert len(table.place) == 3 and table.owned[-1] == 4  # "one two three" is one pattern of two items
+    found = words(pa.array(["zero One TWO three", "one two five"]), decontaminate.ALNUM_WORDS)
+    start, pattern = decontaminate.occurrences(found, items, table)
+    assert start.tolist() == [1] and sorted(table.owners[table.owned[pattern[0]]:table.owned[pattern[0] + 1]].tolist()) == [0, 2]
+
+
+@pytest.mark.parametrize("size", [300, 16 << 20])
+def test_decontamination_does_not_depend_on_the_benchmark_blocks(spark, monkeypatch, size):
+    monkeypatch.setattr(decontaminate, "PATTERN_BYTES", size)
+    item, clean = " ".join(f"bench{i}" for i in range(14)), " ".join(f"clean{i}" for i in range(40))
+    rows = [(7, item), (7, clean), (None, item + " tail"), (None, clean), (9, ""), (10, None), (11, clean + " " + item)]
+    docs = spark.createDataFrame([(i, t, 1, 1, 1) for i, t in rows], "doc_id long, text string, gone_id int, row int, id int")
+    bench_ = spark.createDataFrame([(i, item if i == 3 else f"other{i} words here") for i in range(60)], "item_id long, text string")
+    got = decontaminate.decontaminated(docs, bench_)
+    assert got.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=repr) == sorted(
+        [(7, clean), (None, clean), (9, ""), (10, None)], key=repr)
+
+
+def test_other_tokenizers_are_encoded_whole(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = [(1, "Two  words, and. MORE"), (2, None), (3, " a\n\nb ")]
+    got = tokenfiles.tokenised(spark.createDataFrame(rows, "doc_id long, text string"), path).orderBy("doc_id").collect()
+    want = [Tokenizer.from_file(path).encode(t or "", add_special_tokens=False).ids + [tokenfiles.END_ID] for _, t in rows]
+    assert [(r["n_tokens"], r["ids_crc32"]) for r in got] == [(len(i), zlib.crc32(np.array(i, "<u4").tobytes())) for i in want]
+
+
+def test_rows_that_share_an_id_are_spread_over_files(spark):
+    docs = spark.range(2000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        files = tokenfiles.write_tokens(docs.repartition(4), tokenfiles.new_folder(spark, "spread"), tokenfiles.default_tokenizer())
+        assert files.count() == 8 and files.agg(F.max("docs")).first()[0] < 600
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
