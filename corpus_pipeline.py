@@ -15,7 +15,7 @@ Rows that repeat a doc_id are mixed as the single document they are.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starweave.llm import decontaminate, language, mixing, neardup, tokenfiles
@@ -35,12 +35,13 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def _one_row_of_each_group(docs: DataFrame) -> DataFrame:
-    rows = cut_lineage(docs.withColumn("near_row", F.monotonically_increasing_id()))
-    found = neardup.near_duplicates(rows, "near_row").select(F.col("doc_id").alias("near_row"), "component_id")
-    named = found.join(rows.select("near_row", "doc_id"), "near_row")
+    rows = docs.select(F.struct(*docs.columns).alias("doc")).withColumn("near_row", F.monotonically_increasing_id())
+    rows = cut_lineage(rows)  # each row keeps its number
+    found = neardup.near_duplicates(rows.select("near_row", "doc.text"), "near_row").select(F.col("doc_id").alias("near_row"), "component_id")
+    named = found.join(rows.select("near_row", "doc.doc_id"), "near_row")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "near_row"))
     stays = cut_lineage(named.groupBy("component_id").agg(first.alias("first")).select(F.col("first.near_row").alias("near_row")))
-    return rows.join(stays, "near_row", "left_semi").select(*docs.columns)
+    return rows.join(stays, "near_row", "left_semi").select("doc.*")
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,14 +49,30 @@ def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes its words, rounded to whole documents."""
-    times = F.floor((2 * F.sum("taken") + F.sum("size")) / F.greatest(2 * F.sum("size"), F.lit(1)))
-    mixed = mixing.mix(docs).groupBy(F.col("doc_id").alias("mixed_id")).agg(times.cast("int").alias("mixed_times"))
-    mixed = cut_lineage(mixed.filter("mixed_times > 0"))
+    """Each document as often as the mix takes its words, in whole documents.
+
+    The mix takes stretches of a source's words, so few documents per source are
+    taken in part. These are rounded along a line, by size: a document gets the
+    rounded running sum of the parts less the one before it. The errors of
+    neighbours on the line have opposite signs, so a source's words stay within
+    one (partly taken) document of what the mix takes. Sources of one size and
+    target share a line."""
+    mixed = mixing.mix(docs).groupBy("doc_id").agg(*[F.sum(c).alias(c) for c in ("size", "taken")],
+                                                   *[F.max(c).alias(c) for c in ("source_size", "target")])
+    mixed = cut_lineage(mixed.filter("taken > 0"))
+    part = F.col("taken") % F.col("size")
+    line = Window.partitionBy("source_size", "target").orderBy("size", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    share = part / F.col("size")
+    cut = mixed.filter(part > 0).withColumn("share", share).withColumn("upto", F.sum("share").over(line))
+    rounded = F.floor(F.col("upto") + 0.5) - F.floor(F.col("upto") - F.col("share") + 0.5)
+    cut = cut.select(F.col("doc_id").alias("cut_id"), rounded.alias("more"))
+    times = F.floor(F.col("taken") / F.col("size")) + F.coalesce("more", F.lit(0))
+    kept = cut_lineage(mixed.join(cut, F.col("doc_id").eqNullSafe(F.col("cut_id")), "left")
+                       .select("doc_id", times.cast("int").alias("times")).filter("times > 0"))
     # the same plan at every size: the kept ids grow with the corpus
-    taken = docs.join(mixed.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(mixed["mixed_id"]))
-    return taken.withColumn("mixed_turn", F.explode(F.sequence(F.lit(1), "mixed_times"))).select(
-        *[docs[c] for c in docs.columns])
+    whole = docs.select(F.struct(*docs.columns).alias("doc")).join(
+        kept.hint("shuffle_hash"), F.col("doc.doc_id").eqNullSafe(F.col("doc_id")))
+    return whole.withColumn("turn", F.explode(F.sequence(F.lit(1), "times"))).select("doc.*")
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
