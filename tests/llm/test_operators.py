@@ -333,6 +333,54 @@ def test_word_hashes_do_not_depend_on_the_slice():
     assert whole.hash.tolist() == sum(alone, []) and whole.counts.tolist() == [2, 0, 0, 4]
 
 
+def copies_by_hand(takes):
+    """How often each document stays: whole times, and the partly taken ones by
+    size, each when the running sum of the parts passes a half."""
+    out, lines = {r["doc_id"]: r["taken"] // r["size"] for r in takes}, defaultdict(list)
+    for r in takes:
+        if r["taken"] % r["size"]:
+            lines[r["source_size"], r["target"]].append((r["size"], r["doc_id"], r["taken"] % r["size"] / r["size"]))
+    for line in lines.values():
+        upto, given = 0.0, 0
+        for _, i, share in sorted(line):
+            upto += share
+            n = int(upto + 0.5) - given
+            given += n
+            out[i] += n
+    return {i: n for i, n in out.items() if n}
+
+
+def test_mixing_stage_meets_targets_within_a_document(spark):
+    """A source of few long documents, one of many short ones, and columns that clash."""
+    rows = [(i, "w " * 700, "a", 1, 1, 1) for i in range(9)] + [(100 + i, "w " * (1 + i % 9), "b", 1, 1, 1) for i in range(600)]
+    rows += [(1000, "w " * 20_000, "c", 1, 1, 1), (1001, None, "c", 1, 1, 1), (None, "no id", "a", 1, 1, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, mixed_times int, mixed_turn int, times int")
+    kept = corpus_pipeline.mixing_stage(spark, docs, "")
+    assert kept.columns == docs.columns
+    mixed = mixing.mix(docs).collect()
+    of = {r["doc_id"]: r for r in mixed}
+    words_, largest = Counter(), Counter()
+    for i, _, source, *_ in rows:
+        words_[source] += of[i]["taken"]
+        largest[source] = max(largest[source], of[i]["size"])
+    got = Counter()
+    for r in kept.collect():
+        got[r["source"]] += of[r["doc_id"]]["size"]
+    assert all(abs(got[s] - words_[s]) <= largest[s] for s in words_) and abs(got["b"] - words_["b"]) <= 9
+    assert corpus_pipeline.mixing_stage(spark, docs.limit(0), "").count() == 0
+
+
+def test_pipeline_stages_take_clashing_columns_and_empty_tables(spark, odd):
+    clash = odd.select("doc_id", "text", "lang", "source", "n_chars", *[F.lit(7).alias(c) for c in (
+        "near_row", "copy_of", "gone_id", "mixed_times", "mixed_turn", "times", "turn", "doc", "row", "id")])
+    for docs in (clash, clash.limit(0)):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            step = stage(spark, docs, SF)
+            assert step.columns == docs.columns, name
+            assert (step.count() > 0) == (docs is clash), name
+        assert (corpus_pipeline.token_stage(spark, docs, SF).count() > 0) == (docs is clash)
+
+
 def test_pipeline_stages_against_brute_force(spark, odd):
     docs = spark.read.parquet(f"{SF}/documents.parquet").unionByName(odd.select("doc_id", "text", "lang", "source", "n_chars").filter("doc_id is null or text is null"))
     sf, stages = SF, dict(corpus_pipeline.STAGES)
@@ -353,8 +401,9 @@ def test_pipeline_stages_against_brute_force(spark, odd):
     judged = decontaminate.contamination(near, spark.read.parquet(f"{sf}/benchmark.parquet"))
     assert ids(clean) == ids(judged.filter("not contaminated"))
     mixed = stages["mixing"](spark, clean, sf)
-    times = {r["doc_id"]: (2 * r["taken"] + r["size"]) // (2 * r["size"]) for r in mixing.mix(clean).collect() if r["size"]}
-    assert Counter(ids(mixed)) == Counter({i: n for i, n in times.items() if n}) and mixed.columns == docs.columns
+    assert mixed.columns == docs.columns
+    takes = [r.asDict() for r in mixing.mix(clean).collect() if r["taken"]]  # checked by its own SQL
+    assert Counter(ids(mixed)) == Counter(copies_by_hand(takes))
     rows = sorted(((r["doc_id"], r["text"]) for r in mixed.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
     got = stages["token_ids"](spark, mixed, sf).collect()
     assert sorted(map(tuple, got), key=lambda r: r[1]) == tokens_by_hand(rows)
