@@ -1,10 +1,10 @@
 """Lookup joins with a size check before any broadcast, and fan-out guards.
 
-A broadcast is only requested when the lookup side is proven small: either
-its row count is bounded by construction (the calendar) or a bounded probe
-(``limit(max_rows + 1).count()``) shows it. Otherwise the join is left to
-AQE, which converts a shuffled join to a broadcast only after measuring the
-materialised shuffle, and splits skewed partitions of the large side.
+A broadcast is only requested where the row count is bounded by construction (the
+calendar). Every other join is left to AQE, which converts a shuffled join to a
+broadcast only after measuring the materialised shuffle, and splits skewed
+partitions of the large side. ``sized_broadcast`` is there for callers who know a
+bound of their own.
 """
 
 from __future__ import annotations

@@ -2,9 +2,9 @@
 
 Parquet tables cannot be updated in place, so a merge is expressed as
 "target rows whose key is not in the batch" + "the batch": one anti join and
-a union. The batch is usually small; its key set is broadcast only when a
-bounded probe shows it fits, otherwise the anti join is a shuffled join that
-AQE can split if keys are skewed.
+a union. AQE measures the batch's keys and broadcasts them only if they are
+small; otherwise the anti join is a shuffled join that it splits where keys are
+skewed.
 """
 
 from __future__ import annotations
@@ -50,12 +50,17 @@ def upsert(target: DataFrame, updates: DataFrame, key, check: bool = True) -> Da
     return kept.unionByName(updates.select(*target.columns))
 
 
-def insert_new_members(target: DataFrame, incoming: DataFrame, key) -> DataFrame:
-    """Append incoming rows whose key is absent from target.
+def new_members(target: DataFrame, incoming: DataFrame, key) -> DataFrame:
+    """Incoming rows whose key is absent from target.
 
     ``left_anti`` rather than ``NOT IN``: a null among the target members must
     not hide new members, and the anti join needs no broadcast.
     """
     keys = _keys(key)
     new = incoming.join(target.select(*keys).distinct(), on=keys, how="left_anti")
-    return target.unionByName(new.select(*target.columns))
+    return new.select(*target.columns)
+
+
+def insert_new_members(target: DataFrame, incoming: DataFrame, key) -> DataFrame:
+    """Append incoming rows whose key is absent from target."""
+    return target.unionByName(new_members(target, incoming, key))

@@ -29,9 +29,18 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
+SLICE_BYTES, MAX_SLICES = 256 << 20, 1_000_000
 _MERGE = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
+def slices_for(df: DataFrame) -> int:
+    """``spark.sql.shuffle.partitions``, or more where the planner's estimate of
+    the rows' bytes would make slices above ``SLICE_BYTES``."""
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, min(MAX_SLICES, -(-estimate // SLICE_BYTES)))
+
+
 def sequence_within_group(df: DataFrame, key: str, order: Sequence[str], seq_col: str,
                           lag_col: str, totals: dict[str, tuple[str, Column]] | None = None,
                           lookup: DataFrame | None = None, slices: int | None = None) -> DataFrame:
@@ -41,10 +50,10 @@ def sequence_within_group(df: DataFrame, key: str, order: Sequence[str], seq_col
     the group), and the columns of ``lookup`` (unique on ``key``).
 
     ``order`` must make rows unique within a group (ties would be numbered
-    arbitrarily). ``slices`` defaults to ``spark.sql.shuffle.partitions``."""
+    arbitrarily). ``slices`` defaults to ``slices_for`` the rows."""
     totals = totals or {}
     lead = order[0]
-    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = slices or slices_for(df)
     # a key that is never null, so that joins on it are plain equalities
     group = F.when(F.col(key).isNull(), "n").otherwise(F.concat(F.lit("v"), F.col(key).cast("string")))
     cut = cut_lineage(df.repartitionByRange(slices, key, *order)

@@ -17,8 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import lookback
-from ..operators import first_per_group, lookup_join, scd2_apply, upsert
-from ..operators.scd2 import scd2_changes
+from ..operators import first_per_group, lookup_join, new_members, scd2_upserts, upsert
 from ..operators.joins import materialized_keys, rows_without
 from ..operators.spans import history_of, key_spans, widened
 from ..session import cut_lineage
@@ -41,6 +40,7 @@ class Change:
     null_group: bool = False   # rows with a null ``on`` value are one group, replaced whole like any other
     scope: DataFrame | None = None  # ``on`` values whose rows go even without a fresh one
     track: tuple = ()          # columns of replaced and new rows that later steps ask for
+    among_current: bool = False  # all replaced rows are current versions of a type-2 dimension
 
     def apply(self, prev: DataFrame) -> DataFrame:
         if self.insert_only:
@@ -61,14 +61,12 @@ class Change:
 def step_dim_category(prev: DataFrame, service_requests: DataFrame, run_ts) -> Change:
     """Insert-only: members absent from the dimension (anti join, not NOT IN)."""
     incoming = dims.dim_category_rows(dims.category_members(service_requests), run_ts)
-    new = incoming.join(prev.select("category").distinct(), "category", "left_anti")
-    return Change(new.select(*prev.columns), "category", insert_only=True)
+    return Change(new_members(prev, incoming, "category"), "category", insert_only=True)
 
 
 def step_dim_geography(prev: DataFrame, service_requests: DataFrame, run_ts) -> Change:
     incoming = dims.dim_geography_rows(dims.geography_members(service_requests), run_ts)
-    new = incoming.join(prev.select("geography").distinct(), "geography", "left_anti")
-    return Change(new.select(*prev.columns), "geography", insert_only=True)
+    return Change(new_members(prev, incoming, "geography"), "geography", insert_only=True)
 
 
 def step_dim_session(raw_sessions: DataFrame, as_of, run_ts) -> Change:
@@ -79,31 +77,37 @@ def step_dim_session(raw_sessions: DataFrame, as_of, run_ts) -> Change:
 
 def step_dim_service_request(prev: DataFrame, service_requests: DataFrame,
                              dim_category: DataFrame, dim_geography: DataFrame, as_of,
-                             run_ts) -> Change:
-    """Type 2 on status: the re-closed version sets of SRs that changed."""
+                             run_ts, current: DataFrame | None = None) -> Change:
+    """Type 2 on status: versions opened and closed, from the ``current`` ones of
+    the dimension (by default, filtered from it)."""
     batch = dims.service_request_rows(
         service_requests.filter(lookback("updated_at", as_of, 1)), dim_category, dim_geography,
         run_ts)
-    return Change(scd2_changes(prev, batch, nk=["sr_id"], tracked=["status"]), "sr_id", track=("sr_id",))
+    current = prev.filter("is_current") if current is None else current
+    fresh, forward = scd2_upserts(current, prev, batch, nk=["sr_id"], tracked=["status"])
+    return Change(fresh, "service_request_key", unique=True, track=("sr_id",), among_current=forward)
 
 
-def step_dim_pro(prev: DataFrame, profiles: DataFrame, as_of, run_ts) -> DataFrame:
+def step_dim_pro(prev: DataFrame, profiles: DataFrame, as_of, run_ts, current: DataFrame | None = None) -> Change:
     """New version per (sp_id, category) when its latest profile changed;
     first/last activity of touched pros recomputed over all their rows and
     written onto their current versions (type-1 attributes)."""
     touched = materialized_keys(profiles.filter(lookback("updated_at", as_of, 1)).select("sp_id"))
     history = profiles.join(touched, "sp_id", "left_semi")
     cand = dims.pro_rows(dims.pro_versions(history), run_ts)
-    out = scd2_apply(prev, cand, nk=["sp_id", "category_key"],
-                     tracked=["valid_from", "market", "is_active"])
+    current = prev.filter("is_current") if current is None else current
+    nk = ["sp_id", "category_key"]
+    versions, forward = scd2_upserts(current, prev, cand, nk, ["valid_from", "market", "is_active"],
+                                     also=current.join(touched, "sp_id", "left_semi"))
     activity = history.groupBy("sp_id").agg(F.min("updated_at").alias("_first"),
                                             F.max("updated_at").alias("_last"))
-    j = out.join(activity, "sp_id", "left")
-    fresh = F.col("is_current") & F.col("_first").isNotNull()
-    return j.select(*[F.when(fresh, F.col("_first")).otherwise(F.col(c)).alias(c)
-                      if c == "first_active_at" else
-                      F.when(fresh, F.col("_last")).otherwise(F.col(c)).alias(c)
-                      if c == "last_active_at" else F.col(c) for c in prev.columns])
+    j = versions.join(activity, "sp_id", "left")
+    renewed = F.col("is_current") & F.col("_first").isNotNull()
+    fresh = j.select(*[F.when(renewed, F.col("_first")).otherwise(F.col(c)).alias(c)
+                       if c == "first_active_at" else
+                       F.when(renewed, F.col("_last")).otherwise(F.col(c)).alias(c)
+                       if c == "last_active_at" else F.col(c) for c in prev.columns])
+    return Change(fresh, "pro_key", unique=True, track=tuple(nk), among_current=forward)
 
 
 def step_idx_session_days(prev: DataFrame, raw_events: DataFrame, as_of) -> Change:
@@ -285,7 +289,7 @@ def replay(spark, raw: RawSources, model: str, cutoff=None, run_ts=None) -> Data
         return step_dim_service_request(prev, raw.service_requests, now["dim_category"],
                                         now["dim_geography"], cutoff, ts).apply(prev)
     if model == "dim_pro":
-        return step_dim_pro(prev, raw.raw_pro_profiles, cutoff, ts)
+        return step_dim_pro(prev, raw.raw_pro_profiles, cutoff, ts).apply(prev)
     if model == "fct_booking_events":
         return step_fct_booking_events(raw.raw_events, cutoff, ts).apply(prev)
     if model == "fct_session_events":

@@ -98,14 +98,11 @@ def build_incremental(spark: SparkSession, raw: RawSources, wh: Warehouse, as_of
         run("dim_category", lambda prev: inc.step_dim_category(prev, sr, ts))
         run("dim_geography", lambda prev: inc.step_dim_geography(prev, sr, ts))
         run("dim_session", lambda prev: inc.step_dim_session(raw.raw_sessions, as_of, ts))
-        if "dim_pro" in tables:
-            # bounded by pros x categories x versions: rewritten whole
-            wh.replace("dim_pro", inc.step_dim_pro(wh.read("dim_pro"), raw.raw_pro_profiles, as_of, ts))
-            now._cache["dim_pro"] = wh.read("dim_pro")
-            if check:
-                audit("dim_pro", now["dim_pro"], now["dim_date"])
+        run("dim_pro", lambda prev: inc.step_dim_pro(
+            prev, raw.raw_pro_profiles, as_of, ts, wh.read("dim_pro", current=True)))
         run("dim_service_request", lambda prev: inc.step_dim_service_request(
-            prev, sr, now["dim_category"], now["dim_geography"], as_of, ts))
+            prev, sr, now["dim_category"], now["dim_geography"], as_of, ts,
+            wh.read("dim_service_request", current=True)))
         steps = {"idx_session_days": lambda prev: inc.step_idx_session_days(prev, raw.raw_events, as_of),
                  "idx_payment_days": lambda prev: inc.step_idx_payment_days(prev, raw.raw_payments, as_of)}
         days = {}

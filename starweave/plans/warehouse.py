@@ -48,9 +48,12 @@ CLUSTER_BY = {
 MONTH_OF = {
     "fct_booking_events": "event_date", "fct_session_events": "event_date_key",
     "fct_booking_funnel": "created_at_date_key", "fct_revenue": "payment_date_key",
-    # dimensions that grow with activity: partitioned by an immutable time
-    "dim_session": "started_at", "dim_service_request": "created_at",
+    # a dimension that grows with activity: partitioned by an immutable time
+    "dim_session": "started_at",
+    # type-2 dimensions: current versions in a part of their own, others by closing month
+    "dim_service_request": "valid_from", "dim_pro": "valid_from",
 }
+TYPE_2, CURRENT = {"dim_service_request", "dim_pro"}, "current"
 # Tables without month folders that a time column orders: spans of keys, by their
 # beginning, and landed sources.
 ORDERED_BY = {"idx_session_days": "first_ts", "idx_payment_days": "first_ts",
@@ -59,7 +62,7 @@ ORDERED_BY = {"idx_session_days": "first_ts", "idx_payment_days": "first_ts",
 KEY_OF = {
     "fct_booking_events": "booking_event_key", "fct_session_events": "event_key",
     "fct_booking_funnel": "booking_key", "fct_revenue": "revenue_key",
-    "dim_session": "session_key", "dim_service_request": "service_request_key",
+    "dim_session": "session_key", "dim_service_request": "service_request_key", "dim_pro": "pro_key",
     "idx_session_days": "session_id", "idx_payment_days": "sr_id",
     "raw_events": "event_id", "raw_sessions": "session_id", "service_requests": "sr_id",
     "raw_pro_profiles": "sp_id", "raw_payments": "payment_id",
@@ -76,6 +79,8 @@ def schema_of(table: str) -> str:
 
 
 def month_expr(table: str) -> Column:
+    if table in TYPE_2:
+        return F.when(F.col("is_current"), CURRENT).otherwise(F.date_format("valid_to", "yyyyMM"))
     c = F.col(MONTH_OF[table])
     if table in TEXT_DATE_KEYS:  # YYYYMMDD text
         return F.substring(c, 1, 6)
@@ -196,11 +201,15 @@ class Warehouse:
             self._manifests[key] = [File(*f) for f in read_json(self.spark, f"{self.path(table)}/_manifests/{key}")]
         return self._manifests[key]
 
-    def files(self, table: str, since: _dt.date | None = None, until: _dt.date | None = None) -> list[File]:
-        """The files that hold rows of the days from ``since`` to ``until``."""
+    def files(self, table: str, since: _dt.date | None = None, until: _dt.date | None = None,
+              current: bool = False) -> list[File]:
+        """The files that hold rows of the days from ``since`` to ``until``, or
+        current versions of a type-2 dimension."""
         low = since.strftime("%Y%m%d") if since else ""
         high = until.strftime("%Y%m%d") if until else "9"
         files = self._files_of(table, self._tables()[table])
+        if current:
+            files = [f for f in files if f.month == CURRENT]
         if since is None and until is None:
             return files
         return [f for f in files if f.last_day is not None and f.last_day >= low and f.first_day <= high]
@@ -219,10 +228,11 @@ class Warehouse:
         return rows.drop("_write").withColumn("_file", name)
 
     def read(self, table: str, keep_month: bool = False, since: _dt.date | None = None,
-             until: _dt.date | None = None) -> DataFrame:
+             until: _dt.date | None = None, current: bool = False) -> DataFrame:
         """The rows of a table, or those of the days from ``since`` to
-        ``until`` (both included; rows without a day are in neither)."""
-        rows = self._scan(table, self.files(table, since, until)).drop("_file")
+        ``until`` (both included; rows without a day are in neither), or the
+        current versions of a type-2 dimension."""
+        rows = self._scan(table, self.files(table, since, until, current)).drop("_file")
         day = day_expr(table)
         if since is not None:
             rows = rows.filter(day >= since.strftime("%Y%m%d"))
@@ -261,8 +271,6 @@ class Warehouse:
         """Full rebuild (K1, idempotent: K6). The plan may read the table."""
         self._stage(table, df)
 
-    replace = write_full
-
     def append(self, table: str, rows: DataFrame) -> None:
         """Insert-only members (K4): new files, the others stay; small files are
         folded together when they get many."""
@@ -281,15 +289,16 @@ class Warehouse:
         if change.insert_only:
             return self.append(table, change.fresh)
         return self.merge_partitions(table, change.fresh, change.on, change.unique, change.scope, change.track,
-                                     change.null_group)
+                                     change.null_group, change.among_current)
 
     def merge_partitions(self, table: str, fresh: DataFrame, on: str, check_unique: bool,
                          scope: DataFrame | None = None, track: tuple = (),
-                         null_group: bool = False) -> DataFrame:
+                         null_group: bool = False, among_current: bool = False) -> DataFrame:
         """Replace rows whose ``on`` value occurs in ``fresh``, wherever they
         stand, and insert the rest, rewriting only the files involved. Rows whose
         ``on`` value occurs only in ``scope`` go. With ``null_group`` rows with a
-        null ``on`` value are replaced as one group. Returns the ``track``
+        null ``on`` value are replaced as one group. With ``among_current`` only
+        current versions are asked for replaced rows. Returns the ``track``
         columns of the replaced and the new rows."""
         with self.transaction():
             fresh = cut_lineage(fresh)
@@ -300,7 +309,8 @@ class Warehouse:
             keys = fresh.select(on) if scope is None else fresh.select(on).union(scope.select(on))
             keys = keys.distinct()
             files = self.files(table)
-            seen = self._scan(table, files).select(*dict.fromkeys([on, *track]), "_file")
+            asked = [f for f in files if f.month == CURRENT] if among_current else files
+            seen = self._scan(table, asked).select(*dict.fromkeys([on, *track]), "_file")
             gone = cut_lineage(rows_with(seen, keys, on) if null_group else seen.join(keys, on, "left_semi"))
             hit = {r[0] for r in gone.select("_file").distinct().collect()}  # file names
             months = {r[0] for r in fresh.select(month_expr(table)).distinct().collect()} if table in MONTH_OF else {None}
