@@ -287,6 +287,35 @@ hot_sessions AS (
 ),""" + _dims(sessions="hot_sessions") + "," + _facts(ev="hot_events") + """
 SELECT * EXCLUDE (dw_updated_at) FROM fct_session_events"""
 
+# Events whose properties are null, cut off, or hold a number or JSON null; text that
+# is no JSON is told apart before any path is read.
+MIXED = """,
+mixed_text AS (
+  SELECT * REPLACE (CASE WHEN CAST(substr(event_id, 5) AS BIGINT) % 23 = 0 THEN NULL
+                         WHEN CAST(substr(event_id, 5) AS BIGINT) % 19 = 0 THEN properties[:-2]
+                         WHEN CAST(substr(event_id, 5) AS BIGINT) % 17 = 0 THEN '{"sr_id": ' || substr(event_id, 5) || '}'
+                         WHEN CAST(substr(event_id, 5) AS BIGINT) % 13 = 0 THEN '{"sr_id": null}'
+                         ELSE properties END AS properties)
+  FROM raw_events
+),
+mixed_events AS (
+  SELECT * REPLACE (CASE WHEN json_valid(properties) THEN properties END AS properties),
+         CASE WHEN NOT json_valid(properties) THEN properties END AS malformed
+  FROM mixed_text
+)"""
+PARSED_SQL = {
+    **{f"{m}_parsed": "WITH " + ADAPTER + MIXED + "," + _dims() + "," + _facts(ev="mixed_events")
+       + f"SELECT * EXCLUDE (dw_updated_at) FROM {m}" for m in ["fct_session_events", "fct_booking_events"]},
+    "parsed_properties": "WITH " + ADAPTER + MIXED + """
+SELECT event_id, json_extract_string(properties, '$.sr_id') AS properties_sr_id, malformed AS properties_malformed,
+       properties IS NOT NULL AS is_json FROM mixed_events""",
+    "properties_report": "WITH " + ADAPTER + MIXED + """
+SELECT event_type, count(*) AS n_events, count(*) FILTER (WHERE properties IS NULL AND malformed IS NULL) AS n_absent,
+       count(malformed) AS n_malformed, count(json_extract_string(properties, '$.sr_id')) AS n_sr_id,
+       round(count(malformed) / nullif(count(*) FILTER (WHERE properties IS NOT NULL OR malformed IS NOT NULL), 0), 9) AS malformed_share
+FROM mixed_events GROUP BY event_type""",
+}
+
 SOURCE_SQL = {name: q(f"SELECT * FROM {name}") for name in [
     "raw_events", "raw_sessions", "service_requests", "raw_pro_profiles", "raw_payments"]}
 

@@ -14,6 +14,7 @@ from functools import reduce
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import cut_lineage, ensure_checkpoint_dir
 from ..sources.testdata import testdata_sources
@@ -101,7 +102,6 @@ def _guardrails(spark, d):
 
 
 def _fan_out(spark, d):
-    from pyspark.sql import functions as F
     raw = testdata_sources(spark, d)
     m = Models(spark, raw, run_ts=FIXED_RUN_TS)
     cur_dsr = m["dim_service_request"].filter(F.col("is_current"))
@@ -164,7 +164,6 @@ def _deliveries(report: bool) -> Query:
     without an id, and events that come again as another type. The landed events,
     or the report of all five."""
     def run(spark, d):
-        from pyspark.sql import functions as F
         from ..sources import deliveries
         store, events = _new_warehouse(spark, "landed"), testdata_sources(spark, d).raw_events
         sent = deliveries.deliveries_of(events, "event_ts", DELIVERY_DAYS)
@@ -178,7 +177,6 @@ def _deliveries(report: bool) -> Query:
 def _rebuilt(spark, d):
     """Two full builds at two run times, fact by fact: rows, rows in which they
     differ, and whether every audit time is its run's (K6, F23)."""
-    from pyspark.sql import functions as F
     from .run import build_full_to_warehouse
     raw, wh = testdata_sources(spark, d), _new_warehouse(spark, "rebuilt")
     times, seen = [FIXED_RUN_TS, FIXED_RUN_TS + _dt.timedelta(days=1)], []
@@ -204,7 +202,6 @@ def _rebuilt(spark, d):
 def _metric_dimensions(spark, d):
     """Every column of every fact as a grouping dimension of its metrics: refused,
     or the number of its groups (G5, G6)."""
-    from pyspark.sql import functions as F
     m = models(spark, d)
     parts = []
     for family, (model, metric) in METRIC_OF.items():
@@ -263,6 +260,30 @@ def _hot_session_events(spark, d):
     return _audit_free(Models(spark, raw, run_ts=FIXED_RUN_TS)["fct_session_events"])
 
 
+def _parsed_sources(spark, d):
+    """Sources whose events, of mixed properties, have landed parsed."""
+    from ..sources.arrivals import mixed_properties
+    from ..sources.properties import parsed_events
+    from ..sources.raw import RawSources
+    raw = mixed_properties(testdata_sources(spark, d))
+    events = cut_lineage(parsed_events(raw.raw_events))
+    return RawSources(lambda name: events if name == "raw_events" else raw.table(name))
+
+
+def _parsed_properties(spark, d):
+    return _parsed_sources(spark, d).raw_events.select(
+        "event_id", "properties_sr_id", "properties_malformed", F.col("properties").isNotNull().alias("is_json"))
+
+
+def _properties_report(spark, d):
+    from ..sources.properties import properties_report
+    return properties_report(_parsed_sources(spark, d).raw_events)
+
+
+def _parsed_model(name: str) -> Query:
+    return lambda spark, d: _audit_free(Models(spark, _parsed_sources(spark, d), run_ts=FIXED_RUN_TS)[name])
+
+
 def _stream_session_events(spark, d):
     from ..streaming.events import run_to_completion
     m = models(spark, d)
@@ -320,6 +341,10 @@ def registry() -> dict[str, Query]:
     q["conversion_in_window"] = _windowed("fct_booking_funnel", metrics.booking_conversion_rate, *WINDOW, ["category_key"])
     q["revenue_in_window"] = _windowed("fct_revenue", metrics.revenue_metrics, *WINDOW, ["payment_method"])
     q["fct_session_events_hot"] = _hot_session_events
+    q["parsed_properties"] = _parsed_properties
+    q["properties_report"] = _properties_report
+    q["fct_session_events_parsed"] = _parsed_model("fct_session_events")
+    q["fct_booking_events_parsed"] = _parsed_model("fct_booking_events")
     q["stream_session_events"] = _stream_session_events
     q["nightly_funnel"] = _nightly("fct_booking_funnel", "EVENT_NIGHTS")
     q["nightly_sessions"] = _nightly("fct_session_events", "EVENT_NIGHTS")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import (date_key, flag, is_in_flag, json_text, notnull_flag, seconds_between,
+from ..functions import (date_key, flag, is_in_flag, field_text, notnull_flag, seconds_between,
                          surrogate_key, hash_key, ts_text)
 from ..operators import first_per_group, lookup_join, sequence_within_group
 from ..schemas import assert_columns
@@ -18,7 +18,7 @@ PAGE_FLAGS = {"home": "is_home_page", "search": "is_search_page",
 
 def booking_submissions(raw_events: DataFrame) -> DataFrame:
     """booking_submitted events carrying an sr_id (filter reaches the scan)."""
-    sr_id = json_text("properties", "sr_id")
+    sr_id = field_text(raw_events, "properties", "sr_id")
     return (raw_events.filter(F.col("event_type") == "booking_submitted")
             .select("event_id", "session_id", "event_ts", sr_id.alias("sr_id"))
             .filter(F.col("sr_id").isNotNull()))
@@ -47,7 +47,7 @@ def fct_booking_events(raw_events: DataFrame, run_ts) -> DataFrame:
 
 def session_event_source(raw_events: DataFrame) -> DataFrame:
     return raw_events.select("event_id", "session_id", "event_type", "event_ts",
-                             json_text("properties", "sr_id").alias("properties_sr_id"))
+                             field_text(raw_events, "properties", "sr_id").alias("properties_sr_id"))
 
 
 def session_totals() -> dict:
@@ -237,7 +237,7 @@ def session_funnel(raw_events: DataFrame, raw_sessions: DataFrame,
     sub = raw_events.filter(F.col("event_type") == "booking_submitted")
     be = sub.groupBy("session_id").agg(
         F.min("event_ts").alias("first_booking_ts"),
-        F.min(json_text("properties", "sr_id")).alias("sr_id"))
+        F.min(field_text(raw_events, "properties", "sr_id")).alias("sr_id"))
     sr = service_requests.select("sr_id", "status", "category", "geography", "sp_id")
     per_sp = raw_pro_profiles.groupBy("sp_id").agg(F.count(F.lit(1)).alias("_n_profiles"))
     j = (raw_sessions.select("session_id", "started_at")

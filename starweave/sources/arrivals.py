@@ -90,6 +90,19 @@ def hot_sessions(raw: RawSources) -> RawSources:
     return RawSources(lambda name: views.get(name, lambda df: df)(raw.table(name)))
 
 
+def mixed_properties(raw: RawSources) -> RawSources:
+    """Sources in which the properties of some events are null, cut off by one
+    character, or hold a number or JSON null as ``sr_id``."""
+    def events(df):
+        n, text = _number("event_id"), F.col("properties")
+        return df.withColumn("properties", F.when(n % 23 == 0, F.lit(None).cast("string"))
+                             .when(n % 19 == 0, F.expr("left(properties, length(properties) - 1)"))
+                             .when(n % 17 == 0, F.concat(F.lit('{"sr_id": '), n.cast("string"), F.lit("}")))
+                             .when(n % 13 == 0, F.lit('{"sr_id": null}')).otherwise(text))
+
+    return RawSources(lambda name: events(raw.table(name)) if name == "raw_events" else raw.table(name))
+
+
 def without_category(raw: RawSources, category: str) -> RawSources:
     """Sources before the first service request of ``category``."""
     requests = {"service_requests": lambda df: df.filter(~F.col("category").eqNullSafe(category))}

@@ -14,13 +14,18 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import RAW_SCHEMAS
+from .properties import PARSED_EVENTS, SR_ID, parsed_events
 
 SOURCE_NAMES = tuple(RAW_SCHEMAS)
 
 
 def read_raw(spark: SparkSession, landing_dir: str, name: str) -> DataFrame:
-    """One raw table stored as Parquet at ``<landing_dir>/<name>``."""
-    return spark.read.schema(RAW_SCHEMAS[name]).parquet(os.path.join(landing_dir, name))
+    """One raw table stored as Parquet at ``<landing_dir>/<name>``; events in the
+    form they were landed in (``land``)."""
+    path, schema = os.path.join(landing_dir, name), RAW_SCHEMAS[name]
+    if name == "raw_events" and SR_ID in spark.read.parquet(path).columns:
+        schema = PARSED_EVENTS
+    return spark.read.schema(schema).parquet(path)
 
 
 @dataclass
@@ -53,11 +58,15 @@ LANDING_ORDER = {"raw_events": "event_ts", "raw_sessions": "updated_at",
                  "raw_payments": "updated_at"}
 
 
-def land(raw: RawSources, landing_dir: str, files_per_table: int | None = None) -> None:
+def land(raw: RawSources, landing_dir: str, files_per_table: int | None = None,
+         parse_properties: bool = False) -> None:
     """Write raw sources as Parquet with the declared schema (an ingestion
-    step): range-partitioned on the table's update time."""
+    step): range-partitioned on the table's update time. With
+    ``parse_properties`` events land with their JSON parsed (``PARSED_EVENTS``)."""
     for name, schema in RAW_SCHEMAS.items():
         df = raw.table(name).select(*[f.name for f in schema.fields])
+        if parse_properties and name == "raw_events":
+            df = parsed_events(df)
         order = LANDING_ORDER[name]
         df = (df.repartitionByRange(files_per_table, order) if files_per_table
               else df.repartitionByRange(order))
