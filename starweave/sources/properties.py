@@ -11,7 +11,9 @@ repeat, single quotes) is malformed: its Variant and its ``properties_sr_id`` ar
 null, and it is counted, never dropped. Null properties are null in all three
 columns. A missing key, JSON null, and JSON that is no object have no ``sr_id``;
 numbers and nested values are given as their JSON text. Extra columns of the events
-are ignored; an empty table lands as an empty table.
+are ignored; an empty table lands as an empty table. Full builds and nightly runs
+take events in this form or as text; deliveries and the stream compare whole rows,
+which a Variant does not allow, and take text.
 """
 
 from __future__ import annotations

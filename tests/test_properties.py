@@ -1,14 +1,19 @@
 """Events that land with their JSON parsed: equal facts, malformed text kept and counted."""
 
+import datetime as dt
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from starweave.plans.build import Models
+from starweave.plans.run import build_full_to_warehouse, build_incremental
+from starweave.plans.warehouse import Warehouse
+from starweave.sources import testdata_sources
+from starweave.sources.arrivals import late_arrivals, mixed_properties
 from starweave.sources.properties import PARSED_EVENTS, parsed_events, properties_report
 from starweave.sources.raw import RawSources, land
-from tests.conftest import RUN_TS, raw_frames, ts
+from tests.conftest import RUN_TS, SF_SMALL, raw_frames, ts
 
 # text -> (sr_id, is JSON); null is neither JSON nor malformed
 CASES = [('{"sr_id": "a"}', "a", True), ('{"sr_id": "a"', None, False), ('{"sr_id": 7}', "7", True),
@@ -81,3 +86,19 @@ def test_other_paths_stay_open(spark, landed):
     assert [r.v for r in got.collect()] == [1]
     whole = landed[True].raw_events.filter("event_id = 'e0'").select(F.to_json("properties").alias("t")).first().t
     assert json.loads(whole) == {"sr_id": "a"}
+
+
+def test_nights_over_parsed_events_end_as_the_full_build(spark, tmp_path):
+    """Mixed and malformed properties, a fifth of the events late."""
+    raw, night = mixed_properties(testdata_sources(spark, SF_SMALL)), dt.date(2024, 1, 16)
+    land(raw, str(tmp_path / "landed"), 4, parse_properties=True)
+    parsed = RawSources.from_landing(spark, str(tmp_path / "landed"))
+    wh, facts = Warehouse(spark, str(tmp_path / "w")), ["fct_booking_events", "fct_session_events"]
+    build_full_to_warehouse(spark, late_arrivals(parsed, night), wh, RUN_TS, ["dim_session", *facts])
+    before = wh.read(facts[1]).count()
+    build_incremental(spark, late_arrivals(parsed, None), wh, night, RUN_TS, ["dim_session", *facts])
+    for fact in facts:
+        full = Models(spark, late_arrivals(raw, None), RUN_TS)[fact].drop("dw_updated_at")
+        got = wh.read(fact).select(*full.columns)
+        assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
+    assert wh.read(facts[1]).count() > before > 0
