@@ -24,9 +24,3 @@ def located(uri: str) -> tuple[fs.FileSystem, str]:
     if "://" not in uri and uri.startswith("file:"):
         uri = uri.removeprefix("file:")
     return fs.FileSystem.from_uri(uri)
-
-
-def publish(system: fs.FileSystem, draft: str, final: str) -> None:
-    """Give a finished file its name. Attempts of one task write equal bytes
-    under names of their own, so whichever comes last changes nothing."""
-    system.move(draft, final)

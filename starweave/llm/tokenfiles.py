@@ -2,10 +2,10 @@
 
 Documents are sorted by id across files; a task encodes its range and writes
 
-* ``part-N.tok``: an 8-byte head (``SWTOK1``, id width in bytes, 0), then one
+* ``part-N-A.tok``: an 8-byte head (``SWTOK1``, id width in bytes, 0), then one
   record per document: payload length (u64), its masked checksum (u32), the ids
   in little-endian order, their masked checksum (u32);
-* ``part-N.idx``: per record the document id, whether it is null, the record's
+* ``part-N-A.idx``: per record the document id, whether it is null, the record's
   offset and its number of ids, so that readers can take records in any order.
 
 Checksums are CRC-32, rotated right by 15 bits and offset by a constant, so
@@ -14,8 +14,11 @@ bytes where the vocabulary allows it.
 
 Texts are encoded by the tokenizers library. Where its normaliser and
 pre-tokenizer never join what white space parts, nor a letter and a full stop, and
-ignore case, each distinct piece of a task's texts is encoded once and the ids are
-gathered; texts of other tokenizers are encoded whole.
+ignore case, each distinct piece of a task's texts, told by its bytes, is encoded once
+and the ids are gathered; texts of other tokenizers are encoded whole.
+
+A file's name holds the attempt that wrote it, and only files named in the rows
+that the finished tasks return are read: what lost or repeated attempts leave is not.
 
 Defined cases: null and empty texts hold the end id alone; rows without id come
 first; rows that repeat an id keep a record each, ordered by text; an empty
@@ -34,8 +37,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .files import located, new_folder, publish
-from .textscan import ALNUM_WORDS, SPACE_WORDS, U64, Words, mix, ranges, slices, tidy, words
+from .files import located, new_folder
+from .textscan import ALNUM_WORDS, ranges, slices, tidy
+from .wordarrays import word_array
 
 HEAD = b"SWTOK1"
 INDEX = np.dtype([("id", "<i8"), ("null", "u1"), ("offset", "<u8"), ("n", "<u4")])
@@ -52,27 +56,27 @@ def masked(data: bytes) -> int:
     return (((crc >> 15) | (crc << 17)) + MASK_DELTA) & 0xFFFFFFFF
 
 
-def _split(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Cut the last comma or full stop off words where it follows an ASCII letter
-    or digit: the tokenizer parts them there as well."""
+def pieces(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The pieces of all texts in a row, and the index of each text's first with
+    the total at the end. A piece is a word; the last comma or full stop of one
+    is a piece of its own where it follows an ASCII letter or digit, as the
+    tokenizer parts them there as well. It lowers all text but its own special
+    tokens, so A-Z are lowered here in pieces without ``<``."""
+    found, first = word_array(column)
+    at = np.frombuffer(found.buffers()[1], np.int64)
+    data = np.frombuffer(found.buffers()[2], np.uint8)
+    if not len(data):
+        return found, first
+    end = at[1:]
     last = data[end - 1]
-    cut = ((last == 0x2C) | (last == 0x2E)) & (end - start > 1) & _LETTERS[data[end - 2]]
-    at = np.flatnonzero(cut)
-    return np.insert(start, at + 1, end[at] - 1), np.insert(end, at, end[at] - 1)
-
-
-def pieces(column: pa.Array) -> tuple[Words, np.ndarray]:
-    """The pieces of all texts and a key for each. The tokenizer lowers all text
-    but its own special tokens, so keys ignore the case of A-Z in pieces
-    without ``<``."""
-    found = words(column, SPACE_WORDS, split=_split)
-    key = found.hash
-    angle = np.concatenate(([0], np.cumsum(found.data == 0x3C)))
-    exact = np.flatnonzero(angle[found.end] > angle[found.start])
-    if len(exact):
-        key = key.copy()
-        key[exact] = mix(words(column, SPACE_WORDS, lower=False, split=_split).hash[exact])
-    return found, key
+    cut = ((last == 0x2C) | (last == 0x2E)) & (np.diff(at) > 1) & _LETTERS[data[end - 2]]
+    parted = np.sort(np.concatenate((at, end[cut] - 1)))
+    lowered = data + 0x20 * ((data >= 0x41) & (data <= 0x5A)).astype(np.uint8)
+    angled = np.unique(np.searchsorted(parted, np.flatnonzero(data == 0x3C), "right") - 1)
+    own = ranges(parted[angled], parted[angled + 1] - parted[angled])
+    lowered[own] = data[own]
+    out = pa.Array.from_buffers(pa.large_binary(), len(parted) - 1, [None, pa.py_buffer(parted), pa.py_buffer(lowered)])
+    return out, np.searchsorted(parted[:-1], at[first])
 
 
 class Encoder:
@@ -98,15 +102,16 @@ class Encoder:
         return lower and all(len(self.library.pre_tokenizer.pre_tokenize_str(p)) == 2 for p in ("b,", "b.", "1,", "1."))
 
     def _forget(self):
-        self.key, self.at, self.n = np.empty(0, U64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.held: dict[bytes, int] = {}
+        self.at, self.n = np.empty(0, np.int64), np.empty(0, np.int64)
         self.ids = np.empty(0, np.uint32)
 
-    def _learn(self, key: np.ndarray, texts: list[str]) -> None:
-        encoded = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+    def _learn(self, new: list[bytes]) -> None:
+        encoded = [e.ids for e in self.library.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)]
         n = np.array([len(e) for e in encoded], np.int64)
-        at = len(self.ids) + np.cumsum(n) - n
-        place = np.searchsorted(self.key, key)
-        self.key, self.at, self.n = (np.insert(a, place, b) for a, b in ((self.key, key), (self.at, at), (self.n, n)))
+        self.held.update(zip(new, range(len(self.held), len(self.held) + len(new)), strict=True))
+        self.at = np.concatenate([self.at, len(self.ids) + np.cumsum(n) - n])
+        self.n = np.concatenate([self.n, n])
         self.ids = np.concatenate([self.ids, np.array([i for e in encoded for i in e], np.uint32)])
 
     def encode(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -115,18 +120,18 @@ class Encoder:
             texts = [t or "" for t in column.to_pylist()]
             ids = [e.ids + [end_id] for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
             return np.array([i for e in ids for i in e], np.uint32), np.array([len(e) for e in ids], np.int64)
-        found, key = pieces(column)
-        key, first, which = np.unique(key, return_index=True, return_inverse=True)
-        if len(self.key) > WORDS_HELD:
+        found, first = pieces(column)
+        distinct = found.dictionary_encode()
+        if len(self.held) > WORDS_HELD:
             self._forget()
-        new = ~np.isin(key, self.key, assume_unique=True)
-        if new.any():
-            data = found.data.tobytes()
-            self._learn(key[new], [data[found.start[i]:found.end[i]].decode() for i in first[new].tolist()])
-        place = np.searchsorted(self.key, key)
-        n = self.n[place][which]
-        ids = self.ids[ranges(self.at[place][which], n)]
-        ends = np.concatenate(([0], np.cumsum(n)))[found.first]
+        own = distinct.dictionary.to_pylist()
+        new = [p for p in own if p not in self.held]
+        if new:
+            self._learn(new)
+        place = np.array([self.held[p] for p in own], np.int64)[distinct.indices.to_numpy()]
+        n = self.n[place]
+        ids = self.ids[ranges(self.at[place], n)]
+        ends = np.concatenate(([0], np.cumsum(n)))[first]
         return np.insert(ids, ends[1:], end_id), np.diff(ends) + 1
 
 
@@ -155,13 +160,13 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
         system, root = located(folder)
         part = TaskContext.get().partitionId()
         attempt = TaskContext.get().taskAttemptId()
-        draft, name = f"{root}/.draft-{part}-{attempt}", f"{root}/part-{part:06d}"
+        name = f"part-{part:06d}-{attempt}"
         out = index = None
         total = count = 0
         for batch in batches:
             for piece in slices(batch, "text", 1 << 20, 4096):
                 if out is None:
-                    out, index = system.open_output_stream(f"{draft}.tok"), system.open_output_stream(f"{draft}.idx")
+                    out, index = [system.open_output_stream(f"{root}/{name}.{end}") for end in ("tok", "idx")]
                     out.write(HEAD + bytes([width, 0]))
                     offset = len(HEAD) + 2
                 ids, n = encoder.encode(piece.column("text"), end_id)
@@ -184,9 +189,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
         if out is not None:
             out.close()
             index.close()
-            for end_ in ("tok", "idx"):
-                publish(system, f"{draft}.{end_}", f"{name}.{end_}")
-            yield pa.RecordBatch.from_pydict({"part": [part], "path": [f"{folder}/part-{part:06d}"], "docs": [count], "ids": [total]})
+            yield pa.RecordBatch.from_pydict({"part": [part], "path": [f"{folder}/{name}"], "docs": [count], "ids": [total]})
 
     return cut_lineage(rows.mapInArrow(write, "part long, path string, docs long, ids long"))
 

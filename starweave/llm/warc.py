@@ -2,7 +2,9 @@
 
 Writing: pages of equal payload (SHA-256 and length) of at least 1000 bytes are
 stored once, as the response with the largest page id; the others become
-revisit records. Each task writes one archive of uncompressed records.
+revisit records. Each task writes one archive of uncompressed records, named
+after its attempt; only archives in the rows of finished tasks are read, so what
+lost or repeated attempts leave is not.
 
 Reading: archives are cut into byte ranges. A task looks for record magic in
 its range; every place whose head can be parsed is a candidate, and its length
@@ -32,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .files import located, new_folder, publish
+from .files import located, new_folder
 
 MAGIC = b"WARC/1.1\r\n"
 REVISIT_BYTES = 1000
@@ -79,17 +81,16 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     def write(batches):
         system, root = located(folder)
         part, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
-        draft, name, out, size = f"{root}/.draft-{part}-{attempt}", f"part-{part:06d}.warc", None, 0
+        name, out, size = f"part-{part:06d}-{attempt}.warc", None, 0
         for batch in batches:
             for row in zip(*[batch.column(c) for c in ("page", "url", "html", "digest", "refers_to")], strict=True):
                 if out is None:
-                    out = system.open_output_stream(draft)
+                    out = system.open_output_stream(f"{root}/{name}")
                 data = record(*[v.as_py() for v in row])
                 out.write(data)
                 size += len(data)
         if out is not None:
             out.close()
-            publish(system, draft, f"{root}/{name}")
             yield pa.RecordBatch.from_pydict({"path": [f"{folder}/{name}"], "size": [size]})
 
     return cut_lineage(rows.mapInArrow(write, "path string, size long"))
