@@ -3,8 +3,11 @@
 Texts are lower-cased (A-Z), cut into words, and compared as sets of distinct
 word shingles; two documents are linked when ``100 * common >= 75 * union``.
 
-1. One pass writes a SuperMinHash signature per document. Documents with equal
-   sets are linked at once: only the smallest id of each such class goes on.
+1. One pass writes a SuperMinHash signature per document, and the size and two
+   fingerprints of its whole set. Documents that agree in these have equal sets
+   and are linked at once: only the smallest id of each such class goes on.
+   Sets are compared by hashes with a key drawn for the run, so texts that
+   collide cannot be made beforehand.
 2. Signatures are cut into bands; every bucket offers its members a link to
    one centre (a star, never all pairs). A link counts after both full shingle
    sets were compared. Hot centres are salted by their number of links.
@@ -31,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .components import components
-from .textscan import U64, Words, map_texts, mix, ngrams, signed, slices, spans, words
+from .textscan import U64, Words, map_texts, mix, ngrams, run_key, signed, slices, spans, words
 
 SLOTS, BAND_ROWS = 128, 4  # 32 bands: a pair at similarity 0.75 is missed once in 190,000
 LINKS_PER_TASK = 128
@@ -87,23 +90,26 @@ def shingle_sets(found: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(out) if out else np.empty(0, U64), np.concatenate(([0], np.cumsum(size)))
 
 
-def signatures(docs: DataFrame, shingle: int = 5) -> DataFrame:
+def signatures(docs: DataFrame, shingle: int = 5, key: int = 0) -> DataFrame:
     """(id, n, f1, f2, bands, sketch): set size, two fingerprints of the set,
-    the band keys and a byte of every slot."""
+    the band keys and a byte of every slot. Size and fingerprints follow the
+    run's key, the signature does not: candidates are the same in every run."""
     def sign(part: pa.RecordBatch) -> pa.RecordBatch:
-        sets, first = shingle_sets(words(part.column("text")), shingle)
+        drawn, first = shingle_sets(words(part.column("text")), shingle)
+        size = np.diff(first)
+        signature = superminhash(drawn, np.repeat(np.arange(len(size)), size), len(size))
+        sets, first = shingle_sets(words(part.column("text"), key=key), shingle)
         n = np.diff(first)
         owner = np.repeat(np.arange(len(n)), n)
-        signature = superminhash(sets, owner, len(n))
         f1, f2 = np.zeros(len(n), U64), np.zeros(len(n), U64)
         np.add.at(f1, owner, mix(sets))
         np.bitwise_xor.at(f2, owner, mix(sets + U64(_STEP)))
         rows = signature.reshape(len(n), -1, BAND_ROWS)
-        key = np.zeros(rows.shape[:2], U64)
+        band = np.zeros(rows.shape[:2], U64)
         for i in range(BAND_ROWS):
-            key = mix(key * U64(3) + rows[:, :, i])
-        key = mix(key + np.arange(rows.shape[1], dtype=U64) * U64(_STEP))
-        bands = pa.ListArray.from_arrays(pa.array(np.arange(0, key.size + 1, key.shape[1]), pa.int32()), signed(key.reshape(-1)))
+            band = mix(band * U64(3) + rows[:, :, i])
+        band = mix(band + np.arange(rows.shape[1], dtype=U64) * U64(_STEP))
+        bands = pa.ListArray.from_arrays(pa.array(np.arange(0, band.size + 1, band.shape[1]), pa.int32()), signed(band.reshape(-1)))
         sketch = (mix(signature) & U64(255)).astype(np.uint8)
         return pa.RecordBatch.from_arrays(
             [part.column("id"), pa.array(n), signed(f1), signed(f2), bands, pa.array([r.tobytes() for r in sketch], pa.binary())],
@@ -118,7 +124,7 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
     return int((a[at] == b).sum())
 
 
-def verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int, key: int = 0) -> DataFrame:
     """The links (a, b) of ``pairs`` whose full shingle sets meet the threshold."""
     pairs = cut_lineage(pairs)
     share = cut_lineage(pairs.groupBy("b").agg(F.ceil(F.count("*") / LINKS_PER_TASK).alias("salts")))
@@ -129,11 +135,11 @@ def verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> D
                                   F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))))
     texts = docs.join(tasks.hint("shuffle_hash"), "id").select("centre", "salt", "id", "text")
 
-    def compare(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centre, held, kept = key[0].as_py(), [], None
+    def compare(share: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centre, held, kept = share[0].as_py(), [], None
         for batch in batches:  # the texts of one salted share of a centre's links
             for part in slices(batch, "text", 1 << 20, 4096):
-                sets, first = shingle_sets(words(part.column("text")), shingle)
+                sets, first = shingle_sets(words(part.column("text"), key=key), shingle)
                 ids = part.column("id").to_pylist()
                 for i, own in enumerate(ids):
                     own_set = sets[first[i]:first[i + 1]]
@@ -159,16 +165,16 @@ def verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> D
     return cut_lineage(texts.groupBy("centre", "salt").applyInArrow(compare, "a long, b long").distinct())
 
 
-def _linked_in_blocks(shingle: int, percent: int):
+def _linked_in_blocks(shingle: int, percent: int, key: int):
     """Task function: links between members of different groups in one block
     pair of a bucket. Sets are compared in full where signatures come near the
     threshold; what is linked already is not compared again, and a pair that
     shares an earlier band is left to that band's bucket."""
-    def block(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def block(pair: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, groups, chunks, sketches, bands, sets = [], [], [], [], [], []
         for batch in batches:
             for part in slices(batch, "text", 1 << 20, 4096):
-                flat, first = shingle_sets(words(part.column("text")), shingle)
+                flat, first = shingle_sets(words(part.column("text"), key=key), shingle)
                 sets += [flat[first[i]:first[i + 1]] for i in range(part.num_rows)]
                 ids.append(part.column("id").to_numpy())
                 groups.append(part.column("group").to_numpy())
@@ -179,11 +185,11 @@ def _linked_in_blocks(shingle: int, percent: int):
         group = np.unique(np.concatenate(groups), return_inverse=True)[1]
         sketch = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(ids), -1)
         band = np.concatenate(bands).reshape(len(ids), -1)
-        at = int(np.flatnonzero(band[0] == key[0].as_py())[0])
-        left, right = (np.flatnonzero(chunks == k.as_py()) for k in key[1:3])
+        at = int(np.flatnonzero(band[0] == pair[0].as_py())[0])
+        left, right = (np.flatnonzero(chunks == k.as_py()) for k in pair[1:3])
         a, b = [], []
         for i in left.tolist():
-            near = right[(group[right] != group[i]) & ((ids[right] > ids[i]) if key[1] == key[2] else True)]
+            near = right[(group[right] != group[i]) & ((ids[right] > ids[i]) if pair[1] == pair[2] else True)]
             equal = (sketch[near] == sketch[i]).mean(axis=1)
             near, equal = near[equal >= NEAR], equal[equal >= NEAR]
             near = near[np.argsort(-equal, kind="stable")]
@@ -201,7 +207,7 @@ def _linked_in_blocks(shingle: int, percent: int):
     return block
 
 
-def _remaining_links(active: DataFrame, reps: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+def _remaining_links(active: DataFrame, reps: DataFrame, docs: DataFrame, shingle: int, percent: int, key: int) -> DataFrame:
     """Links among bucket members (key, id, group) of different groups."""
     active = cut_lineage(active.join(reps, "id"))
     sizes = cut_lineage(active.groupBy("key").agg(
@@ -212,7 +218,7 @@ def _remaining_links(active: DataFrame, reps: DataFrame, docs: DataFrame, shingl
                          "id", "group", "chunk", "sketch", "bands")
     texts = docs.join(cut_lineage(dealt).hint("shuffle_hash"), "id")
     return cut_lineage(texts.groupBy("key", "low", "high")
-                       .applyInArrow(_linked_in_blocks(shingle, percent), "a long, b long").distinct())
+                       .applyInArrow(_linked_in_blocks(shingle, percent, key), "a long, b long").distinct())
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
@@ -251,7 +257,8 @@ def _joined(placed: DataFrame) -> DataFrame:
 
 
 def _of_unique_ids(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    signed_ = cut_lineage(signatures(docs, shingle))
+    key = run_key()
+    signed_ = cut_lineage(signatures(docs, shingle, key))
     known = signed_.filter("id is not null and n > 0")
     classes = cut_lineage(known.groupBy("n", "f1", "f2").agg(F.min("id").alias("rep"), F.count("*").alias("rows")))
     reps = cut_lineage(known.join(classes.select(F.col("rep").alias("id")).distinct(), "id").select("id", "n", "bands", "sketch"))
@@ -259,7 +266,7 @@ def _of_unique_ids(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     shared = cut_lineage(buckets.groupBy("key").agg(F.min("id").alias("centre"), F.count("*").alias("members")).filter("members > 1"))
     active = cut_lineage(buckets.join(shared, "key").select("key", "id", "centre"))
     links = verified(active.filter("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct(),
-                     docs, shingle, percent)
+                     docs, shingle, percent, key)
     groups = cut_lineage(components(links))
     active = cut_lineage(active.filter("id <> centre").join(groups, F.col("id") == groups["node"], "left")
                          .select("key", "id", F.coalesce("component", "id").alias("group")))
@@ -267,7 +274,7 @@ def _of_unique_ids(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
                         .filter("g <> h").select("key"))
     active = cut_lineage(active.join(split, "key"))
     if not active.isEmpty():
-        more = _remaining_links(active, reps, docs, shingle, percent)
+        more = _remaining_links(active, reps, docs, shingle, percent, key)
         links = cut_lineage(links.unionByName(more))
         groups = cut_lineage(components(links))
     homes = cut_lineage(classes.join(groups, classes["rep"] == groups["node"], "left")

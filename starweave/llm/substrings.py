@@ -1,4 +1,4 @@
-"""Removal of long repeated passages by compaction of a de Bruijn graph of words.
+"""Removal of long repeated passages: 35-word edges of a de Bruijn graph, compacted by anchors.
 
 A window of 35 consecutive words is an edge between its first and its last 34
 words; an edge is repeated if it occurs at two places of the corpus. Words
@@ -13,8 +13,9 @@ covered by repeated edges are removed.
    place where paths branch (or end): there one occurrence of each segment is
    cut into its single edges again, and those are joined.
 3. The source coordinates of repeated segments and edges are gathered by
-   document, and spans that touch are compacted into maximal spans. Anchors and
-   segments are compared with two independent 64-bit hashes.
+   document, and spans that touch are compacted into maximal spans. Segments and
+   edges are equal if two 64-bit hashes are (their anchor's and their own), over
+   words hashed with a key drawn for the run.
 
 Defined cases: null and wordless texts have n_words 0 and keep the empty text;
 texts under 35 words lose nothing; every row is a document of its own, so rows
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .rows import keyed_rows
-from .textscan import SPACE_WORDS, U64, Words, map_texts, mix, ngrams, ranges, signed, spans, words
+from .textscan import SPACE_WORDS, U64, Words, map_texts, mix, ngrams, ranges, run_key, signed, spans, words
 
 WINDOW, GRAM = 35, 11
 PLACE_BITS = 26  # low bits of a gram's rank that hold its place: ties go to the leftmost
@@ -70,8 +71,10 @@ def segments(found: Words, window: int = WINDOW, gram: int = GRAM):
 
 def repeated_spans(rows: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """(row, start, stop): ranges of windows of ``rows`` (row, text) that are repeated."""
+    key = run_key()
+
     def segment(part: pa.RecordBatch) -> pa.RecordBatch:
-        text, start, length, anchor, whole = segments(words(part.column("text"), SPACE_WORDS, lower=False), window, gram)
+        text, start, length, anchor, whole = segments(words(part.column("text"), SPACE_WORDS, lower=False, key=key), window, gram)
         row = part.column("row").to_numpy()
         return pa.RecordBatch.from_arrays(
             [pa.array(row[text]), pa.array(start.astype(np.int32)), pa.array(length.astype(np.int32)), signed(anchor), signed(whole)],
@@ -93,7 +96,7 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     texts = rows.select("row", "text").join(open_.hint("shuffle_hash"), "row")
 
     def cut(part: pa.RecordBatch) -> pa.RecordBatch | None:
-        found = words(part.column("text"), SPACE_WORDS, lower=False)
+        found = words(part.column("text"), SPACE_WORDS, lower=False, key=key)
         edges = ngrams(found.hash, window)
         lists = part.column("parts")
         parts = lists.flatten()

@@ -5,12 +5,14 @@ so a task's memory follows the slice (or its one longest text), not the
 partition. Words are hashed by mixed lanes of eight bytes; hashes of n-grams are
 polynomials modulo 2**64 over these, so that any n-gram's hash is one difference
 of prefix sums. (Sequences that collide under such polynomials are a thousand
-words long; no n-gram or span hashed here comes near.)
+words long; no n-gram or span hashed here comes near.) A key drawn for a run
+enters every lane, so that words which collide cannot be made beforehand.
 """
 
 from __future__ import annotations
 
 import gc
+import secrets
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -95,9 +97,13 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def words(column: pa.Array, rule: np.ndarray = SPACE_WORDS, lower: bool = True, split: Callable | None = None) -> Words:
-    """Words of every text by a byte rule, A-Z lowered before hashing on request;
-    ``split`` may cut the words (bytes, starts, ends) further."""
+def run_key() -> int:
+    """A key for the word hashes of one run."""
+    return secrets.randbits(64)
+
+
+def words(column: pa.Array, rule: np.ndarray = SPACE_WORDS, lower: bool = True, key: int = 0) -> Words:
+    """Words of every text by a byte rule, A-Z lowered before hashing on request."""
     data, offsets = utf8(column)
     if not len(data):
         none = np.empty(0, np.int64)
@@ -111,26 +117,26 @@ def words(column: pa.Array, rule: np.ndarray = SPACE_WORDS, lower: bool = True,
     before[-1], before[:-1] = False, inside[1:]
     before[edge - 1] = False
     end = np.flatnonzero(inside & ~before) + 1
-    if split is not None:
-        start, end = split(data, start, end)
-    return Words(data, start, end, _word_hashes(data, start, end, _LOWER if lower else _SAME),
-                 np.searchsorted(start, offsets))
+    table = _LOWER if lower else _SAME
+    hashes = _word_hashes(data, start, end, table, key) if key else _word_hashes(data, start, end, table)
+    return Words(data, start, end, hashes, np.searchsorted(start, offsets))
 
 
-def _word_hashes(data, start, end, table) -> np.ndarray:
-    """Sum over the words' lanes of eight bytes, each mixed with its place. The
-    mixing is not linear, so words built to collide under polynomials don't."""
+def _word_hashes(data, start, end, table, key: int = 0) -> np.ndarray:
+    """Sum over the words' lanes of eight bytes, each mixed with its place and
+    the key. The mixing is not linear, so words built to collide under
+    polynomials don't."""
     bytes_ = np.zeros(len(data) + 8, np.uint8)
     bytes_[:len(data)] = table[data]
     lane_at = np.ndarray((len(data) + 1,), "<u8", bytes_, strides=(1,))  # the eight bytes from each place on
     size = end - start
-    out = mix((lane_at[start] & _LANE[np.minimum(size, 8)]) + U64(_BYTE_BASE))
+    out = mix((lane_at[start] & _LANE[np.minimum(size, 8)]) + U64((_BYTE_BASE + key) % (1 << 64)))
     long = np.flatnonzero(size > 8)
     if len(long):
         more = (size[long] + 7) // 8 - 1
         word, lane = np.repeat(long, more), ranges(np.ones(len(long), np.int64), more)
         value = lane_at[start[word] + 8 * lane] & _LANE[np.minimum(size[word] - 8 * lane, 8)]
-        out[long] += np.add.reduceat(mix(value + mix(lane.astype(U64) * U64(_BYTE_BASE))), np.cumsum(more) - more)
+        out[long] += np.add.reduceat(mix(value + mix(lane.astype(U64) * U64(_BYTE_BASE) + U64(key))), np.cumsum(more) - more)
     return mix(out ^ (size.astype(U64) * U64(_WORD_BASE)))
 
 

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from starweave.llm import components, decontaminate, language, mixing, neardup, quality, sharding, substrings, tokenfiles, topk, warc
+from starweave.llm import components, decontaminate, language, mixing, neardup, quality, sharding, substrings, textscan, tokenfiles, topk, warc
 from starweave.llm.textscan import SPACE_WORDS, words
 
 SF = "/root/testdata/sf0.001"
@@ -427,9 +427,63 @@ def test_words_that_polynomials_confuse_stay_apart(spark):
     assert sorted(map(tuple, got), key=lambda r: r[1]) == tokens_by_hand([(1, a), (2, b)])
 
 
+def colliding_words():
+    """Two words of 16 small letters, digits and signs whose unkeyed hashes agree:
+    the last eight bytes are solved for what other first eight bytes leave."""
+    def unmix(x):
+        for shift, factor in ((31, 0x94D049BB133111EB), (27, 0xBF58476D1CE4E5B9), (30, 1)):
+            x = (x ^ (x >> np.uint64(shift)) ^ (x >> np.uint64(2 * shift))) * np.uint64(pow(factor, -1, 1 << 64))
+        return x
+
+    base = np.uint64(textscan._BYTE_BASE)
+    lane = textscan.mix(np.array([base]))[0]
+    allowed = np.array([c for c in range(0x21, 0x7B) if not 0x41 <= c <= 0x5A], np.uint8)
+    tried = np.random.default_rng(5).choice(allowed, (1 << 21, 8)).view("<u8").ravel()
+    one = textscan.mix(tried[:1] + base) + textscan.mix(tried[1:2] + lane)
+    last = unmix(one - textscan.mix(tried + base)) - lane
+    fits = np.isin(last.view(np.uint8).reshape(-1, 8), allowed).all(axis=1) & (tried != tried[0])
+    return [np.array(w, "<u8").tobytes().decode() for w in (tried[:2], (tried[fits][0], last[fits][0]))]
+
+
+def test_words_made_to_collide_stay_apart(spark):
+    """The key of a run parts words that were made to collide without one."""
+    a, b = colliding_words()
+    assert a != b and len(set(words(pa.array([f"{a} {b}"])).hash.tolist())) == 1
+    assert len(set(words(pa.array([f"{a} {b}"]), key=3).hash.tolist())) == 2
+    docs = spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")
+    assert [r["component_id"] for r in neardup.near_duplicates(docs).orderBy("doc_id").collect()] == [1, 2]
+    many = spark.createDataFrame([(i, " ".join([w] + [f"w{i}" for i in range(34)])) for i, w in ((1, a), (2, b))],
+                                 "doc_id long, text string")
+    assert {r["n_removed"] for r in substrings.remove_repeats(many).collect()} == {0}
+    got = tokenfiles.tokenised(docs, tokenfiles.default_tokenizer()).collect()
+    assert sorted(map(tuple, got), key=lambda r: r[1]) == tokens_by_hand([(1, a), (2, b)])
+
+
+def test_pieces_cover_their_texts():
+    texts = ["One, two. <A>b. .", None, "", "3.5, x,", "  ", "é, Z."]
+    found, first = tokenfiles.pieces(pa.array(texts))
+    got = [[p.decode() for p in found.to_pylist()[a:b]] for a, b in zip(first[:-1], first[1:], strict=True)]
+    assert got == [["one", ",", "two", ".", "<A>b", ".", "."], [], [], ["3.5", ",", "x", ","], [], ["é,", "z", "."]]
+    found, first = tokenfiles.pieces(pa.array([None, ""], pa.string()))
+    assert len(found) == 0 and first.tolist() == [0, 0, 0]
+
+
+def test_files_of_lost_attempts_are_not_read(spark):
+    docs = spark.createDataFrame([(1, "one two"), (2, "three")], "doc_id long, text string")
+    folder = tokenfiles.new_folder(spark, "lost")
+    files = tokenfiles.write_tokens(docs, folder, tokenfiles.default_tokenizer())
+    again = tokenfiles.write_tokens(docs.limit(1), folder, tokenfiles.default_tokenizer())  # another attempt's files beside them
+    assert not {r["path"] for r in files.collect()} & {r["path"] for r in again.collect()}
+    assert tokenfiles.read_tokens(spark, files).count() == 2
+    pages = spark.createDataFrame([(1, "u", "x"), (2, "v", None)], "page_id long, url string, html string")
+    folder = warc.new_folder(spark, "lost")
+    kept = warc.write_archives(pages, folder)
+    warc.write_archives(pages.limit(1), folder)
+    assert warc.read_archives(kept).count() == 2
+
+
 def test_equal_hashes_are_compared_word_by_word(monkeypatch):
     """With every word hashed alike only the comparison is left."""
-    from starweave.llm import textscan
     monkeypatch.setattr(textscan, "_word_hashes", lambda data, start, end, table: np.ones(len(start), np.uint64))
     items = words(pa.array(["one two three", "one two four", "one two three five"]), decontaminate.ALNUM_WORDS)
     table = decontaminate.tables(items, 3)[0]
