@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -112,7 +113,7 @@ class Encoder:
         self.held.update(zip(new, range(len(self.held), len(self.held) + len(new)), strict=True))
         self.at = np.concatenate([self.at, len(self.ids) + np.cumsum(n) - n])
         self.n = np.concatenate([self.n, n])
-        self.ids = np.concatenate([self.ids, np.array([i for e in encoded for i in e], np.uint32)])
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(encoded), np.uint32)])
 
     def encode(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, each ended, and their counts."""
@@ -124,11 +125,13 @@ class Encoder:
         distinct = found.dictionary_encode()
         if len(self.held) > WORDS_HELD:
             self._forget()
-        own = distinct.dictionary.to_pylist()
-        new = [p for p in own if p not in self.held]
-        if new:
-            self._learn(new)
-        place = np.array([self.held[p] for p in own], np.int64)[distinct.indices.to_numpy()]
+        own = distinct.dictionary.to_numpy(zero_copy_only=False)
+        place = np.fromiter(map(self.held.get, own, repeat(-1)), np.int64, len(own))
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            place[new] = np.arange(len(new)) + len(self.held)
+            self._learn(own[new].tolist())
+        place = place[distinct.indices.to_numpy()]
         n = self.n[place]
         ids = self.ids[ranges(self.at[place], n)]
         ends = np.concatenate(([0], np.cumsum(n)))[first]
