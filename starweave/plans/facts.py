@@ -174,20 +174,21 @@ def _signed(amount: str):
 
 
 def sr_context(service_requests: DataFrame, dim_category: DataFrame, dim_geography: DataFrame,
-               dsr_current: DataFrame, pros: DataFrame) -> DataFrame:
-    """SR-grain attributes a payment needs: dimension keys, current SR version
-    and current pro. Resolved once per SR, so the large payment table is
-    shuffled only once (by sr_id) instead of again by (sp_id, category_key)."""
+               pros: DataFrame) -> DataFrame:
+    """SR-grain attributes a payment needs: dimension keys and current pro. Resolved
+    once per SR, so the large payment table is shuffled only once (by sr_id) instead
+    of again by (sp_id, category_key)."""
     sr = sr_flags(service_requests.select("sr_id", "sp_id", "category", "geography"),
                   dim_category, dim_geography)
-    srd = dsr_current.select("sr_id", "service_request_key", F.col("status").alias("sr_status"),
-                             F.col("is_completed").alias("_sr_completed"))
-    return (sr.join(srd, "sr_id", "left").join(pros, ["sp_id", "category_key"], "left")
-            .drop("category", "geography"))
+    return sr.join(pros, ["sp_id", "category_key"], "left").drop("category", "geography")
 
 
-def revenue_rows(pay: DataFrame, ctx: DataFrame, run_ts) -> DataFrame:
-    j = pay.join(ctx, "sr_id", "inner")
+def revenue_rows(pay: DataFrame, ctx: DataFrame, dsr_current: DataFrame, run_ts) -> DataFrame:
+    """Payments with their SR's context and current version. The version joins on
+    sr_id last: its key, which does not compress, is shuffled once."""
+    srd = dsr_current.select("sr_id", "service_request_key", F.col("status").alias("sr_status"),
+                             F.col("is_completed").alias("_sr_completed"))
+    j = pay.join(ctx, "sr_id", "inner").join(srd, "sr_id", "left")
     st = F.col("payment_status")
     out = j.select(
         hash_key("payment_id").alias("revenue_key"),
@@ -218,9 +219,8 @@ def fct_revenue(raw_payments: DataFrame, service_requests: DataFrame, dim_catego
     pay = raw_payments.select("payment_id", "sr_id", "payment_ts", "payment_method",
                               "payment_status", "gross_amount", "commission_rate",
                               "commission_amount", "pro_payout_amount")
-    ctx = sr_context(service_requests, dim_category, dim_geography,
-                     dim_service_request.filter(F.col("is_current")), current_pros(dim_pro))
-    return revenue_rows(pay, ctx, run_ts)
+    ctx = sr_context(service_requests, dim_category, dim_geography, current_pros(dim_pro))
+    return revenue_rows(pay, ctx, dim_service_request.filter(F.col("is_current")), run_ts)
 
 
 def session_funnel(raw_events: DataFrame, raw_sessions: DataFrame,
