@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .joins import duplicate_keys
 
 
@@ -44,10 +45,12 @@ def upsert(target: DataFrame, updates: DataFrame, key, check: bool = True) -> Da
     shuffle and broadcasts it only when it is small, else keeps a shuffled
     anti join (split if skewed)."""
     keys = _keys(key)
-    if check:
-        check_merge_batch(updates, keys)
-    kept = target.join(updates.select(*keys), on=keys, how="left_anti")
-    return kept.unionByName(updates.select(*target.columns))
+    merged = updates.select(*keys)
+    if check:  # the check and the join read the keys as written
+        merged = cut_lineage(merged)
+        check_merge_batch(merged, keys)
+    kept = target.join(merged, on=keys, how="left_anti")
+    return kept.select(*target.columns).unionByName(updates.select(*target.columns))
 
 
 def new_members(target: DataFrame, incoming: DataFrame, key) -> DataFrame:

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from ..functions import lookback
 from ..operators import first_per_group, lookup_join, new_members, scd2_upserts, upsert
-from ..operators.joins import materialized_keys, rows_without
-from ..operators.spans import history_of, key_spans, widened
+from ..operators.joins import duplicate_keys, materialized_keys, rows_with, rows_without
+from ..operators.spans import covered_days, history_of, key_spans, on_days, widened
 from ..session import cut_lineage
 from ..sources.raw import RawSources
 from . import dims, facts
@@ -192,7 +192,11 @@ def step_fct_revenue(raw_payments: DataFrame, service_requests: DataFrame, model
                      run_ts, payment_days: DataFrame | None = None) -> Change:
     """Payments updated in the window, plus payments of SRs whose current
     version or current pro version changed (their sr_status / pro columns
-    move although the payment row did not), read within these SRs' days."""
+    move although the payment row did not), read within these SRs' days.
+
+    One pass over the payments marks both, partitioned by sr_id as the fact's joins
+    need them. Payments without an SR have no row in the fact. The fact's key is a
+    hash of payment_id, so the shorter payment_id tells which rows are replaced."""
     m = models
     changed_sr = (m["dim_service_request"].filter(F.col("is_current")
                                                   & lookback("valid_from", as_of, 1))
@@ -203,12 +207,16 @@ def step_fct_revenue(raw_payments: DataFrame, service_requests: DataFrame, model
                           m["dim_category"].select("category", "category_key"), "category")
     pro_srs = sr_keys.join(pros, ["sp_id", "category_key"], "left_semi").select("sr_id")
     srs = materialized_keys(changed_sr.union(pro_srs))
-    pays = (raw_payments.filter(lookback("updated_at", as_of, 1))
-            .unionByName(history_of(raw_payments, srs, "sr_id", "updated_at", payment_days).select(*raw_payments.columns))
-            .dropDuplicates(["payment_id"]))  # a payment can be in both parts
+    recent, pays = lookback("updated_at", as_of, 1), raw_payments.filter(F.col("sr_id").isNotNull())
+    if payment_days is not None:
+        pays = pays.filter(recent | on_days("updated_at", covered_days(rows_with(payment_days, srs, "sr_id"))))
+    pays = (pays.join(srs.filter(F.col("sr_id").isNotNull()).withColumn("_changed", F.lit(True)), "sr_id", "left")
+            .filter(recent | F.col("_changed")).select(*raw_payments.columns))
+    if not duplicate_keys(pays, ["payment_id"]).isEmpty():
+        pays = pays.dropDuplicates(["payment_id"])
     fresh = facts.fct_revenue(pays, service_requests, m["dim_category"], m["dim_geography"],
                               m["dim_service_request"], m["dim_pro"], run_ts)
-    return Change(fresh, "revenue_key", unique=True)
+    return Change(fresh, "payment_id", unique=True)
 
 
 # ------------------------------------------------------------ point-in-time views

@@ -105,5 +105,5 @@ def cut_lineage(df):
     path = os.path.join(ensure_checkpoint_dir(spark), "cut", uuid.uuid4().hex)
     if _open_scopes:
         _open_scopes[-1].append(path)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

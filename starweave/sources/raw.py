@@ -14,6 +14,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import RAW_SCHEMAS
+from ..session import cut_lineage
 from .properties import PARSED_EVENTS, SR_ID, parsed_events
 
 SOURCE_NAMES = tuple(RAW_SCHEMAS)
@@ -51,6 +52,14 @@ class RawSources:
         return cls(lambda n: frames[n])
 
 
+def landed(raw: RawSources, names) -> RawSources:
+    """The sources with ``names`` written once, as an ingestion lands them, so that a
+    run's many steps read their columns and don't derive the tables again each time.
+    Views of late or earlier rows belong on top. ``released_cuts`` bounds their time."""
+    held = {name: cut_lineage(raw.table(name)) for name in names}
+    return RawSources(lambda name: held[name] if name in held else raw.table(name))
+
+
 # Column each landed table is range-ordered on, so that lookback predicates
 # prune files and row groups by their min/max statistics.
 LANDING_ORDER = {"raw_events": "event_ts", "raw_sessions": "updated_at",
