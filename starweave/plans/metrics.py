@@ -29,6 +29,11 @@ SAFE_DIMS = {
     "session_events": ["page_type", "event_date_key", "event_type", "is_home_page",
                        "is_search_page", "is_booking_form_page", "is_confirmation_page"],
 }
+# The columns whose values the metrics over every dimension (``METRIC_OF``) reckon with.
+MEASURES = {
+    "booking_funnel": ["booking_key", "is_converted"],
+    "revenue": ["payment_status", "gross_amount", "net_platform_revenue", "net_pro_payout", "is_settled", "is_refunded"],
+}
 DATE_KEY_OF = {"booking_funnel": "created_at_date_key", "revenue": "payment_date_key"}
 
 
