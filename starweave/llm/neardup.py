@@ -32,12 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, files_for
 from .components import components
 from .textscan import U64, Words, map_texts, mix, ngrams, run_key, signed, slices, spans, words
 
 SLOTS, BAND_ROWS = 128, 4  # 32 bands: a pair at similarity 0.75 is missed once in 190,000
 LINKS_PER_TASK = 128
+WIDE = 8  # short rows that one with bands and sketch counts as
 BLOCK = 2048  # rows of a bucket, and their shingles, in one block
 BLOCK_SHINGLES = 1 << 20
 NEAR = 0.57  # share of equal slots; 4.7 standard deviations under 0.75
@@ -124,15 +125,17 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
     return int((a[at] == b).sum())
 
 
-def verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int, key: int = 0) -> DataFrame:
-    """The links (a, b) of ``pairs`` whose full shingle sets meet the threshold."""
-    pairs = cut_lineage(pairs)
-    share = cut_lineage(pairs.groupBy("b").agg(F.ceil(F.count("*") / LINKS_PER_TASK).alias("salts")))
+def verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int, key: int = 0,
+             rows: int | None = None) -> DataFrame:
+    """The links (a, b) of ``pairs``, of at most ``rows`` where that is known,
+    whose full shingle sets meet the threshold."""
+    pairs = cut_lineage(pairs, rows)
+    share = cut_lineage(pairs.groupBy("b").agg(F.ceil(F.count("*") / LINKS_PER_TASK).alias("salts")), rows)
     tasks = cut_lineage(
         pairs.join(share, "b")
         .select(F.col("a").alias("id"), F.col("b").alias("centre"), F.pmod(F.xxhash64("a"), "salts").alias("salt"))
         .unionByName(share.select(F.col("b").alias("id"), F.col("b").alias("centre"),
-                                  F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))))
+                                  F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))), rows and 2 * rows)
     texts = docs.join(tasks.hint("shuffle_hash"), "id").select("centre", "salt", "id", "text")
 
     def compare(share: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +165,7 @@ def verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int, key:
         if good:
             yield pa.RecordBatch.from_pydict({"a": pa.array(good, pa.int64()), "b": pa.array([centre] * len(good), pa.int64())})
 
-    return cut_lineage(texts.groupBy("centre", "salt").applyInArrow(compare, "a long, b long").distinct())
+    return cut_lineage(texts.groupBy("centre", "salt").applyInArrow(compare, "a long, b long").distinct(), rows)
 
 
 def _linked_in_blocks(shingle: int, percent: int, key: int):
@@ -207,18 +210,20 @@ def _linked_in_blocks(shingle: int, percent: int, key: int):
     return block
 
 
-def _remaining_links(active: DataFrame, reps: DataFrame, docs: DataFrame, shingle: int, percent: int, key: int) -> DataFrame:
+def _remaining_links(active: DataFrame, reps: DataFrame, docs: DataFrame, shingle: int, percent: int, key: int,
+                     rows: int) -> DataFrame:
     """Links among bucket members (key, id, group) of different groups."""
-    active = cut_lineage(active.join(reps, "id"))
+    active = cut_lineage(active.join(reps, "id"), WIDE * rows)
     sizes = cut_lineage(active.groupBy("key").agg(
-        F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("chunks")))
-    chunked = active.join(sizes, "key").withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks"))
+        F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("chunks"), F.count("*").alias("members")), rows)
+    spread = sizes.agg(F.sum(F.col("members") * F.col("chunks"))).first()[0] or 0
+    chunked = active.join(sizes.drop("members"), "key").withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks"))
     dealt = chunked.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
     dealt = dealt.select("key", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"),
                          "id", "group", "chunk", "sketch", "bands")
-    texts = docs.join(cut_lineage(dealt).hint("shuffle_hash"), "id")
+    texts = docs.join(cut_lineage(dealt, WIDE * spread).hint("shuffle_hash"), "id")
     return cut_lineage(texts.groupBy("key", "low", "high")
-                       .applyInArrow(_linked_in_blocks(shingle, percent, key), "a long, b long").distinct())
+                       .applyInArrow(_linked_in_blocks(shingle, percent, key), "a long, b long").distinct(), rows)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
@@ -259,27 +264,29 @@ def _joined(placed: DataFrame) -> DataFrame:
 def _of_unique_ids(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     key = run_key()
     signed_ = cut_lineage(signatures(docs, shingle, key))
+    n = signed_.count()
     known = signed_.filter("id is not null and n > 0")
-    classes = cut_lineage(known.groupBy("n", "f1", "f2").agg(F.min("id").alias("rep"), F.count("*").alias("rows")))
-    reps = cut_lineage(known.join(classes.select(F.col("rep").alias("id")).distinct(), "id").select("id", "n", "bands", "sketch"))
+    classes = cut_lineage(known.groupBy("n", "f1", "f2").agg(F.min("id").alias("rep"), F.count("*").alias("rows")), n)
+    reps = cut_lineage(known.join(classes.select(F.col("rep").alias("id")).distinct(), "id").select("id", "n", "bands", "sketch"), WIDE * n)
     buckets = reps.select("id", F.explode("bands").alias("key"))
-    shared = cut_lineage(buckets.groupBy("key").agg(F.min("id").alias("centre"), F.count("*").alias("members")).filter("members > 1"))
-    active = cut_lineage(buckets.join(shared, "key").select("key", "id", "centre"))
+    shared = cut_lineage(buckets.groupBy("key").agg(F.min("id").alias("centre"), F.count("*").alias("members")).filter("members > 1"), n)
+    rows = shared.agg(F.sum("members")).first()[0] or 0
+    active = cut_lineage(buckets.join(shared, "key").select("key", "id", "centre"), rows)
     links = verified(active.filter("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct(),
-                     docs, shingle, percent, key)
-    groups = cut_lineage(components(links))
+                     docs, shingle, percent, key, rows)
+    groups = cut_lineage(components(links), rows)
     active = cut_lineage(active.filter("id <> centre").join(groups, F.col("id") == groups["node"], "left")
-                         .select("key", "id", F.coalesce("component", "id").alias("group")))
+                         .select("key", "id", F.coalesce("component", "id").alias("group")), rows)
     split = cut_lineage(active.groupBy("key").agg(F.min("group").alias("g"), F.max("group").alias("h"))
-                        .filter("g <> h").select("key"))
-    active = cut_lineage(active.join(split, "key"))
+                        .filter("g <> h").select("key"), rows)
+    active = cut_lineage(active.join(split, "key"), rows)
     if not active.isEmpty():
-        more = _remaining_links(active, reps, docs, shingle, percent, key)
-        links = cut_lineage(links.unionByName(more))
-        groups = cut_lineage(components(links))
+        more = _remaining_links(active, reps, docs, shingle, percent, key, rows)
+        links = cut_lineage(links.unionByName(more), rows)
+        groups = cut_lineage(components(links), rows)
     homes = cut_lineage(classes.join(groups, classes["rep"] == groups["node"], "left")
-                        .select("n", "f1", "f2", F.coalesce("component", "rep").alias("home")))
-    return _labelled(signed_, homes)
+                        .select("n", "f1", "f2", F.coalesce("component", "rep").alias("home")), n)
+    return _labelled(signed_, homes).coalesce(files_for(docs.sparkSession, n))
 
 
 def _labelled(signed_: DataFrame, homes: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -524,3 +525,27 @@ def test_rows_that_share_an_id_are_spread_over_files(spark):
         assert files.count() == 8 and files.agg(F.max("docs")).first()[0] < 600
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+@pytest.fixture
+def cut_files(spark):
+    """The numbers of part files of the tables cut since, with 40 shuffle
+    partitions that Spark doesn't join."""
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    cut = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"), "cut")
+    there = set(cut.glob("*"))
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    yield lambda: [len(list(table.glob("part-*"))) for table in set(cut.glob("*")) - there]
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_near_dedup_writes_files_by_rows_not_by_shuffle_partitions(spark, cut_files):
+    text = [f"w{i} " * 3 + " ".join(f"v{j}" for j in range(90 if i % 40 else 60)) for i in range(400)]
+    docs = spark.createDataFrame(list(enumerate(text)), "doc_id long, text string").coalesce(4)
+    found = neardup.near_duplicates(docs)
+    assert found.filter("kept").count() == 2 and found.count() == 400  # 60 of 90 words are too few
+    assert max(cut_files()) <= spark.sparkContext.defaultParallelism
+    assert found.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
