@@ -30,7 +30,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     if not neardup.unique_ids(docs, "doc_id"):
         return _one_row_of_each_group(docs)
     found = neardup.near_duplicates(docs)
-    copies = cut_lineage(found.filter("not kept and doc_id is not null").select(F.col("doc_id").alias("copy_of")).distinct())
+    copies = cut_lineage(found.filter("not kept and doc_id is not null").select(F.col("doc_id").alias("copy_of")).distinct(), docs.count())
     return docs.join(copies, docs["doc_id"] == copies["copy_of"], "left_anti")
 
 
@@ -40,7 +40,8 @@ def _one_row_of_each_group(docs: DataFrame) -> DataFrame:
     found = neardup.near_duplicates(rows.select("near_row", "doc.text"), "near_row").select(F.col("doc_id").alias("near_row"), "component_id")
     named = found.join(rows.select("near_row", "doc.doc_id"), "near_row")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "near_row"))
-    stays = cut_lineage(named.groupBy("component_id").agg(first.alias("first")).select(F.col("first.near_row").alias("near_row")))
+    stays = cut_lineage(named.groupBy("component_id").agg(first.alias("first")).select(F.col("first.near_row").alias("near_row")),
+                        rows.count())
     return rows.join(stays, "near_row", "left_semi").select("doc.*")
 
 
@@ -59,7 +60,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     target share a line."""
     mixed = mixing.mix(docs).groupBy("doc_id").agg(*[F.sum(c).alias(c) for c in ("size", "taken")],
                                                    *[F.max(c).alias(c) for c in ("source_size", "target")])
-    mixed = cut_lineage(mixed.filter("taken > 0"))
+    rows = docs.count()
+    mixed = cut_lineage(mixed.filter("taken > 0"), rows)
     part = F.col("taken") % F.col("size")
     line = Window.partitionBy("source_size", "target").orderBy("size", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
     share = part / F.col("size")
@@ -68,7 +70,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     cut = cut.select(F.col("doc_id").alias("cut_id"), rounded.alias("more"))
     times = F.floor(F.col("taken") / F.col("size")) + F.coalesce("more", F.lit(0))
     kept = cut_lineage(mixed.join(cut, F.col("doc_id").eqNullSafe(F.col("cut_id")), "left")
-                       .select("doc_id", times.cast("int").alias("times")).filter("times > 0"))
+                       .select("doc_id", times.cast("int").alias("times")).filter("times > 0"), rows)
     # the same plan at every size: the kept ids grow with the corpus
     whole = docs.select(F.struct(*docs.columns).alias("doc")).join(
         kept.hint("shuffle_hash"), F.col("doc.doc_id").eqNullSafe(F.col("doc_id")))

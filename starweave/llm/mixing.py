@@ -84,15 +84,16 @@ def apportion(frame: DataFrame, group: str, member: str, votes: str, seats: str)
             .withColumn("quota", F.coalesce("sure", F.lit(0)) + F.coalesce("more", F.lit(0))).drop("sure", "more"))
 
 
-def plan(sources: DataFrame, block: int, shards: int, seed: str) -> DataFrame:
-    """One row per source with its target and the stretches that its shards take."""
-    aimed = cut_lineage(targets(sources))
+def plan(sources: DataFrame, block: int, shards: int, seed: str, rows: int | None = None) -> DataFrame:
+    """One row per source, ``rows`` at most where that is known, with its target
+    and the stretches that its shards take."""
+    aimed = cut_lineage(targets(sources), rows)
     one = Window.partitionBy(F.lit(1))
     dealt = apportion(aimed.withColumn("all_", F.lit(1)).withColumn(
         "seats", F.floor(F.sum("source_size").over(one) / block + 0.5)), "all_", "k", "target", "seats")
     blocks = F.ceil(F.col("source_size") / block)
     dealt = dealt.withColumn("blocks", blocks).withColumn("seats", F.least("quota", F.col("blocks") * CAP)).drop("quota", "all_")
-    cells = cut_lineage(dealt).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).withColumn(
+    cells = cut_lineage(dealt, rows).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).withColumn(
         "first", F.floor(F.col("shard") * F.col("blocks") / shards)).withColumn(
         "votes", F.floor((F.col("shard") + 1) * F.col("blocks") / shards) - F.col("first")).filter("votes > 0")
     cells = apportion(cells, "k", "shard", "votes", "seats")
@@ -107,7 +108,7 @@ def plan(sources: DataFrame, block: int, shards: int, seed: str) -> DataFrame:
         word(F.col("first") + F.greatest(run - F.col("votes"), F.lit(0))).alias("z2")).alias("stretch"))
     # at most `shards` stretches per source
     stretches = cells.groupBy("k").agg(F.collect_list("stretch").alias("stretches"))
-    return cut_lineage(aimed.join(stretches, "k", "left").select("k", "source", "source_size", "target", "stretches"))
+    return cut_lineage(aimed.join(stretches, "k", "left").select("k", "source", "source_size", "target", "stretches"), rows)
 
 
 def _overlap(x, y, a, z) -> Column:
@@ -120,9 +121,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
     sized = cut_lineage(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size")))
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
-    totals = cut_lineage(totals)
-    rows = totals.agg(F.sum("rows")).first()[0] or 1
-    sources = plan(totals.drop("rows"), block, shards, seed)
+    rows = sized.count() or 1
+    totals = cut_lineage(totals, rows)
+    sources = plan(totals.drop("rows"), block, shards, seed, totals.count())
     buckets = int(rows ** 0.5) + 1
     place = hash52(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
     keyed = sized.join(sources.select("k", "source"), sized["source"].eqNullSafe(sources["source"])).select(
@@ -130,7 +131,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         "bucket", F.shiftright(F.shiftright("place", 22) * buckets, 30))
     sums = keyed.groupBy("k", "bucket").agg(F.sum("size").alias("words"))
     offset = F.sum("words").over(Window.partitionBy("k").orderBy("bucket")) - F.col("words")
-    offsets = cut_lineage(sums.select("k", "bucket", offset.alias("offset")))
+    offsets = cut_lineage(sums.select("k", "bucket", offset.alias("offset")), rows)
     inside = F.sum("size").over(Window.partitionBy("k", "bucket").orderBy("place", "doc_id", "size")
                                 .rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
     lined = keyed.withColumn("inside", inside).join(offsets, ["k", "bucket"]).withColumn("x", F.col("offset") + F.col("inside"))

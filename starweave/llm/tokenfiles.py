@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, files_for
 from .files import located, new_folder
 from .textscan import ALNUM_WORDS, ranges, slices, tidy
 from .wordarrays import word_array
@@ -48,6 +48,7 @@ END_ID = 1
 MASK_DELTA = 0xA282EAD8
 WORDS_HELD = 3 << 18
 READ_BYTES = 8 << 20
+READ_IDS = 1 << 22  # in the files of one reading task
 _LETTERS = ALNUM_WORDS & (np.arange(256) < 0x80)
 
 
@@ -194,7 +195,9 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
             index.close()
             yield pa.RecordBatch.from_pydict({"part": [part], "path": [f"{folder}/{name}"], "docs": [count], "ids": [total]})
 
-    return cut_lineage(rows.mapInArrow(write, "part long, path string, docs long, ids long"))
+    # dealt by the part, so that a part that is written again still has one row
+    written = rows.mapInArrow(write, "part long, path string, docs long, ids long").repartition("part")
+    return cut_lineage(written, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def read_record(stream, offset: int, n: int, width: int) -> np.ndarray:
@@ -251,7 +254,8 @@ def read_tokens(spark: SparkSession, files: DataFrame) -> DataFrame:
                             ["doc_id", "start", "n_tokens", "ids_crc32"])
                         i = j
 
-    frame = spark.createDataFrame(manifest, "path string, start long").repartition(max(1, len(manifest)))
+    tasks = max(1, min(len(manifest), max(files_for(spark, 0), -(-start // READ_IDS))))
+    frame = spark.createDataFrame(manifest, "path string, start long").repartition(tasks)
     return frame.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

@@ -549,3 +549,15 @@ def test_near_dedup_writes_files_by_rows_not_by_shuffle_partitions(spark, cut_fi
     assert found.filter("kept").count() == 2 and found.count() == 400  # 60 of 90 words are too few
     assert max(cut_files()) <= spark.sparkContext.defaultParallelism
     assert found.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+
+
+def test_pipeline_stages_write_files_by_rows_not_by_shuffle_partitions(spark, cut_files):
+    docs = spark.createDataFrame([(i, f"some words of {i} " * 5, f"s{i % 3}") for i in range(400)],
+                                 "doc_id long, text string, source string").coalesce(4)
+    cores = spark.sparkContext.defaultParallelism
+    mixed = corpus_pipeline.mixing_stage(spark, docs, "")
+    assert mixed.count() > 300
+    made = tokenfiles.write_tokens(docs, tokenfiles.new_folder(spark, "tokens"), tokenfiles.default_tokenizer())
+    read = tokenfiles.read_tokens(spark, made)
+    assert made.count() > cores >= read.rdd.getNumPartitions() and read.count() == 400
+    assert max(cut_files()) <= cores
